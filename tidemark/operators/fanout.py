@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.revenue import PLACED, order_totals
+from tidemark.operators.revenue import PLACED, order_totals, revenue_by
 
 
 def fanout_report(headers: DataFrame, lines: DataFrame, key: str, measure: str) -> DataFrame:
@@ -34,18 +34,11 @@ def repeated_header_revenue(
 ) -> DataFrame:
     """The wrong revenue per product attribute that repeating ``order_total`` yields."""
     headers = orders.filter(F.col("order_status") == status).select("order_id", "order_total")
-    repeats = (
-        items.select("order_id", "product_id")
-        .join(products.select("product_id", group_col), "product_id")
-        .groupBy("order_id", group_col)
-        .agg(F.count("*").alias("line_count"))
-    )
-    return (
-        repeats.join(headers, "order_id")
-        .groupBy(group_col)
-        .agg(
-            F.sum(F.col("order_total") * F.col("line_count")).alias(
-                "wrong_revenue_using_order_total"
-            )
-        )
+    repeated = items.select("order_id", "product_id").join(headers, "order_id")
+    return revenue_by(
+        repeated,
+        [(products, "product_id")],
+        [group_col],
+        measure="order_total",
+        result="wrong_revenue_using_order_total",
     )

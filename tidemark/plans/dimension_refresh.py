@@ -1,8 +1,9 @@
 """A stored type-2 dimension that is refreshed batch by batch.
 
-Current and closed versions are stored apart. A refresh rewrites the current rows as a
-new release and appends only the versions it closes, so the closed history, which grows
-without end, is never written again. Of its columns only key and version are read.
+Every refresh writes one folder, split by the current flag: all current rows, and the
+versions that this refresh closed. Closed versions stay in the folder of the refresh that
+closed them, so the history, which grows without end, is never written again. Of the
+history a refresh reads only key and version.
 """
 
 from __future__ import annotations
@@ -10,59 +11,58 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.scd2 import Scd2
 from tidemark.operators.union import stack
 from tidemark.sinks.files import write_files
-from tidemark.sinks.releases import publish, read_current, released
-from tidemark.sources.files import read_or_empty
+from tidemark.sinks.releases import announce, latest_release, refuse_published, released
 
 
-def _closed(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Closed versions of published refreshes."""
-    stored = StructType([*schema.fields]).add("release", "string")
-    rows = read_or_empty(spark, f"{root}/closed", stored)
-    done = released(spark, f"{root}/current").select("release")
-    return rows.join(done, "release", "left_semi").select(*schema.names)
+def _store(scd: Scd2, rows: DataFrame, root: str, release: str, at: datetime) -> None:
+    spark = rows.sparkSession
+    refuse_published(spark, root, release)
+    folder = f"{root}/versions/release={release}"
+    write_files(rows, folder, mode="overwrite", partition_by=[scd.current])
+    announce(spark, root, release, at)
 
 
-def start_dimension(scd: Scd2, staging: DataFrame, root: str, release: str, at: datetime) -> None:
-    """First load."""
-    publish(scd.initial(staging), f"{root}/current", release, at)
+def _stored(spark: SparkSession, scd: Scd2, root: str) -> DataFrame:
+    """All stored rows with their release, the folder names read as what they stand for."""
+    path = f"{root}/versions"
+    folders = {"release": StringType(), scd.current: scd.current_type}
+    found = spark.read.parquet(path).schema
+    schema = StructType(
+        [StructField(f.name, folders.get(f.name, f.dataType), True) for f in found.fields]
+    )
+    return spark.read.schema(schema).parquet(path)
 
 
-def read_dimension(spark: SparkSession, root: str) -> DataFrame:
-    """Every version: the current rows and the closed ones."""
-    current = read_current(spark, f"{root}/current")
-    return stack(current, _closed(spark, root, current.schema))
+def start_dimension(scd: Scd2, staging: DataFrame, root: str, release: str, at: datetime) -> None:
+    """First load."""
+    _store(scd, scd.initial(staging), root, release, at)
 
 
 def refresh_dimension(
     scd: Scd2, staging: DataFrame, root: str, release: str, at: datetime
 ) -> None:
-    """Merge a batch. Publishing the current rows commits the refresh.
-
-    The paired rows feed two writes, so they are written once and read back. A retry
-    with the same ``release`` overwrites what a failed attempt left behind.
-    """
-    spark = staging.sparkSession
-    dim = read_dimension(spark, root)
-    paired_path = f"{root}/paired/release={release}"
-    write_files(scd.changes(dim, staging), paired_path, mode="overwrite")
-    changes = spark.read.parquet(paired_path)
-    write_files(
-        scd.expired(dim, changes), f"{root}/closed/release={release}", mode="overwrite"
-    )
-    current = scd.rebuilt(dim, changes).filter(scd.is_current())
-    publish(current, f"{root}/current", release, at)
+    """Merge a batch. A retry with the same ``release`` overwrites a failed attempt."""
+    dim = read_dimension(staging.sparkSession, scd, root)
+    _store(scd, scd.rebuilt(dim, scd.changes(dim, staging)), root, release, at)
 
 
 def current_rows(spark: SparkSession, scd: Scd2, root: str) -> DataFrame:
-    """The current version of every key, from the current release alone."""
-    return read_current(spark, f"{root}/current").filter(scd.is_current())
-
-
-def history_rows(spark: SparkSession, scd: Scd2, root: str) -> DataFrame:
-    """All versions in the order of key and start."""
-    return read_dimension(spark, root).orderBy(*scd.keys, F.col(scd.valid_from))
+    """The current version of every key: one folder of the newest release."""
+    release = latest_release(spark, root)
+    if release is None:
+        raise LookupError(f"{root} has no release")
+    newest = _stored(spark, scd, root).filter(F.col("release") == release)
+    return newest.filter(scd.is_current()).drop("release")
+
+
+def read_dimension(spark: SparkSession, scd: Scd2, root: str) -> DataFrame:
+    """Every version: the current rows, and what each published refresh closed."""
+    current = current_rows(spark, scd, root)
+    closed = _stored(spark, scd, root).filter(~scd.is_current())
+    closed = closed.join(released(spark, root), "release", "left_semi")
+    return stack(current, closed.drop("release"))

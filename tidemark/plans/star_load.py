@@ -11,7 +11,7 @@ from tidemark.operators.dimensions import dim_customer, dim_date, dim_product
 from tidemark.operators.facts import fact_sales
 from tidemark.sinks.releases import publish, read_current
 
-# Dimensions come before the fact that refers to them.
+# Dimensions come before the fact, for sinks that check the fact's references.
 STAR_TABLES = ("dim_customer", "dim_product", "dim_date", "fact_sales")
 
 
@@ -46,11 +46,10 @@ def build_star(
 
 
 def publish_star(star: Star, root: str, release: str, at: datetime) -> None:
-    """Store all four tables, dimensions first."""
-    for name, df in star.tables().items():
-        publish(df, f"{root}/{name}", release, at)
+    """Store all four tables as one release, so that keys always find their dimension."""
+    publish(star.tables(), root, release, at)
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
     """The stored star. Queries on it read the fact once instead of deriving it again."""
-    return Star(**{name: read_current(spark, f"{root}/{name}") for name in STAR_TABLES})
+    return Star(*read_current(spark, root, *STAR_TABLES))

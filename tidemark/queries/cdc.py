@@ -200,7 +200,7 @@ def cdc_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = landed_stream(spark, landing.batches("orders"), schema).select(*orders.columns)
     handler = keep_latest(f"{root}/latest", ["o_custkey"], [STAMP, "o_orderkey"], AS_OF)
     run_available(stream, handler, f"{root}/stream-checkpoint")
-    return read_current(spark, f"{root}/latest")
+    return read_current(spark, f"{root}/latest", "latest")[0]
 
 
 @query("sink_csv_roundtrip", BY_STATUS_SQL)
@@ -233,6 +233,6 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish all rows, then replace them by another selection; readers see the second."""
     root = scratch_path(spark, "full_refresh")
     rows = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", STAMP)
-    publish(rows, root, "r1", LO)
-    publish(incremental_slice(rows, STAMP, hi=HI), root, "r2", HI)
-    return read_current(spark, root).drop(STAMP)
+    publish({"orders": rows}, root, "r1", LO)
+    publish({"orders": incremental_slice(rows, STAMP, hi=HI)}, root, "r2", HI)
+    return read_current(spark, root, "orders")[0].drop(STAMP)

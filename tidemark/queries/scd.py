@@ -160,7 +160,7 @@ def scd2_stored_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "scd2_stored_refresh")
     start_dimension(SCD2, fx.run1(spark, sf_dir), root, "r1", fx.BOOKMARK)
     refresh_dimension(SCD2, fx.slice2(spark, sf_dir), root, "r2", AS_OF)
-    return _shown(read_dimension(spark, root))
+    return _shown(read_dimension(spark, SCD2, root))
 
 
 @query(

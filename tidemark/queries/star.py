@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.dimensions import dim_date as calendar
 from tidemark.operators.quality import duplicate_grain, lines_per_order, row_counts
@@ -10,7 +10,7 @@ from tidemark.plans.star_load import publish_star, read_star
 from tidemark.queries import fixture as fx
 from tidemark.queries.fixture import AS_OF, as_float, key_sql
 from tidemark.queries.registry import query
-from tidemark.queries.revenue import star
+from tidemark.queries.revenue import star, stored_star
 from tidemark.session import scratch_path
 
 
@@ -73,13 +73,6 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.withColumns(as_float(*measures))
 
 
-def _stored_star(spark: SparkSession, sf_dir: str, name: str):
-    """Publish the star to a fresh shared folder and read it back."""
-    root = scratch_path(spark, name)
-    publish_star(star(spark, sf_dir), root, "r1", AS_OF)
-    return read_star(spark, root)
-
-
 @query(
     "publish_star",
     """
@@ -89,7 +82,10 @@ UNION ALL SELECT 'dim_date', date_diff('day', min(o_orderdate), max(o_orderdate)
 UNION ALL SELECT 'fact_sales', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 )
 def publish_star_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return row_counts(_stored_star(spark, sf_dir, "publish_star").tables())
+    """Publish the star to a fresh folder and count what can be read back."""
+    root = scratch_path(spark, "publish_star")
+    publish_star(star(spark, sf_dir), root, "r1", AS_OF)
+    return row_counts(read_star(spark, root).tables())
 
 
 @query(
@@ -99,8 +95,7 @@ SELECT l_orderkey AS order_id, count(*) AS line_count
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
 )
 def grain_lines_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = _stored_star(spark, sf_dir, "grain").fact_sales
-    return lines_per_order(fact).orderBy("order_id")
+    return lines_per_order(stored_star(spark, sf_dir).fact_sales).orderBy("order_id")
 
 
 @query(
@@ -121,7 +116,7 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_number, p_name AS product_na
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
 )
 def star_join_1dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = star(spark, sf_dir)
+    s = stored_star(spark, sf_dir)
     return s.fact_sales.join(s.dim_product, "product_key").select(
         "order_id", "line_number", "product_name", "category_name", "quantity"
     )
@@ -136,7 +131,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_
 JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
 )
 def star_join_2dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = star(spark, sf_dir)
+    s = stored_star(spark, sf_dir)
     return (
         s.fact_sales.join(s.dim_product, "product_key")
         .join(s.dim_customer, "customer_key")
@@ -152,7 +147,7 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_number,
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 )
 def star_join_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = star(spark, sf_dir)
+    s = stored_star(spark, sf_dir)
     return s.fact_sales.join(s.dim_date, "date_key").select(
         "order_id", "line_number", "full_date", "day_name"
     )

@@ -1,14 +1,18 @@
-"""Full refresh of a file table without overwriting what a reader may be using.
+"""Full refresh of file tables without overwriting what a reader may be using.
 
 Each refresh writes its own folder and then appends one row to a release log; readers
-follow the newest row. A job that fails before the row is appended leaves readers on the
-old release, and its retry writes the same folder again.
+follow the newest row. Tables published together therefore change together. A job that
+fails before the row is appended leaves readers on the old release, and its retry writes
+the same folder again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
@@ -33,20 +37,41 @@ def latest_release(spark: SparkSession, root: str) -> str | None:
     return row["newest"]["release"] if row["newest"] else None
 
 
-def publish(df: DataFrame, root: str, release: str, at: datetime) -> str:
-    """Write ``df`` as a release and make it the current one. Returns its folder."""
-    spark = df.sparkSession
+def announce(spark: SparkSession, root: str, release: str, at: datetime) -> None:
+    """Make a release that is completely written the current one."""
+    write_files(spark.createDataFrame([(release, at)], RELEASE_SCHEMA), f"{root}/releases")
+
+
+def refuse_published(spark: SparkSession, root: str, release: str) -> None:
+    """A published release may be in use, so its folder must not be written again."""
     if not released(spark, root).filter(F.col("release") == release).isEmpty():
         raise ValueError(f"release {release!r} of {root} is already published")
-    folder = f"{root}/data/release={release}"
-    write_files(df, folder, mode="overwrite")
-    write_files(spark.createDataFrame([(release, at)], RELEASE_SCHEMA), f"{root}/releases")
-    return folder
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """The table as of its newest release."""
+def _folder(root: str, release: str, table: str) -> str:
+    return f"{root}/data/release={release}/{table}"
+
+
+def publish(tables: Mapping[str, DataFrame], root: str, release: str, at: datetime) -> None:
+    """Write the tables as one release and make it the current one.
+
+    The writes are independent jobs and are submitted together, so that small tables
+    fill the cluster's gaps beside a large one.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    refuse_published(spark, root, release)
+
+    def write(name: str) -> None:
+        write_files(tables[name], _folder(root, release, name), mode="overwrite")
+
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), tables))
+    announce(spark, root, release, at)
+
+
+def read_current(spark: SparkSession, root: str, *tables: str) -> list[DataFrame]:
+    """The named tables, all of the newest release."""
     release = latest_release(spark, root)
     if release is None:
         raise LookupError(f"{root} has no release")
-    return read_files(spark, f"{root}/data/release={release}")
+    return [read_files(spark, _folder(root, release, name)) for name in tables]

@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators.latest import latest_per_key
 from tidemark.operators.scd1 import scd1_merge
 from tidemark.sinks.releases import latest_release, publish, read_current, released
 
@@ -58,12 +59,12 @@ def keep_latest(
     def merge_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         release = f"batch-{number:012d}"
-        if release in {r.release for r in released(spark, root).filter(f"release = '{release}'").collect()}:
+        if not released(spark, root).filter(F.col("release") == release).isEmpty():
             return
         if latest_release(spark, root) is None:
-            merged = scd1_merge(batch.limit(0), batch, keys, order_cols)
+            merged = latest_per_key(batch, keys, order_cols)
         else:
-            merged = scd1_merge(read_current(spark, root), batch, keys, order_cols)
-        publish(merged, root, release, at)
+            merged = scd1_merge(*read_current(spark, root, "latest"), batch, keys, order_cols)
+        publish({"latest": merged}, root, release, at)
 
     return merge_batch
