@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZT
 
 from tidemark.functions import instant
 from tidemark.operators.latest import latest_per_key
+from tidemark.operators.union import stack
 
 BOOKMARK_SCHEMA = StructType(
     [
@@ -33,11 +34,13 @@ def seed_bookmarks(
     bookmarks: DataFrame, sources: DataFrame, as_of: datetime, start: datetime = EPOCH
 ) -> DataFrame:
     """Add a bookmark at ``start`` for each ``table_name`` in ``sources`` that has none."""
-    missing = sources.select("table_name").distinct().join(bookmarks, "table_name", "left_anti")
-    seeded = missing.select(
+    seeds = sources.select(
         "table_name", instant(start).alias("last_value"), instant(as_of).alias("updated_at")
     )
-    return bookmarks.unionByName(seeded)
+    ranked = stack(
+        bookmarks.withColumn("_known", F.lit(1)), seeds.withColumn("_known", F.lit(0))
+    )
+    return latest_per_key(ranked, ["table_name"], ["_known"]).drop("_known")
 
 
 def bookmark_of(bookmarks: DataFrame, source: str) -> DataFrame:
