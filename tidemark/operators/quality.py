@@ -29,11 +29,12 @@ def uniqueness(checks: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Foreign-key values without a parent, with the number of child rows that hold them.
 
-    Child rows are counted per value first, so a hot value crosses the join as one row.
-    A NULL foreign key refers to nothing and is not an orphan.
+    Both sides are reduced to one row per value before they meet, so a hot value costs
+    nothing extra, also where the parent repeats its key. A NULL foreign key refers to
+    nothing and is not an orphan.
     """
     held = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count("*").alias("row_count"))
-    return held.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
+    return held.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
 
 
 def referential_integrity(

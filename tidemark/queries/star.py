@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.dimensions import dim_customer as customer_dimension
 from tidemark.operators.dimensions import dim_date as calendar
+from tidemark.operators.dimensions import dim_product as product_dimension
+from tidemark.operators.facts import fact_sales as sales
 from tidemark.operators.quality import duplicate_grain, lines_per_order, row_counts
 from tidemark.plans.star_load import publish_star, read_star
 from tidemark.queries import fixture as fx
@@ -24,7 +27,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey""",
 )
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star(spark, sf_dir).dim_customer
+    return customer_dimension(fx.customers(spark, sf_dir), fx.CUSTOMER_COLUMNS)
 
 
 @query(
@@ -36,7 +39,10 @@ SELECT {key_sql("p_partkey")} AS product_key, p_partkey AS product_id, p_name AS
 FROM part""",
 )
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star(spark, sf_dir).dim_product.withColumns(as_float("list_price"))
+    dim = product_dimension(
+        fx.products(spark, sf_dir), fx.categories(spark, sf_dir), fx.PRODUCT_COLUMNS
+    )
+    return dim.withColumns(as_float("list_price"))
 
 
 @query(
@@ -49,7 +55,7 @@ FROM (SELECT cast(unnest(generate_series(min(o_orderdate), max(o_orderdate), INT
              AS date) AS d FROM orders)""",
 )
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star(spark, sf_dir).dim_date
+    return calendar(fx.orders(spark, sf_dir), "order_ts")
 
 
 @query(
@@ -68,7 +74,7 @@ FROM (SELECT *, cast(l_extendedprice AS decimal(10,2)) AS price,
       FROM lineitem) JOIN orders ON l_orderkey = o_orderkey""",
 )
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = star(spark, sf_dir).fact_sales
+    fact = sales(fx.items(spark, sf_dir), fx.orders(spark, sf_dir))
     measures = ["unit_price", "discount_amount", "gross_amount", "net_amount"]
     return fact.withColumns(as_float(*measures))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # With more than 2000 shuffle partitions Spark averages block sizes, which hides a hot
 # partition from the adaptive skew join; the factor keeps the sizes of outliers exact.
@@ -29,6 +29,25 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+MIB = 1024**2
+
+
+def settings_for(shuffled_bytes: int, per_partition: int = 256 * MIB) -> dict[str, str]:
+    """Settings for jobs that shuffle about ``shuffled_bytes``.
+
+    The partition count is an upper bound: adaptive execution merges partitions that turn
+    out small, but it never adds any, so the count must suit the largest shuffle. Larger
+    scan splits go with it; they keep the number of map tasks down and give partial
+    aggregation more rows to combine.
+    """
+    count = max(200, -(-shuffled_bytes // per_partition))
+    return {
+        "spark.sql.shuffle.partitions": str(count),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_partition),
+        "spark.sql.files.maxPartitionBytes": str(max(128 * MIB, per_partition)),
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for tables that Spark writes and reads back.
 
@@ -45,6 +64,17 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the scratch area and read it back.
+
+    The result no longer depends on the frame's sources, survives the loss of executors,
+    and is computed once however often it is used.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the scratch area; no two calls return the same one."""
     return f"{scratch_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"

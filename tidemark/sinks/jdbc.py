@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from tidemark.session import settle
+
 
 def write_jdbc(
     df: DataFrame,
@@ -30,6 +32,16 @@ def write_jdbc(
     writer.save()
 
 
+def rewrite_jdbc(
+    df: DataFrame, options: Mapping[str, str], table: str, **settings: object
+) -> None:
+    """Overwrite a table with rows that may be derived from it, such as a bookmark upsert.
+
+    The rows are settled in the scratch area before the table is emptied.
+    """
+    write_jdbc(settle(df, table), options, table, mode="overwrite", **settings)
+
+
 def write_tables(
     frames: Mapping[str, DataFrame], options: Mapping[str, str], **settings: object
 ) -> None:
