@@ -1,4 +1,4 @@
-"""Small hand-written tables with known answers."""
+"""Small tables with known answers. All rows are fixed values: the answers depend on them."""
 
 from __future__ import annotations
 

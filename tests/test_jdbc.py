@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from tidemark.sinks.jdbc import write_jdbc, write_tables
+from tidemark.sinks import jdbc as jdbc_sink
+from tidemark.sinks.jdbc import rewrite_jdbc, write_jdbc, write_tables
 from tidemark.sources.jdbc import Split, read_jdbc, read_tables
 
 OPTIONS = {"url": "jdbc:example:db", "user": "u", "password": "p", "driver": "d"}
@@ -82,6 +83,19 @@ def test_overwrite_keeps_the_declared_table():
     assert saved["batchsize"] == "5000" and saved["numPartitions"] == "16"
 
 
+def test_rewrite_reads_everything_before_the_table_is_emptied(spark, monkeypatch):
+    """The written frame must not depend on the overwritten table any more."""
+    written = []
+    monkeypatch.setattr(
+        jdbc_sink, "write_jdbc", lambda df, options, table, **kw: written.append((df, kw))
+    )
+    df = spark.range(3).filter("id > 0")
+    rewrite_jdbc(df, OPTIONS, "cdc_tracking")
+    ((settled, settings),) = written
+    assert settings["mode"] == "overwrite" and settled.exceptAll(df).isEmpty()
+    assert "Range" not in settled._jdf.queryExecution().analyzed().toString()
+
+
 def test_tables_are_written_in_order():
     frame = Recorder()
     write_tables({"dim_customer": frame, "fact_sales": frame}, OPTIONS, mode="append")

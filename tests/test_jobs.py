@@ -6,6 +6,8 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tests.seeds import model
 from tidemark.__main__ import parser, run, source_options
 from tidemark.plans.star_load import read_star
@@ -17,6 +19,9 @@ from tidemark.operators.quality import (
     row_counts,
     uniqueness,
 )
+from tidemark.operators.latest import latest_per_key
+from tidemark.operators.update import fill_defaults, update_where
+from tidemark.sinks.tables import append_rows
 from tidemark.session import MIB, scratch_path, settings_for, settle
 
 
@@ -97,6 +102,31 @@ def test_null_foreign_key_is_not_an_orphan(spark):
     assert tuple(report.first()) == ("x", 1, 2)
 
 
+def test_updates_and_defaults(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, 5), (3, "a", 6)], "id int, v string, n long")
+    got = update_where(df, F.col("v") == "a", {"v": F.lit("b"), "n": F.col("n") + 1})
+    assert sorted(map(tuple, got.collect())) == [(1, "b", None), (2, None, 5), (3, "b", 7)]
+    filled = fill_defaults(df, {"n": 1, "v": "none"})
+    assert sorted(map(tuple, filled.collect())) == [(1, "a", 1), (2, "none", 5), (3, "a", 6)]
+    assert filled.dtypes == df.dtypes
+
+
+def test_append_matches_columns_by_name(spark, tmp_path):
+    spark.sql(f"CREATE TABLE appended (id INT, name STRING) USING parquet LOCATION '{tmp_path}/t'")
+    try:
+        append_rows(spark.createDataFrame([("x", 1)], "name string, id long"), "appended")
+        append_rows(spark.createDataFrame([(2, "y")], "id int, name string"), "appended")
+        assert sorted(map(tuple, spark.table("appended").collect())) == [(1, "x"), (2, "y")]
+    finally:
+        spark.sql("DROP TABLE appended")
+
+
+def test_rows_with_maps_can_be_ranked(spark):
+    rows = [(1, 5, {"a": 1}), (1, 7, {"b": 2})]
+    df = spark.createDataFrame(rows, "k int, at int, tags map<string,int>")
+    assert latest_per_key(df, ["k"], ["at"]).first().tags == {"b": 2}
+
+
 def test_settings_grow_with_the_shuffle():
     assert settings_for(10 * MIB)["spark.sql.shuffle.partitions"] == "200"
     assert settings_for(20 * 1024**4)["spark.sql.shuffle.partitions"] == "81920"

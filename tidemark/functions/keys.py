@@ -18,10 +18,15 @@ def surrogate_key(natural: Column, digits: int = 15) -> Column:
     return F.conv(prefix, 16, 10).cast("bigint")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row's values. Maps have no order and are left out."""
+    return F.xxhash64(*[f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
+
+
 def tie_break(df: DataFrame, order_cols: list[str]) -> Column:
     """Ordering value that ranks rows by ``order_cols``, then by a hash of the row.
 
     The hash makes the winner among equal ``order_cols`` depend on the data alone, not
     on the order in which tasks deliver the rows.
     """
-    return F.struct(*order_cols, F.xxhash64(*df.columns).alias("_row_hash"))
+    return F.struct(*order_cols, row_hash(df).alias("_row_hash"))

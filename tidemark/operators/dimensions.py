@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import date_key, day_name, day_of_week, surrogate_key
+from tidemark.operators.update import fill_defaults
 
+# The attributes of the model, in order.
 CUSTOMER_ATTRIBUTES = ["first_name", "last_name", "email", "city", "state", "created_at"]
 PRODUCT_ATTRIBUTES = [
     "product_name",
@@ -37,11 +39,11 @@ def dim_product(
     denormalised = products.join(categories, "category_id", "left").withColumns(
         {
             "list_price": F.col("list_price").cast("decimal(10,2)"),
-            "is_active": F.coalesce(F.col("is_active").cast("int"), F.lit(1)),
+            "is_active": F.col("is_active").cast("int"),
         }
     )
     return dimension(
-        denormalised, "product_id", "product_key", attributes or PRODUCT_ATTRIBUTES
+        fill_defaults(denormalised, {"is_active": 1}), "product_id", "product_key", attributes or PRODUCT_ATTRIBUTES
     )
 
 

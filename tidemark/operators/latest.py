@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions import tie_break
+from tidemark.functions import row_hash, tie_break
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
@@ -30,7 +30,7 @@ def newest_versions(
     Spark turns the bound on ``row_number`` into a group limit on both sides of the
     shuffle, so a hot key sends at most ``n`` rows per map task.
     """
-    order = [F.col(c).desc() for c in order_cols] + [F.xxhash64(*df.columns).desc()]
+    order = [F.col(c).desc() for c in order_cols] + [row_hash(df).desc()]
     ranked = df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(rank_col) <= n)
 

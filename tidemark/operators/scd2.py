@@ -160,3 +160,7 @@ class Scd2:
 
     def current_view(self, dim: DataFrame) -> DataFrame:
         return dim.filter(self.is_current())
+
+    def history_view(self, dim: DataFrame) -> DataFrame:
+        """Every version in the order of key and start."""
+        return dim.orderBy(*self.keys, self.valid_from)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.operators.latest import latest_per_key, newest_versions
 from tidemark.operators.revenue import best_first, net_amount, order_lines, order_totals
 from tidemark.operators.union import align, stack
+from tidemark.operators.update import update_where
 from tidemark.queries import fixture as fx
 from tidemark.queries.fixture import (
     BATCH_KEYS,
@@ -53,12 +54,12 @@ FROM orders""",
 )
 def conditional_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``UPDATE … WHERE key = literal`` as a projection over the whole table."""
-    hit = F.col("o_custkey") == 7
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.when(hit, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
-        F.when(hit, "1-URGENT").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"),
+    updated = update_where(
+        table(spark, sf_dir, "orders"),
+        F.col("o_custkey") == 7,
+        {"o_orderstatus": F.lit("X"), "o_orderpriority": F.lit("1-URGENT")},
     )
+    return updated.select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
 @query(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions import differs
+from tidemark.functions import any_differs, differs
 from tidemark.operators.scd1 import scd1_merge
 from tidemark.operators.scd3 import scd3_initial, scd3_merge
 from tidemark.operators.union import stack
+from tidemark.operators.update import update_where
 from tidemark.plans.dimension_refresh import read_dimension, refresh_dimension, start_dimension
 from tidemark.queries import fixture as fx
 from tidemark.queries.fixture import AS_OF, BATCH_KEYS, BATCH_ORDER, MOVED_SQL, RUNS_SQL, SCD2
@@ -250,11 +251,15 @@ def joined_update(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("order_priority").alias("new_priority"),
         F.col("last_modified_ts").alias("new_ts"),
     )
-    dim = fx.run1(spark, sf_dir)
-    moved = F.col("found").isNotNull() & (
-        differs(F.col("order_status"), F.col("new_status"))
-        | differs(F.col("order_priority"), F.col("new_priority"))
+    dim = fx.run1(spark, sf_dir).withColumns(
+        {"closed_at": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)}
     )
-    return dim.join(incoming, "customer_id", "left").select(
-        *dim.columns, F.when(moved, F.col("new_ts")).alias("closed_at"), (~moved).alias("is_current")
+    moved = F.col("found") & any_differs(
+        [
+            (F.col("order_status"), F.col("new_status")),
+            (F.col("order_priority"), F.col("new_priority")),
+        ]
     )
+    matched = dim.join(incoming, "customer_id", "left")
+    closed = {"closed_at": F.col("new_ts"), "is_current": F.lit(False)}
+    return update_where(matched, moved, closed).select(*dim.columns)
