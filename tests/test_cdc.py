@@ -152,6 +152,21 @@ def test_incremental_job(spark, tmp_path, fmt):
     assert get_bookmark(landing.bookmarks(spark), "customers") == at(2)
 
 
+def test_change_column_with_time_zone(spark, tmp_path):
+    df = source(spark, *INSERTS, ("C004", "Goa", False, at(5))).withColumn(
+        "lastmodified", F.col("lastmodified").cast("timestamp")
+    )
+    landing = Landing(str(tmp_path))
+    first = run_incremental(spark, "s", df, "lastmodified", landing, AS_OF, at(0))
+    second = run_incremental(spark, "s", df, "lastmodified", landing, AS_OF)
+    assert (first.rows, first.bookmark_after, second.rows, second.bookmark_after) == (
+        3,
+        at(0),
+        1,
+        at(5),
+    )
+
+
 def test_sources_keep_separate_bookmarks(spark, tmp_path):
     landing = Landing(str(tmp_path))
     df = source(spark, *INSERTS)

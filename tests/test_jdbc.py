@@ -49,6 +49,7 @@ class Recorder:
 def test_table_and_query():
     got = read_jdbc(Recorder(), OPTIONS, table="customers")
     assert got["dbtable"] == "customers" and got["format"] == "jdbc" and got["user"] == "u"
+    assert got["preferTimestampNTZ"] == "true"
     got = read_jdbc(Recorder(), OPTIONS, query="SELECT 1 AS x")
     assert got["dbtable"] == "(SELECT 1 AS x) AS t"
     with pytest.raises(ValueError):

@@ -129,7 +129,7 @@ def test_rows_with_maps_can_be_ranked(spark):
 
 def test_settings_grow_with_the_shuffle():
     assert settings_for(10 * MIB)["spark.sql.shuffle.partitions"] == "200"
-    assert settings_for(20 * 1024**4)["spark.sql.shuffle.partitions"] == "81920"
+    assert settings_for(20 * 1024**4)["spark.sql.shuffle.partitions"] == "163840"
 
 
 def test_scratch_follows_the_cluster_setting(spark):

@@ -54,7 +54,8 @@ def dim_date(df: DataFrame, ts_col: str, iso: bool = False) -> DataFrame:
     """
     day = F.col("full_date")
     bounds = df.agg(
-        F.min(ts_col).cast("date").alias("first_day"), F.max(ts_col).cast("date").alias("last_day")
+        F.min(ts_col).cast("date").alias("first_day"),
+        F.max(ts_col).cast("date").alias("last_day"),
     ).filter(F.col("first_day").isNotNull())
     days = F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY"))
     return bounds.select(F.explode(days).alias("full_date")).select(

@@ -26,8 +26,8 @@ def revenue_by(
     the dimension with the fewest distinct attribute values first.
     """
     keys = [key for _, key in dims]
-    rows = lines.select(*dict.fromkeys([*keys, *(c for c in group_cols if c in lines.columns)]), measure)
-    gathered = [c for c in group_cols if c in rows.columns and c not in keys]
+    gathered = [c for c in group_cols if c in lines.columns and c not in keys]
+    rows = lines.select(*keys, *gathered, measure)
     for place, (dim, key) in enumerate(dims):
         if place == len(dims) - 1:
             rows = rows.groupBy(key, *gathered).agg(F.sum(measure).alias(measure))

@@ -26,7 +26,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
     )
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str], Star] = {}
 
 
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -39,8 +39,8 @@ def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     if where not in _STORED:
         root = scratch_path(spark, "star")
         publish_star(star(spark, sf_dir), root, "r1", fx.AS_OF)
-        _STORED[where] = root
-    return read_star(spark, _STORED[where])
+        _STORED[where] = read_star(spark, root)
+    return _STORED[where]
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:

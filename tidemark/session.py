@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 # With more than 2000 shuffle partitions Spark averages block sizes, which hides a hot
 # partition from the adaptive skew join; the factor keeps the sizes of outliers exact.
+# The hash join threshold lets adaptive execution skip the sort of a join whose build side
+# is known to fit partition by partition; it must not be below the advisory size.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.shuffle.accurateBlockSkewedFactor": "5.0",
 }
 
@@ -32,7 +36,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 MIB = 1024**2
 
 
-def settings_for(shuffled_bytes: int, per_partition: int = 256 * MIB) -> dict[str, str]:
+def settings_for(shuffled_bytes: int, per_partition: int = 128 * MIB) -> dict[str, str]:
     """Settings for jobs that shuffle about ``shuffled_bytes``.
 
     The partition count is an upper bound: adaptive execution merges partitions that turn
@@ -43,8 +47,7 @@ def settings_for(shuffled_bytes: int, per_partition: int = 256 * MIB) -> dict[st
     count = max(200, -(-shuffled_bytes // per_partition))
     return {
         "spark.sql.shuffle.partitions": str(count),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_partition),
-        "spark.sql.files.maxPartitionBytes": str(max(128 * MIB, per_partition)),
+        "spark.sql.files.maxPartitionBytes": str(2 * per_partition),
     }
 
 

@@ -48,14 +48,12 @@ def read_jdbc(
     if split and predicates:
         raise ValueError("give either split or predicates")
     source = table if table is not None else f"({query}) AS t"
+    # A wall-clock column keeps its value whatever the session's time zone.
+    settings = {"preferTimestampNTZ": "true", "fetchsize": str(fetch_size), **options}
     if predicates:
-        properties = {k: v for k, v in options.items() if k != "url"}
-        properties["fetchsize"] = str(fetch_size)
-        return spark.read.jdbc(
-            options["url"], source, predicates=predicates, properties=properties
-        )
-    reader = spark.read.format("jdbc").options(**options)
-    reader = reader.option("dbtable", source).option("fetchsize", str(fetch_size))
+        url = settings.pop("url")
+        return spark.read.jdbc(url, source, predicates=predicates, properties=settings)
+    reader = spark.read.format("jdbc").options(**settings).option("dbtable", source)
     if split:
         reader = reader.options(**split.options())
     return reader.load()
