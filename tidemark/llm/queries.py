@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.langid import op8_language_id
 from tidemark.llm.mixing import op9_mixing
+from tidemark.llm.warc import OP1_SQL, op1_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
+    "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL}
