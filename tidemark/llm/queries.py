@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.langid import op8_language_id
 from tidemark.llm.mixing import op9_mixing
+from tidemark.llm.quality import op6_quality
 from tidemark.llm.warc import OP1_SQL, op1_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op6_quality": op6_quality,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
 }
