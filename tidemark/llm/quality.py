@@ -76,6 +76,7 @@ def features(docs: DataFrame) -> DataFrame:
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
         F.size(F.array_intersect("words", F.array(*[F.lit(w) for w in COMMON_WORDS]))).cast("long").alias("n_common"),
         F.regexp_count("text", F.lit("[0-9]")).cast("long").alias("n_digits"),
+        F.length(F.regexp_replace("text", r"[^\p{L}.,]+", "")).cast("long").alias("n_letters"),
         F.regexp_count("text", F.lit("[A-Z]")).cast("long").alias("n_capitals"),
     )
 
@@ -91,6 +92,8 @@ def rules() -> dict[str, Column]:
         "length": vote(c("n_words").between(80, 20_000), c("n_words") < 50),
         "word_length": vote(c("word_chars").between(3 * c("n_words"), 9 * c("n_words")), (c("word_chars") < 2 * c("n_words")) | (c("word_chars") > 15 * c("n_words"))),
         "symbols": vote(200 * c("n_symbols") <= c("n_words"), 10 * c("n_symbols") > c("n_words")),
+        "symbol_share": vote(200 * c("n_symbols") <= c("word_chars"), 20 * c("n_symbols") > c("word_chars")),
+        "letters": vote(100 * c("n_letters") >= 95 * c("word_chars"), 100 * c("n_letters") < 80 * c("word_chars")),
         "duplicate_lines": vote((c("n_lines") >= 3) & (c("n_dup_lines") == 0), 10 * c("n_dup_lines") > 3 * c("n_lines")),
         "repeated_words": vote(100 * c("n_repeat_words") <= 5 * c("n_words"), 100 * c("n_repeat_words") > 25 * c("n_words")),
         "common_words": vote(c("n_common") >= 5, (c("n_words") >= 50) & (c("n_common") <= 1)),
@@ -108,7 +111,8 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
     side is set to 0, which also fixes which class is the good one.
     """
     m = len(patterns[0][0]) if patterns else 0
-    prior, ratios = math.log(PRIOR / (1 - PRIOR)), [{-1: -1.0, 0: 0.0, 1: 1.0} for _ in range(m)]
+    # To begin with, any vote for bad outweighs the prior and all others.
+    prior, ratios = math.log(PRIOR / (1 - PRIOR)), [{-1: -5.0, 0: 0.0, 1: 0.1} for _ in range(m)]
     whole = sum(n for _, n in patterns)
     for _ in range(rounds if whole else 0):
         good = 0.0
