@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.langid import op8_language_id
 from tidemark.llm.licenses import op2_licenses
 from tidemark.llm.mixing import op9_mixing
+from tidemark.llm.pieces import op10_pieces
 from tidemark.llm.quality import op6_quality
 from tidemark.llm.warc import OP1_SQL, op1_warc
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLES: dict[str, str] = {"op1_warc": OP1_SQL}
