@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.langid import op8_language_id
 from tidemark.llm.licenses import op2_licenses
 from tidemark.llm.mixing import op9_mixing
+from tidemark.llm.neighbours import op3_neighbours
 from tidemark.llm.pieces import op10_pieces
 from tidemark.llm.quality import op6_quality
 from tidemark.llm.warc import OP1_SQL, op1_warc
@@ -18,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_licenses": op2_licenses,
+    "op3_neighbours": op3_neighbours,
     "op6_quality": op6_quality,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
