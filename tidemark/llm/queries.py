@@ -10,6 +10,7 @@ from tidemark.llm.langid import op8_language_id
 from tidemark.llm.licenses import op2_licenses
 from tidemark.llm.mixing import op9_mixing
 from tidemark.llm.neighbours import op3_neighbours
+from tidemark.llm.paths import op7_paths
 from tidemark.llm.pieces import op10_pieces
 from tidemark.llm.quality import op6_quality
 from tidemark.llm.warc import OP1_SQL, op1_warc
@@ -21,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op2_licenses": op2_licenses,
     "op3_neighbours": op3_neighbours,
     "op6_quality": op6_quality,
+    "op7_paths": op7_paths,
     "op8_language_id": op8_language_id,
     "op9_mixing": op9_mixing,
     "op10_pieces": op10_pieces,
