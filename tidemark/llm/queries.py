@@ -13,6 +13,7 @@ from tidemark.llm.neighbours import op3_neighbours
 from tidemark.llm.paths import op7_paths
 from tidemark.llm.pieces import op10_pieces
 from tidemark.llm.quality import op6_quality
+from tidemark.llm.repeats import op5_repeats
 from tidemark.llm.warc import OP1_SQL, op1_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_licenses": op2_licenses,
     "op3_neighbours": op3_neighbours,
+    "op5_repeats": op5_repeats,
     "op6_quality": op6_quality,
     "op7_paths": op7_paths,
     "op8_language_id": op8_language_id,
