@@ -10,6 +10,7 @@ from tidemark.llm.langid import op8_language_id
 from tidemark.llm.licenses import op2_licenses
 from tidemark.llm.mixing import op9_mixing
 from tidemark.llm.neighbours import op3_neighbours
+from tidemark.llm.parity import op4_parity
 from tidemark.llm.paths import op7_paths
 from tidemark.llm.pieces import op10_pieces
 from tidemark.llm.quality import op6_quality
@@ -22,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_licenses": op2_licenses,
     "op3_neighbours": op3_neighbours,
+    "op4_parity": op4_parity,
     "op5_repeats": op5_repeats,
     "op6_quality": op6_quality,
     "op7_paths": op7_paths,
