@@ -273,3 +273,82 @@ def test_stream_takes_up_each_file_once(spark, tmp_path):
         "Mumbai",
         "Nagpur",
     }
+
+
+def test_stream_with_a_new_checkpoint_loses_no_row(spark, tmp_path):
+    landing, target = str(tmp_path / "in"), str(tmp_path / "out")
+    handler = keep_latest(target, ["customer_id"], ["lastmodified"], AS_OF)
+    write_files(source(spark, *INSERTS), landing)
+    run_available(landed_stream(spark, landing, source(spark).schema), handler, str(tmp_path / "first"))
+    write_files(source(spark, ("C009", "Goa", False, at(4))), landing)
+    again = keep_latest(target, ["customer_id"], ["lastmodified"], AS_OF)
+    run_available(landed_stream(spark, landing, source(spark).schema), again, str(tmp_path / "second"))
+    assert read_current(spark, target, "latest")[0].count() == 4
+
+
+def test_rows_without_a_change_time_are_never_lost(spark, tmp_path):
+    df = source(spark, *INSERTS, ("C009", "Goa", False, None))
+    landing = Landing(str(tmp_path))
+    with pytest.raises(incremental_job.MissingChangeTime, match="1 rows"):
+        run_incremental(spark, "s", df, "lastmodified", landing, AS_OF)
+    assert read_landed(spark, "s", landing, df.schema).count() == 0
+    done = run_incremental(spark, "s", df, "lastmodified", landing, AS_OF, quarantine=True)
+    assert (done.rows, done.quarantined, done.bookmark_after) == (3, 1, at(0))
+    aside = read_files(spark, landing.quarantine("s"), schema=df.schema)
+    assert aside.select("customer_id").first()[0] == "C009"
+
+
+def test_overlap_never_overwrites_a_committed_batch(spark, tmp_path):
+    landing, second = Landing(str(tmp_path)), timedelta(seconds=1)
+
+    def load(*rows):
+        df = source(spark, *rows)
+        done = run_incremental(spark, "s", df, "lastmodified", landing, AS_OF, overlap=second)
+        landed = read_landed(spark, "s", landing, df.schema).collect()
+        return done.rows, sorted((r.customer_id, r.address) for r in landed)
+
+    assert load(("a", "x", False, at(0))) == (1, [("a", "x")])
+    late = ("c", "late", False, at(0))
+    assert load(("a", "x", False, at(0)), late) == (2, [("a", "x"), ("a", "x"), ("c", "late")])
+    rows, landed = load(("a", "x2", False, at(0)), ("c", "late2", False, at(0)))
+    assert rows == 2 and set(landed) == {("a", "x"), ("c", "late"), ("a", "x2"), ("c", "late2")}
+    assert load() == (0, landed)
+    assert load(("a", "x2", False, at(0))) == (0, landed)
+
+
+@pytest.mark.parametrize(
+    "kind, values",
+    [("bigint", [3, 7, 9]), ("date", [datetime(2024, 1, d).date() for d in (1, 5, 9)])],
+)
+def test_bookmarks_of_other_types(spark, tmp_path, kind, values):
+    landing = Landing(str(tmp_path))
+    schema = f"id int, changed {kind}"
+    rows = [(i, v) for i, v in enumerate(values)]
+
+    def load(n, hi=None):
+        df = spark.createDataFrame(rows[:n], schema)
+        return run_incremental(spark, "s", df, "changed", landing, AS_OF, hi)
+
+    assert (load(1).bookmark_after, load(1).rows) == (values[0], 0)
+    assert (load(3, hi=values[1]).rows, load(3).bookmark_after) == (1, values[2])
+    assert load(3).rows == 0
+
+
+AWKWARD = ["", " ", " x ", "a\nb", "a\r\nb", '"q"', "\\", "\\n", "\\\n", "\\N", "a,b", None, "#", '\\"', "é\t"]
+
+
+def test_csv_keeps_every_value(spark, tmp_path):
+    rows = [(i, t, datetime(2024, 1, 1, 1, 2, 3, i), datetime(2024, 1, 1, 1, 2, 3, 999_999 - i), 0.1 * i) for i, t in enumerate(AWKWARD)]
+    rows.append((None, None, None, None, None))
+    df = spark.createDataFrame(rows, "i int, t string, n timestamp_ntz, z timestamp, d double")
+    write_files(df, str(tmp_path / "csv"), "csv")
+    back = read_files(spark, str(tmp_path / "csv"), "csv", df.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_csv_landing_is_idle_when_nothing_changed(spark, tmp_path):
+    landing = Landing(str(tmp_path), "csv")
+    df = source(spark, ("a", "x", False, at(0) + timedelta(microseconds=123456)))
+    assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF).rows == 1
+    assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF).rows == 0
+    assert read_landed(spark, "s", landing, df.schema).first().lastmodified == at(0) + timedelta(microseconds=123456)

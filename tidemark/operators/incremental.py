@@ -1,33 +1,52 @@
-"""Bounded slices of a changing source."""
+"""Bounded slices of a changing source.
+
+The change column may be a timestamp, a date or a number; bounds have its kind.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from tidemark.functions import instant
 
 
+Mark = datetime | date | int | Decimal
+
+
+def mark(value: Mark, kind: DataType) -> Column:
+    """A bound of the change column's type."""
+    return instant(value, kind) if isinstance(value, datetime) else F.lit(str(value)).cast(kind)
+
+
 def incremental_slice(
     df: DataFrame,
     cdc_col: str,
-    lo: datetime | None = None,
-    hi: datetime | None = None,
-    overlap: timedelta = timedelta(0),
+    lo: Mark | None = None,
+    hi: Mark | None = None,
+    overlap: timedelta | int = timedelta(0),
+    with_missing: bool = False,
 ) -> DataFrame:
     """Rows changed in ``(lo - overlap, hi]``; ``lo=None`` is the full load.
 
     The upper bound fixes the slice: rows that change while the job runs fall into the
     next one. ``overlap`` reads a little before the bookmark again, for sources whose
     clock is too coarse to tell late commits apart; latest-per-key removes the repeats.
+    ``with_missing`` also passes on rows without a change time, so that a job can count
+    them instead of losing them.
     """
     kind = df.schema[cdc_col].dataType
+    inside = F.lit(True)
     if lo is not None:
-        df = df.filter(F.col(cdc_col) > instant(lo - overlap, kind))
+        inside &= F.col(cdc_col) > mark(lo - overlap if overlap else lo, kind)
     if hi is not None:
-        df = df.filter(F.col(cdc_col) <= instant(hi, kind))
-    return df
+        inside &= F.col(cdc_col) <= mark(hi, kind)
+    if lo is None and hi is None:
+        return df
+    return df.filter(F.col(cdc_col).isNull() | inside) if with_missing else df.filter(inside)
 
 
 def with_ingest_metadata(df: DataFrame, as_of: datetime) -> DataFrame:

@@ -4,26 +4,47 @@ Order of steps: fix the slice, land it, measure what landed, move the bookmark.
 source is read once. Size and new bookmark come from the landed files, so they describe
 exactly what was written even if an executor was lost and a task read the source again.
 
-A batch is named after the bookmark it starts from. If the job dies before the bookmark
-moves, the next run starts from the same bookmark, overwrites the same folder, and no
-row is landed twice. One job per source and landing folder may run at a time.
+A batch is named after its number among the source's committed batches and the bookmark
+it starts from. If the job dies before the batch is committed, the next run writes the same
+folder again; a committed folder is never written again, also where an overlap reads the
+same rows once more. One job per source and landing folder may run at a time.
+
+Rows without a change time belong to no slice. They are counted in the landed files and
+fail the load before anything is committed, or go to a folder of their own.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
-from tidemark.operators.bookmarks import BOOKMARK_SCHEMA, current_bookmarks, get_bookmark
-from tidemark.operators.incremental import batch_summary, incremental_slice, with_ingest_metadata
+from tidemark.operators.bookmarks import BOOKMARK_SCHEMA
+from tidemark.operators.incremental import Mark, incremental_slice, with_ingest_metadata
+from tidemark.operators.latest import latest_per_key
 from tidemark.sinks.files import write_files
 from tidemark.sources.files import read_files, read_or_empty
 
+# The bookmark as text of the change column's type; ``last_value`` shows it for timestamps.
 LOG_SCHEMA = StructType(
-    [*BOOKMARK_SCHEMA.fields, StructField("batch_id", StringType(), False)]
+    [
+        *BOOKMARK_SCHEMA.fields,
+        StructField("batch_id", StringType(), False),
+        StructField("mark", StringType(), False),
+        StructField("number", LongType(), False),
+    ]
 )
 METADATA = [
     StructField("ingested_at", TimestampNTZType(), True),
@@ -35,9 +56,14 @@ METADATA = [
 class LoadResult:
     source: str
     rows: int
-    bookmark_before: datetime | None
-    bookmark_after: datetime | None
+    bookmark_before: Mark | None
+    bookmark_after: Mark | None
     batch_path: str | None
+    quarantined: int = 0
+
+
+class MissingChangeTime(ValueError):
+    """The slice holds rows without a change time, so no bookmark could cover them."""
 
 
 @dataclass(frozen=True)
@@ -58,11 +84,28 @@ class Landing:
         return read_or_empty(spark, self.log_path, LOG_SCHEMA)
 
     def bookmarks(self, spark: SparkSession) -> DataFrame:
-        return current_bookmarks(self.log(spark)).drop("batch_id")
+        newest = latest_per_key(self.log(spark), ["table_name"], ["number"])
+        return newest.select(*BOOKMARK_SCHEMA.names)
+
+    def quarantine(self, source: str) -> str:
+        return f"{self.root}/quarantine/{source}"
+
+
+def is_stamp(kind: DataType) -> bool:
+    return isinstance(kind, (TimestampType, TimestampNTZType))
 
 
-def batch_name(lo: datetime | None) -> str:
-    return "initial" if lo is None else f"after-{lo:%Y%m%dT%H%M%S%f}"
+def parsed(mark: str, kind: DataType) -> Mark:
+    if is_stamp(kind):
+        return datetime.fromisoformat(mark)
+    if isinstance(kind, DateType):
+        return date.fromisoformat(mark)
+    return int(mark) if "decimal" not in kind.typeName() else Decimal(mark)
+
+
+def batch_name(number: int, lo: Mark | None) -> str:
+    start = "initial" if lo is None else f"after-{lo:%Y%m%dT%H%M%S%f}" if isinstance(lo, datetime) else f"after-{lo}"
+    return f"{number:08d}-{start}"
 
 
 def landed_schema(source_schema: StructType) -> StructType:
@@ -77,30 +120,58 @@ def run_incremental(
     cdc_col: str,
     landing: Landing,
     as_of: datetime,
-    hi: datetime | None = None,
-    overlap: timedelta = timedelta(0),
+    hi: Mark | None = None,
+    overlap: timedelta | int = timedelta(0),
+    quarantine: bool = False,
 ) -> LoadResult:
-    """Load what changed since the bookmark and up to ``hi`` (``as_of`` when not given).
+    """Load what changed since the bookmark and up to ``hi``.
 
-    An empty batch lands no files and leaves the bookmark where it was.
+    Without ``hi``, a timestamp column is bounded by ``as_of``; dates and numbers, which the
+    run's clock says nothing about, are not bounded. A batch that brings nothing new, that is
+    no row or only rows of the overlap that are landed already, is not committed and leaves
+    the bookmark where it was. Rows without a change time raise ``MissingChangeTime``, or
+    with ``quarantine`` are read once more and written to a folder of their own per batch.
     """
-    lo = get_bookmark(landing.bookmarks(spark), source)
-    changed = incremental_slice(df, cdc_col, lo, hi or as_of, overlap)
-    path = f"{landing.batches(source)}/batch_id={batch_name(lo)}"
-    write_files(
-        with_ingest_metadata(changed, as_of),
-        path,
-        landing.fmt,
-        mode="overwrite",
-        partition_by=["ingest_date"],
-    )
+    kind = df.schema[cdc_col].dataType
+    last = landing.log(spark).filter(F.col("table_name") == source)
+    last = last.agg(F.max_by("mark", "number").alias("mark"), F.coalesce(F.max("number"), F.lit(-1)).alias("number")).first()
+    lo = parsed(last.mark, kind) if last.mark is not None else None
+    hi = as_of if hi is None and is_stamp(kind) else hi
+    name = batch_name(last.number + 1, lo)
+    path = f"{landing.batches(source)}/batch_id={name}"
+    changed = incremental_slice(df, cdc_col, lo, hi, overlap, with_missing=not quarantine)
+    if quarantine:
+        changed = changed.filter(F.col(cdc_col).isNotNull())
+    write_files(with_ingest_metadata(changed, as_of), path, landing.fmt, mode="overwrite", partition_by=["ingest_date"])
     written = read_files(spark, path, landing.fmt, landed_schema(df.schema))
-    rows, reached = batch_summary(written, cdc_col, lo).first()
-    if rows == 0:
-        return LoadResult(source, 0, lo, lo, None)
-    entry = [(source, reached, as_of, batch_name(lo))]
+    reached = F.max(cdc_col).cast("timestamp_ntz") if is_stamp(kind) else F.max(cdc_col)
+    found = written.agg(
+        F.count("*").alias("rows"), F.count_if(F.col(cdc_col).isNull()).alias("missing"), reached.alias("reached")
+    ).first()
+    if found.missing:
+        raise MissingChangeTime(f"{found.missing} rows of {source} have no {cdc_col}; nothing was committed")
+    set_aside = _set_aside(df.filter(F.col(cdc_col).isNull()), landing, source, name) if quarantine else 0
+    after = found.reached if lo is None or (found.rows and found.reached > lo) else lo
+    if found.rows == 0 or (after == lo and not _brings_news(spark, source, written, landing, df.schema)):
+        return LoadResult(source, 0, lo, lo, None, set_aside)
+    stamp = after if is_stamp(kind) else None
+    entry = [(source, stamp, as_of, name, after.isoformat() if isinstance(after, date) else str(after), last.number + 1)]
     write_files(spark.createDataFrame(entry, LOG_SCHEMA), landing.log_path)
-    return LoadResult(source, rows, lo, reached, path)
+    return LoadResult(source, found.rows, lo, after, path, set_aside)
+
+
+def _set_aside(rows: DataFrame, landing: Landing, source: str, name: str) -> int:
+    path = f"{landing.quarantine(source)}/batch_id={name}"
+    write_files(rows, path, landing.fmt, mode="overwrite")
+    return read_files(rows.sparkSession, path, landing.fmt, rows.schema).count()
+
+
+def _brings_news(spark: SparkSession, source: str, written: DataFrame, landing: Landing, schema: StructType) -> bool:
+    """Whether an overlap holds a row that no committed batch has in the same form."""
+    names = [f.name for f in schema.fields if "map<" not in f.dataType.simpleString()]
+    row = F.struct(*names)
+    landed = read_landed(spark, source, landing, schema).select(row.alias("known"))
+    return not written.join(landed, row.eqNullSafe(F.col("known")), "left_anti").isEmpty()
 
 
 def read_landed(

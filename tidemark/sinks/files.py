@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.sources.files import check_format
+from tidemark.sources.files import CSV, check_format, csv_text, map_texts
 
 
 def write_files(
@@ -16,10 +16,11 @@ def write_files(
     max_records_per_file: int = 5_000_000,
 ) -> None:
     """Write files, one or more per task. There is no step that gathers rows in one task."""
-    writer = df.write.format(check_format(fmt)).mode(mode)
+    csv = check_format(fmt) == "csv"
+    writer = (map_texts(df, csv_text) if csv else df).write.format(fmt.lower()).mode(mode)
     writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if fmt.lower() == "csv":
-        writer = writer.option("header", True)
+    if csv:
+        writer = writer.options(**CSV)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

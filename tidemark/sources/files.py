@@ -1,12 +1,53 @@
-"""File sources."""
+"""File sources and the CSV dialect that sinks and sources share.
+
+CSV files keep every value: timestamps carry microseconds, NULL is ``\\N``, the empty text is
+quoted, blanks around a text stay, and in texts a backslash, a line feed and a carriage
+return are written as ``\\\\``, ``\\n`` and ``\\r``. No record spans two lines, so large files
+can be split.
+"""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 FORMATS = ("parquet", "csv")
+CSV = {
+    "header": "true",
+    "nullValue": "\\N",
+    "quote": '"',
+    "escape": '"',
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def csv_text(text: Column) -> Column:
+    """A text without line breaks that ``plain_text`` turns back."""
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def plain_text(text: Column) -> Column:
+    """The text before ``csv_text``: doubled backslashes are set apart before the rest."""
+    parts = F.transform(
+        F.split(text, r"\\\\"),
+        lambda t: F.replace(F.replace(t, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+    )
+    return F.array_join(parts, "\\")
+
+
+def map_texts(df: DataFrame, change) -> DataFrame:
+    return df.select(
+        *[
+            change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+    )
 
 
 def check_format(fmt: str) -> str:
@@ -27,7 +68,7 @@ def read_files(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "FAILFAST")
+        return map_texts(reader.options(**CSV).option("mode", "FAILFAST").load(path), plain_text)
     return reader.load(path)
 
 

@@ -16,6 +16,10 @@ from pyspark.sql.types import StructType
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.scd1 import scd1_merge
 from tidemark.sinks.releases import latest_release, publish, read_current, released
+from tidemark.sources.files import CSV, map_texts, plain_text
+
+# The property in which Spark names the running stream; it is kept in the checkpoint.
+STREAM_ID = "sql.streaming.queryId"
 
 
 def landed_stream(
@@ -27,10 +31,10 @@ def landed_stream(
 ) -> DataFrame:
     """New files under ``path`` as a stream; ``max_files`` bounds one micro-batch."""
     reader = spark.readStream.format(fmt).schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if fmt == "csv":
+        return map_texts(reader.options(**CSV).option("mode", "FAILFAST").load(path), plain_text)
     return reader.load(path)
 
 
@@ -52,13 +56,18 @@ def keep_latest(
 ) -> Callable[[DataFrame, int], None]:
     """A batch handler that keeps the newest row per key as a type-1 table under ``root``.
 
-    The release is named after the batch number, so a batch that Spark repeats after a
-    failure finds its release published and does nothing.
+    The release is named after the stream and its batch number, so a batch that Spark repeats
+    after a failure finds its release published and does nothing. A stream with a new
+    checkpoint has a new id: its batches are merged, whatever their numbers are, and rows
+    that were merged before change nothing.
     """
 
+    seen = {"stream": "no-stream"}  # a call outside a stream repeats a batch of the last one
+
     def merge_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        release = f"batch-{number:012d}"
+        stream = seen["stream"] = spark.sparkContext.getLocalProperty(STREAM_ID) or seen["stream"]
+        release = f"{stream}-{number:012d}"
         if not released(spark, root).filter(F.col("release") == release).isEmpty():
             return
         if latest_release(spark, root) is None:
