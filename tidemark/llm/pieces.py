@@ -5,15 +5,17 @@ into vocabulary pieces with the greatest sum of piece scores (ties: the longer l
 A character outside the vocabulary, the mark itself included, is written as its UTF-8 bytes
 in byte pieces, at a cost below any piece, so decoding restores every text exactly.
 
-The search keeps the best paths to the last ``longest`` boundaries only, ``longest`` being
-the length of the longest piece; no later piece can start before them. Boundaries that no
-surviving path goes through are pruned, and as soon as all surviving paths go through one
-boundary, the ids before it are committed and forgotten. The state therefore stays small
-in texts of any length.
+The search goes on from the best paths to the last ``longest`` boundaries only, ``longest``
+being the length of the longest piece; no later piece can start before them. Whenever a few
+windows of boundaries have gathered, the surviving paths are followed back to the boundary
+that they all go through, and the ids before it are committed and forgotten. The state
+therefore stays small in texts of any length.
 
 No piece of such a vocabulary holds a mark after another character (checked when it is
-loaded), so all paths converge before each run of blanks. A unit - a run of blanks and the
-characters up to the next - is searched once per worker and remembered in a bounded table.
+loaded), so all paths converge before each run of blanks; likewise they converge between a
+letter and a punctuation mark that no piece holds behind a letter. A unit - the characters
+from one such boundary to the next - is searched once and remembered by the worker in two bounded
+tables: when the newer is full, it replaces the older, and what is used moves on.
 
 The vocabulary is read on the driver from ``model_file`` and broadcast; its size is that of
 the model. Edge cases: a null text gives null ids and null round_trip, an empty one no ids;
@@ -32,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 MARK = "▁"
-# A unit: a run of blanks and what follows it up to the next blank.
-UNIT = re.compile(r" +[^ ]*")
-REMEMBERED = 1 << 18
+PUNCTUATION = ".,;:!?|*$%&#()[]\"'"
+LETTER = r"[^\W\d_]"
+REMEMBERED = 600_000
 # Scores below this mark pieces that a model keeps out of its ordinary segmentations.
 OUTLIER = -1e8
 SLICE = 1 << 21
@@ -43,10 +45,25 @@ SLICE = 1 << 21
 @dataclass(frozen=True)
 class Vocabulary:
     pieces: dict[str, tuple[float, int]]  # text of a piece: score, id
+    endings: dict[str, tuple[float, int]]  # every ending of a piece: its score and id, or id -1
     byte_ids: list[int]  # id of each byte's piece
     as_bytes: list[bytes]  # what each id decodes to
     unknown: float  # score of a character outside the vocabulary
     longest: int
+    unit: str  # pattern of the units between boundaries that all paths go through
+
+
+def endings_of(pieces: dict[str, tuple[float, int]]) -> dict[str, tuple[float, int]]:
+    """Lets a search from the end of a piece stop where no piece goes on."""
+    return {p[i:]: (0.0, -1) for p in pieces for i in range(1, len(p))} | pieces
+
+
+def unit_pattern(pieces: dict[str, tuple[float, int]]) -> str:
+    letter = re.compile(LETTER)
+    behind = {b for p in pieces for a, b in zip(p, p[1:]) if b in PUNCTUATION and letter.match(a)}
+    closing = re.escape("".join(c for c in PUNCTUATION if c not in behind))
+    whole = r" *[^ ]+| +"
+    return rf" *[^ {closing}]*{LETTER}(?=[{closing}])|{whole}" if closing else whole
 
 
 def load_vocabulary(model_file: str) -> Vocabulary:
@@ -69,74 +86,70 @@ def load_vocabulary(model_file: str) -> Vocabulary:
     if -1 in byte_ids:
         raise ValueError("the vocabulary has no piece for some byte")
     worst = min((s for s, _ in pieces.values() if s > OUTLIER), default=0.0)
-    return Vocabulary(pieces, byte_ids, as_bytes, worst - 10.0, max(map(len, pieces), default=1))
+    return Vocabulary(pieces, endings_of(pieces), byte_ids, as_bytes, worst - 10.0, max(map(len, pieces), default=1), unit_pattern(pieces))
 
 
 class StreamingViterbi:
     """Best split of a stream of characters; ids come out as soon as they are certain.
 
-    Boundary ``b`` lies after the first ``b`` characters. ``nodes[b]`` holds the score, the
-    parent, the ids of the step from it, the number of children and the XOR of the children.
+    The lists hold, for each boundary since the last committed one, the best score, the
+    boundary before it on the best path, and the ids of that step.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.tail = ""  # the last characters, at most ``longest``
-        self.at = 0
-        self.root = 0
-        self.nodes = {0: [0.0, -1, (), 0, 0]}
+        self.scores, self.parents, self.steps = [0.0], [-1], [()]
         self.ids: list[int] = []
+        self.due = 4 * vocabulary.longest
 
     def feed(self, text: str) -> None:
-        words, nodes = self.vocabulary, self.nodes
-        find, longest = words.pieces.get, words.longest
-        for char in text:
-            tail = self.tail = (self.tail + char)[-longest:]
-            end = self.at = self.at + 1
-            best, parent, ids = None, end - 1, ()
-            for width in range(len(tail), 0, -1):
-                hit = find(tail[-width:])
-                if hit is None or end - width not in nodes:
-                    continue
-                score = nodes[end - width][0] + hit[0]
-                if best is None or score > best:
-                    best, parent, ids = score, end - width, (hit[1],)
-            if (char if char != " " else MARK) not in words.pieces:
-                score = nodes[end - 1][0] + words.unknown
-                if best is None or score > best:
-                    best, parent = score, end - 1
-                    ids = tuple(words.byte_ids[b] for b in char.encode("utf-8", "surrogatepass"))
-            nodes[end] = [best, parent, ids, 0, 0]
-            nodes[parent][3] += 1
-            nodes[parent][4] ^= end
-            self._forget(end - longest)
-        return None
-
-    def _forget(self, old: int) -> None:
-        """Prune boundary ``old`` if no path goes on from it; commit what is certain."""
-        nodes = self.nodes
-        b = old
-        while b in nodes and b <= old and nodes[b][3] == 0:
-            parent = nodes.pop(b)[1]
-            nodes[parent][3] -= 1
-            nodes[parent][4] ^= b
-            b = parent
-        while self.root <= old and nodes[self.root][3] == 1:
-            self._commit(nodes[self.root][4])
-
-    def _commit(self, child: int) -> None:
-        self.ids.extend(self.nodes[child][2])
-        del self.nodes[self.root]
-        self.root = child
+        words, scores, parents, steps = self.vocabulary, self.scores, self.parents, self.steps
+        find, longest = words.endings.get, words.longest
+        text = self.tail + text
+        for end in range(len(self.tail) + 1, len(text) + 1):
+            n = len(scores)
+            best, parent, ids = float("-inf"), n - 1, ()
+            for width in range(1, min(longest, n, end) + 1):
+                hit = find(text[end - width : end])
+                if hit is None:
+                    break
+                if hit[1] >= 0 and (score := scores[-width] + hit[0]) >= best:
+                    best, parent, ids = score, n - width, (hit[1],)
+            if (char := text[end - 1]) not in words.pieces and (score := scores[-1] + words.unknown) > best:
+                best, parent = score, n - 1
+                ids = tuple(words.byte_ids[b] for b in char.encode("utf-8", "surrogatepass"))
+            scores.append(best)
+            parents.append(parent)
+            steps.append(ids)
+            if n >= self.due:
+                self.commit()
+        self.tail = text[-longest:]
+
+    def commit(self) -> None:
+        """Give out the ids before the last boundary that all surviving paths go through."""
+        parents = self.parents
+        paths = set(range(max(0, len(parents) - self.vocabulary.longest), len(parents)))
+        while len(paths) > 1:
+            last = max(paths)
+            paths.remove(last)
+            paths.add(parents[last])
+        root = paths.pop()
+        self.ids.extend(self.ids_to(root))
+        del self.scores[:root], self.parents[:root], self.steps[:root]
+        self.parents[:] = [p - root for p in self.parents]
+        self.due = len(self.parents) + 4 * self.vocabulary.longest
+
+    def ids_to(self, boundary: int) -> list[int]:
+        path = []
+        while boundary > 0:
+            path.append(self.steps[boundary])
+            boundary = self.parents[boundary]
+        return list(chain.from_iterable(reversed(path)))
 
     def finish(self) -> list[int]:
         """All ids; the best path to the end is the only one left."""
-        steps, b = [], self.at
-        while b != self.root:
-            steps.append(self.nodes[b][2])
-            b = self.nodes[b][1]
-        self.ids.extend(chain.from_iterable(reversed(steps)))
-        return self.ids
+        return self.ids + self.ids_to(len(self.parents) - 1)
 
 
 class Encoder(dict):
@@ -145,8 +158,21 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.units = re.compile(vocabulary.unit).findall
 
     def __missing__(self, unit: str) -> tuple[int, ...]:
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.search(unit)
+        if len(unit) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[unit] = ids
+        return ids
+
+    def search(self, unit: str) -> tuple[int, ...]:
         search = StreamingViterbi(self.vocabulary)
         blanks = len(unit) - len(unit.lstrip(" "))
         # A mark that stands in the text itself is not a blank: it goes to its bytes.
@@ -154,12 +180,7 @@ class Encoder(dict):
             if i:
                 search = self._bytes(search, MARK)
             search.feed(MARK * blanks + part if i == 0 else part)
-        ids = tuple(search.finish())
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(unit) <= 64:
-            self[unit] = ids
-        return ids
+        return tuple(search.finish())
 
     def _bytes(self, search: StreamingViterbi, char: str) -> StreamingViterbi:
         """Close a search and start the next one behind a character written as bytes."""
@@ -169,7 +190,7 @@ class Encoder(dict):
         return again
 
     def encode(self, text: str) -> array:
-        return array("i", chain.from_iterable(map(self.__getitem__, UNIT.findall(" " + text)))) if text else array("i")
+        return array("i", chain.from_iterable(map(self.__getitem__, self.units(" " + text)))) if text else array("i")
 
     def decode(self, ids: array) -> bytes:
         return b"".join(map(self.vocabulary.as_bytes.__getitem__, ids))[1:]
@@ -178,12 +199,16 @@ class Encoder(dict):
 ENCODED = "doc_id long, n_pieces long, pieces array<int>, round_trip boolean"
 
 
+# One encoder per worker process and vocabulary, so that tasks share what is remembered.
+_encoders: dict[int, Encoder] = {}
+
+
 def encode(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_pieces, pieces and round_trip (decoding gives the text again) per row."""
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_file))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(shared.value)
+        coder = encoder_of(shared.value)
         for batch in batches:
             lo = 0
             while lo < batch.num_rows:
@@ -206,6 +231,14 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, ENCODED)
 
 
+def encoder_of(vocabulary: Vocabulary) -> Encoder:
+    key = hash((len(vocabulary.pieces), tuple(vocabulary.as_bytes)))
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(vocabulary)
+    return _encoders[key]
+
+
 def record_batch(doc_ids: pa.Array, counts: list[int | None], values: array, exact: list[bool | None]) -> pa.RecordBatch:
     ends = [0]
     for n in counts:
