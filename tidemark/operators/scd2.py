@@ -1,4 +1,10 @@
-"""Type 2: every version of a row is kept, with a half-open validity interval."""
+"""Type 2: every version of a row is kept, with a half-open validity interval.
+
+There are two ways to merge a batch. ``changes`` and what builds on it take the newest row
+of each key and are one shuffle without writes; they suit batches with one change per key.
+``every_change`` makes a version of each change in the batch, in the order of change time and
+``order_cols`` within and across batches; stored dimensions are refreshed that way.
+"""
 
 from __future__ import annotations
 
@@ -8,13 +14,24 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DataType
 
-from tidemark.functions import any_differs, instant, surrogate_key
+from tidemark.functions import any_differs, instant, row_hash, surrogate_key
+from tidemark.operators.numbering import number_rows
 from tidemark.operators.pairing import pair_by_key
 from tidemark.operators.union import stack
+from tidemark.sinks.files import write_files
 
 OPEN_END = datetime(9999, 12, 31)
 
 
+@dataclass(frozen=True)
+class BatchVersions:
+    """What a batch does to a dimension: rows to store, and incoming rows that came late."""
+
+    current: DataFrame  # the stored current rows, closed where a change of the batch follows
+    opened: DataFrame  # a version for each change, all but the last of a key closed
+    late: DataFrame  # incoming rows that differ from a stored row they do not follow
+
+
 @dataclass(frozen=True)
 class Scd2:
     """How a type-2 dimension is keyed, compared and stored.
@@ -158,6 +175,86 @@ class Scd2:
         history = dim.filter(~self.is_current())
         return stack(history, self.rebuilt(dim, self.changes(dim, staging)))
 
+    def _position(self, df: DataFrame) -> list[str]:
+        return [self.ts_col, *[c for c in self.order_cols if c != self.ts_col]]
+
+    def every_change(self, dim: DataFrame, staging: DataFrame, work: str) -> BatchVersions:
+        """Versions of all changes in the batch, over stored tables below the folder ``work``.
+
+        Rows are numbered per key in range partitions, so a key with a third of the batch is
+        many tasks' work, and meet their predecessor by key and number. A row equal to its
+        predecessor in all tracked columns opens nothing. A row that does not come after the
+        stored version is late if it differs from it.
+        """
+        spark, keys = dim.sparkSession, self.keys
+        staging = staging.select(
+            *[F.col(c).cast(dim.schema[c].dataType).alias(c) if c in keys else F.col(c) for c in staging.columns]
+        )
+        if not staging.filter(" OR ".join(f"`{k}` IS NULL" for k in keys)).isEmpty():
+            raise ValueError("the batch holds rows without a key")
+        order = self._position(staging)
+        rows = staging.withColumn("_hash", row_hash(staging))
+        rows = number_rows(rows, [*order, "_hash"], "_n", f"{work}/numbered", by=keys)
+        before = rows.select(
+            *[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n") + 1).alias("_next"), F.struct(*order, *self.tracked).alias("_before")
+        )
+        stored = dim.filter(self.is_current())
+        was = stored.select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.struct(*stored.columns).alias("_was"))
+        same = lambda p: [F.col(k) == F.col(f"{p}{k}") for k in keys]
+        met = rows.join(before, [*same("_k_"), F.col("_n") == F.col("_next")], "left").join(was, same("_w_"), "left")
+
+        def reached(row: Column, stored_row: bool = False) -> Column:
+            return F.struct(*[row[self.valid_from if stored_row and c == self.ts_col else c].alias(c) for c in order])
+
+        stamp = dim.schema[self.valid_from].dataType
+        now = F.struct(*[(F.col(c).cast(stamp) if c == self.ts_col else F.col(c)).alias(c) for c in order])
+        stale = F.col("_was").isNotNull() & (now <= reached(F.col("_was"), True))
+        fresh_before = F.col("_before").isNotNull() & (
+            F.col("_was").isNull() | (reached(F.col("_before")) > reached(F.col("_was"), True))
+        )
+        from_was = any_differs((F.col("_was")[c], F.col(c)) for c in self.tracked)
+        from_before = any_differs((F.col("_before")[c], F.col(c)) for c in self.tracked)
+        first = F.col("_was").isNull() & F.col("_before").isNull()
+        opens = ~stale & F.when(fresh_before, from_before).otherwise(first | from_was)
+        judged = met.select(
+            *staging.columns, "_hash", F.when(stale & from_was, "late").when(opens, "opens").otherwise("same").alias("_is")
+        )
+        write_files(judged.filter("_is <> 'same'"), f"{work}/judged")
+        judged = spark.read.parquet(f"{work}/judged")
+        late = judged.filter("_is = 'late'").select(*staging.columns)
+        changes = number_rows(judged.filter("_is = 'opens'").drop("_is"), [*order, "_hash"], "_n", f"{work}/changes", by=keys)
+
+        end = dim.schema[self.valid_to].dataType
+        starts = changes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n") - 1).alias("_of"), F.col(self.ts_col).cast(end).alias("_ends"))
+        counted = (dim if self.version else stored).groupBy(*[F.col(k).alias(f"_w_{k}") for k in keys]).agg(
+            (F.max(self.version).cast("long") if self.version else F.lit(0).cast("long")).alias("_counted")
+        )
+        opened = changes.join(starts, [*same("_k_"), F.col("_n") == F.col("_of")], "left").join(counted, same("_w_"), "left")
+        number = F.coalesce("_counted", F.lit(0)) + F.col("_n")
+        columns = self._opening(F.col(self.ts_col).cast(stamp), number, end)
+        closed = F.col("_ends").isNotNull()
+        columns[self.valid_to] = F.when(closed, F.col("_ends")).otherwise(columns[self.valid_to])
+        columns[self.current] = (~closed).cast(self.current_type)
+        opened = opened.select(*[(columns[c] if c in columns else F.col(c)).cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+
+        follows = starts.filter("_of = 0")
+        current = stored.join(follows, same("_k_"), "left")
+        gone = F.col("_ends").isNotNull()
+        replaced = {
+            self.valid_to: F.when(gone, self._closed_at(F.col("_ends"), end)).otherwise(F.col(self.valid_to)),
+            self.current: (~gone).cast(dim.schema[self.current].dataType),
+        }
+        current = current.select(*[replaced.get(c, F.col(c)).alias(c) for c in dim.columns])
+        return BatchVersions(current, opened, late)
+
+    def _closed_at(self, ends: Column, end: DataType) -> Column:
+        return instant(self.expire_at, end) if self.expire_at else ends
+
+    def merge_every_change(self, dim: DataFrame, staging: DataFrame, work: str) -> DataFrame:
+        """The whole dimension after the batch, a version for each change in it."""
+        found = self.every_change(dim, staging, work)
+        return stack(dim.filter(~self.is_current()), found.current, found.opened)
+
     def current_view(self, dim: DataFrame) -> DataFrame:
         return dim.filter(self.is_current())
 

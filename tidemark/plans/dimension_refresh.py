@@ -3,11 +3,13 @@
 Every refresh writes one folder, split by the current flag: all current rows, and the
 versions that this refresh closed. Closed versions stay in the folder of the refresh that
 closed them, so the history, which grows without end, is never written again. Of the
-history a refresh reads only key and version.
+history a refresh reads only key and version. Every change in a batch becomes a version;
+late rows are stored beside the versions and counted, never dropped.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,8 +17,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.scd2 import Scd2
 from tidemark.operators.union import stack
-from tidemark.sinks.files import write_files
+from tidemark.sinks.files import remove_folder, write_files
 from tidemark.sinks.releases import announce, latest_release, refuse_published, released
+from tidemark.sources.files import read_files
 
 
 def _store(scd: Scd2, rows: DataFrame, root: str, release: str, at: datetime) -> None:
@@ -45,10 +48,30 @@ def start_dimension(scd: Scd2, staging: DataFrame, root: str, release: str, at:
 
 def refresh_dimension(
     scd: Scd2, staging: DataFrame, root: str, release: str, at: datetime
-) -> None:
-    """Merge a batch. A retry with the same ``release`` overwrites a failed attempt."""
-    dim = read_dimension(staging.sparkSession, scd, root)
-    _store(scd, scd.rebuilt(dim, scd.changes(dim, staging)), root, release, at)
+) -> int:
+    """Merge a batch; returns the number of late rows, which ``late_rows`` gives.
+
+    A retry with the same ``release`` overwrites a failed attempt. Columns that the stored
+    dimension does not have are refused rather than left out.
+    """
+    spark = staging.sparkSession
+    dim = read_dimension(spark, scd, root)
+    if new := sorted(set(staging.columns) - set(dim.columns)):
+        raise ValueError(f"the batch has columns that {root} lacks: {new}")
+    refuse_published(spark, root, release)
+    work = f"{root}/work/{release}-{uuid.uuid4().hex}"
+    found = scd.every_change(dim, staging, work)
+    late = f"{root}/late/release={release}"
+    write_files(found.late, late, mode="overwrite")
+    _store(scd, stack(found.current, found.opened), root, release, at)
+    remove_folder(spark, work)
+    return read_files(spark, late, schema=staging.schema).count()
+
+
+def late_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Incoming rows of published refreshes that did not follow the version stored then."""
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{root}/late")
+    return rows.join(released(spark, root), "release", "left_semi")
 
 
 def current_rows(spark: SparkSession, scd: Scd2, root: str) -> DataFrame:

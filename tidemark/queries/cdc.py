@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -59,11 +59,51 @@ def cdc_high_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "cdc_ingest_metadata",
-    f"""SELECT *, {AS_OF_SQL} AS ingested_at, DATE '2024-06-01' AS ingest_date FROM orders
-WHERE o_orderdate > TIMESTAMP '1998-01-01' AND o_orderdate <= TIMESTAMP '2000-01-01'""",
+    f"""SELECT *, {AS_OF_SQL} AS ingested_at, DATE '2024-06-01' AS ingest_date FROM orders""",
 )
 def cdc_ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_ingest_metadata(cdc_incremental(spark, sf_dir), AS_OF)
+    return with_ingest_metadata(_orders(spark, sf_dir), AS_OF)
+
+
+@query(
+    "cdc_incremental_by_key",
+    """SELECT * FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 3 FROM orders)
+AND o_orderkey <= (SELECT 2 * (max(o_orderkey) // 3) FROM orders)""",
+)
+def cdc_incremental_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number as change column; the bounds cut the keys in three."""
+    orders = _orders(spark, sf_dir)
+    third = high_watermark(orders, "o_orderkey").first()[0] // 3
+    return incremental_slice(orders, "o_orderkey", third, 2 * third)
+
+
+@query(
+    "cdc_incremental_by_date",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS changed_on FROM orders
+WHERE CAST(o_orderdate AS DATE) > DATE '1998-01-01' AND CAST(o_orderdate AS DATE) <= DATE '2000-01-01'""",
+)
+def cdc_incremental_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _orders(spark, sf_dir).select("o_orderkey", F.to_date(STAMP).alias("changed_on"))
+    return incremental_slice(days, "changed_on", LO.date(), HI.date())
+
+
+@query(
+    "cdc_overlap_replay",
+    """SELECT o_orderkey, o_totalprice FROM orders
+UNION ALL SELECT o_orderkey, o_totalprice + 1 FROM orders
+WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)""",
+)
+def cdc_overlap_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All landed versions: rows of the bookmark's own second change between two overlapping runs."""
+    landing = Landing(scratch_path(spark, "cdc_overlap_replay"))
+    orders = _orders(spark, sf_dir)
+    second = timedelta(seconds=1)
+    first = run_incremental(spark, "orders", orders, STAMP, landing, AS_OF)
+    newest = F.col(STAMP) == F.lit(str(first.bookmark_after)).cast("timestamp_ntz")
+    changed = orders.withColumn("o_totalprice", F.col("o_totalprice") + newest.cast("int"))
+    for _ in range(2):
+        run_incremental(spark, "orders", changed, STAMP, landing, AS_OF, overlap=second)
+    return read_landed(spark, "orders", landing, orders.schema).select("o_orderkey", "o_totalprice")
 
 
 def _bookmarks(spark: SparkSession, sf_dir: str, names: dict[str, str]) -> DataFrame:
@@ -203,12 +243,20 @@ def cdc_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, f"{root}/latest", "latest")[0]
 
 
-@query("sink_csv_roundtrip", BY_STATUS_SQL)
+def _through_csv(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    write_files(df, path, "csv")
+    return read_files(df.sparkSession, path, "csv", df.schema)
+
+
+@query("sink_csv_roundtrip", "SELECT * FROM orders")
 def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "sink_csv_roundtrip")
-    orders = _orders(spark, sf_dir)
-    write_files(orders, path, "csv")
-    return _by_status(read_files(spark, path, "csv", orders.schema))
+    return _through_csv(_orders(spark, sf_dir), "sink_csv_roundtrip")
+
+
+@query("sink_csv_roundtrip_events", "SELECT * FROM events")
+def sink_csv_roundtrip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _through_csv(table(spark, sf_dir, "events"), "sink_csv_roundtrip_events")
 
 
 @query(

@@ -17,7 +17,6 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from tidemark.functions import surrogate_key
 from tidemark.operators.incremental import incremental_slice
@@ -35,15 +34,9 @@ BATCH_ORDER = ["last_modified_ts", "order_id"]
 TRACKED = ["order_status", "order_priority"]
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is read from the file once, not again for every query."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(col: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.latest import latest_per_key, newest_versions
+from tidemark.operators.numbering import number_rows
 from tidemark.operators.revenue import best_first, net_amount, order_lines, order_totals
 from tidemark.operators.union import align, stack
 from tidemark.operators.update import update_where
@@ -20,6 +21,7 @@ from tidemark.queries.fixture import (
     table,
 )
 from tidemark.queries.registry import query
+from tidemark.session import scratch_path
 
 RUN_COLUMNS = "customer_id, order_id, order_status, order_priority, last_modified_ts"
 
@@ -307,13 +309,25 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "window_row_number",
+    """SELECT o_custkey, o_orderkey, o_orderdate, row_number() OVER (
+    PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders""",
+)
+def window_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of each customer, numbered from the newest."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    newest = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
+    return number_rows(orders, newest, "rn", scratch_path(spark, "window_row_number"), by=["o_custkey"])
+
+
+@query(
+    "window_newest_three",
     """SELECT o_custkey, o_orderkey, o_orderdate, rn FROM (
     SELECT *, row_number() OVER (
         PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
 WHERE rn <= 3""",
 )
-def window_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three newest orders of each customer, numbered."""
+def window_newest_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three newest orders of each customer, numbered: a top-k report."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     return newest_versions(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], n=3)
 

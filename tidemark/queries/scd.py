@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import any_differs, differs
+from tidemark.operators.incremental import incremental_slice
 from tidemark.operators.scd1 import scd1_merge
 from tidemark.operators.scd3 import scd3_initial, scd3_merge
 from tidemark.operators.union import stack
@@ -155,12 +158,44 @@ def scd2_current_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(SCD2.current_view(_merged(spark, sf_dir)))
 
 
-@query("scd2_stored_refresh", f"{RUNS_SQL} {MERGED_SQL}")
+ALL_VERSIONS_SQL = f"""
+log AS (
+    SELECT {BASE}, 0 AS batch FROM run1
+    UNION ALL SELECT {BASE}, 1 FROM changes WHERE last_modified_ts > TIMESTAMP '1998-04-15'),
+steps AS (
+    SELECT *, lag(order_id) OVER w AS before_id, lag(order_status) OVER w AS before_status,
+           lag(order_priority) OVER w AS before_priority FROM log
+    WINDOW w AS (PARTITION BY customer_id ORDER BY last_modified_ts, order_id)),
+opened AS (
+    SELECT * FROM steps WHERE before_id IS NULL OR order_status IS DISTINCT FROM before_status
+        OR order_priority IS DISTINCT FROM before_priority)
+SELECT {BASE}, last_modified_ts AS effective_from,
+       coalesce(cast(lead(last_modified_ts) OVER w AS varchar), '9999-12-31 00:00:00') AS effective_to,
+       lead(last_modified_ts) OVER w IS NULL AS is_current, row_number() OVER w AS version
+FROM opened WINDOW w AS (PARTITION BY customer_id ORDER BY last_modified_ts, order_id)"""
+
+
+@query("scd2_merge_all_versions", f"{RUNS_SQL}, {ALL_VERSIONS_SQL}")
+def scd2_merge_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change of the second batch becomes a version."""
+    work = scratch_path(spark, "scd2_merge_all_versions")
+    return _shown(SCD2.merge_every_change(_dim(spark, sf_dir), fx.slice2(spark, sf_dir), work))
+
+
+@query("scd2_history_view", f"{RUNS_SQL} {MERGED_SQL}")
+def scd2_history_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(SCD2.history_view(_merged(spark, sf_dir)))
+
+
+@query("scd2_stored_refresh", f"{RUNS_SQL}, {ALL_VERSIONS_SQL}")
 def scd2_stored_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merge as a stored dimension: first load, one refresh, read back."""
+    """The merge as a stored dimension: first load, three refreshes, read back."""
     root = scratch_path(spark, "scd2_stored_refresh")
-    start_dimension(SCD2, fx.run1(spark, sf_dir), root, "r1", fx.BOOKMARK)
-    refresh_dimension(SCD2, fx.slice2(spark, sf_dir), root, "r2", AS_OF)
+    start_dimension(SCD2, fx.run1(spark, sf_dir), root, "r0", fx.BOOKMARK)
+    bounds = [fx.BOOKMARK, datetime(1999, 6, 1), datetime(2000, 6, 1), None]
+    for number, (lo, hi) in enumerate(zip(bounds, bounds[1:]), 1):
+        batch = incremental_slice(fx.slice2(spark, sf_dir), SCD2.ts_col, lo, hi)
+        refresh_dimension(SCD2, batch, root, f"r{number}", AS_OF)
     return _shown(read_dimension(spark, SCD2, root))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.files import CSV, check_format, csv_text, map_texts
 
@@ -24,3 +24,9 @@ def write_files(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of files that no reader uses."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -8,13 +8,13 @@ the same folder again.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tidemark.sinks.files import write_files
 from tidemark.sources.files import read_files, read_or_empty
@@ -23,6 +23,7 @@ RELEASE_SCHEMA = StructType(
     [
         StructField("release", StringType(), False),
         StructField("released_at", TimestampNTZType(), False),
+        StructField("number", LongType(), False),
     ]
 )
 
@@ -32,14 +33,26 @@ def released(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_release(spark: SparkSession, root: str) -> str | None:
-    newest = F.max(F.struct("released_at", "release")).alias("newest")
-    row = released(spark, root).agg(newest).first()
-    return row["newest"]["release"] if row["newest"] else None
+    return newest_release(spark, root)[0]
+
+
+def newest_release(spark: SparkSession, root: str) -> tuple[str | None, datetime | None, int]:
+    """Name, time and number of the newest release; releases count from 0."""
+    newest = F.max_by(F.struct("release", "released_at", "number"), "number").alias("newest")
+    row = released(spark, root).agg(newest).first()["newest"]
+    return (row["release"], row["released_at"], row["number"]) if row else (None, None, -1)
 
 
 def announce(spark: SparkSession, root: str, release: str, at: datetime) -> None:
-    """Make a release that is completely written the current one."""
-    write_files(spark.createDataFrame([(release, at)], RELEASE_SCHEMA), f"{root}/releases")
+    """Make a release that is completely written the current one.
+
+    Releases are ordered by their number. A release dated before the newest one is refused:
+    it would be built on a later state than it claims.
+    """
+    _, newest, number = newest_release(spark, root)
+    if newest is not None and at < newest:
+        raise ValueError(f"release {release!r} of {root} is dated before the newest one")
+    write_files(spark.createDataFrame([(release, at, number + 1)], RELEASE_SCHEMA), f"{root}/releases")
 
 
 def refuse_published(spark: SparkSession, root: str, release: str) -> None:
@@ -52,9 +65,17 @@ def _folder(root: str, release: str, table: str) -> str:
     return f"{root}/data/release={release}/{table}"
 
 
-def publish(tables: Mapping[str, DataFrame], root: str, release: str, at: datetime) -> None:
+def publish(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    release: str,
+    at: datetime,
+    check: Callable[[dict[str, DataFrame]], None] | None = None,
+) -> None:
     """Write the tables as one release and make it the current one.
 
+    ``check`` gets the written tables; if it raises, readers stay on the old release.
+
     The writes are independent jobs and are submitted together, so that small tables
     fill the cluster's gaps beside a large one.
     """
@@ -66,6 +87,8 @@ def publish(tables: Mapping[str, DataFrame], root: str, release: str, at: dateti
 
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         list(pool.map(inheritable_thread_target(spark)(write), tables))
+    if check:
+        check({name: read_files(spark, _folder(root, release, name)) for name in tables})
     announce(spark, root, release, at)
 
 

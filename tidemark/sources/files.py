@@ -84,3 +84,10 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+
+
+def files_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table; it changes when they are written again."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in listed))
