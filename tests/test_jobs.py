@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tests.seeds import model
-from tidemark.__main__ import parser, run, source_options
-from tidemark.plans.star_load import read_star
+from tidemark import __main__ as command_line
+from tidemark.__main__ import parser, read_model, run, source_options
+from tidemark.operators.numbering import number_rows
+from tidemark.plans.star_load import build_star, publish_star, read_star
 from tidemark.plans.star_schema import NATURAL_KEYS, conform, missing_values, star_schema
 from tidemark.operators.quality import (
     duplicate_grain,
@@ -145,3 +148,50 @@ def test_as_of_is_optional():
     assert parser().parse_args(words).as_of is None
     words += ["--as-of", "2024-03-01T10:00:00"]
     assert parser().parse_args(words).as_of == datetime(2024, 3, 1, 10)
+
+
+def test_a_faulty_star_is_not_published(spark, oltp, tmp_path, monkeypatch):
+    words = ["star", "--format", "parquet", "--tables", str(oltp), "--target", str(tmp_path), "--as-of", "2024-03-01"]
+    run(spark, parser().parse_args([*words, "--release", "r1"]))
+    good = build_star(*read_model(spark, parser().parse_args([*words, "--release", "x"])))
+    same_key = replace(good, dim_product=good.dim_product.withColumn("product_key", F.lit(1).cast("long")))
+    with pytest.raises(ValueError, match="collide"):
+        publish_star(same_key, str(tmp_path), "r2", datetime(2024, 3, 2))
+    lacking = replace(good, fact_sales=good.fact_sales.drop("net_amount"))
+    with pytest.raises(ValueError, match="net_amount"):
+        publish_star(lacking, str(tmp_path), "r3", datetime(2024, 3, 2))
+    assert read_star(spark, str(tmp_path)).dim_product.select("product_key").distinct().count() == 5
+    orphaned = replace(good, dim_product=good.dim_product.limit(4))
+    report = publish_star(orphaned, str(tmp_path), "r4", datetime(2024, 3, 2))
+    assert report.row_counts["dim_product"] == 4 and report.orphan_rows["dim_product"] > 0
+    with pytest.raises(ValueError, match="before the newest"):
+        publish_star(good, str(tmp_path), "r5", datetime(2024, 3, 1))
+
+
+def test_command_line_splits_and_sizes():
+    words = ["star", "--format", "jdbc", "--target", "t", "--release", "r", "--split", "orders=order_id,1,900,64", "--shuffled-bytes", "9"]
+    args = parser().parse_args(words)
+    assert dict(args.split)["orders"].options()["numPartitions"] == "64" and args.shuffled_bytes == 9
+    with pytest.raises(SystemExit):
+        parser().parse_args([*words, "--split", "orders=order_id"])
+
+
+def test_database_tables_are_read_in_parallel(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(command_line, "read_jdbc", lambda spark, options, **kw: seen.update({kw["table"]: kw["split"]}))
+    args = parser().parse_args(["star", "--format", "jdbc", "--target", "t", "--release", "r", "--split", "orders=order_id,1,900,64"])
+    read_model(None, args)
+    assert sorted(seen) == sorted(["customers", "categories", "products", "orders", "order_items"])
+    assert seen["orders"].partitions == 64 and seen["products"] is None
+
+
+def test_numbering_spreads_a_hot_key(spark, tmp_path):
+    rows = [("hot" if i % 3 else f"k{i}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, i long").repartition(5)
+    got = number_rows(df, [F.col("i").desc()], "n", str(tmp_path / "all"), by=["k"], partitions=8)
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("i"))).cast("long"))
+    assert got.exceptAll(want).isEmpty() and got.count() == 3000
+    stored = spark.read.parquet(str(tmp_path / "all")).filter("k = 'hot'")
+    assert stored.select("__part").distinct().count() > 3
+    single = number_rows(df, ["i"], "n", str(tmp_path / "one"), partitions=4)
+    assert [r.n for r in single.orderBy("i").select("n").collect()] == list(range(1, 3001))

@@ -17,6 +17,7 @@ from tidemark.operators.scd2 import Scd2
 from tidemark.operators.scd3 import scd3_initial, scd3_merge
 from tidemark.plans.dimension_refresh import (
     current_rows,
+    late_rows,
     read_dimension,
     refresh_dimension,
     start_dimension,
@@ -348,3 +349,64 @@ def test_failed_refresh_is_invisible_and_can_be_repeated(spark, run1, run2, tmp_
     assert read_dimension(spark, SCD, root).count() == 7
     with pytest.raises(ValueError, match="already published"):
         refresh_dimension(SCD, run2, root, "r1", T2)
+
+
+LOG = "k int, v string, ts timestamp_ntz, seq int"
+ORDERED = Scd2(["k"], ["v"], "ts", order_cols=["ts", "seq"])
+
+
+def moment(n):
+    return T1 + timedelta(days=n)
+
+
+def versions(df):
+    return rows(df, "k", "version", "v", "effective_from", "effective_to", "is_current")
+
+
+def test_every_change_of_a_batch_becomes_a_version(spark, tmp_path):
+    root, at = str(tmp_path), datetime(2024, 1, 1)
+    log = lambda *r: spark.createDataFrame(list(r), LOG)
+    start_dimension(ORDERED, log((1, "v1", moment(0), 1), (2, "x", moment(0), 1)), root, "r0", at)
+    batch1 = log((1, "v2", moment(1), 1), (1, "v3", moment(1), 2), (1, "v3", moment(2), 1), (1, "v4", moment(3), 1), (3, "n", moment(1), 1), (3, "m", moment(2), 1))
+    assert refresh_dimension(ORDERED, batch1, root, "r1", at) == 0
+    assert versions(read_dimension(spark, ORDERED, root)) == [
+        (1, 1, "v1", moment(0), moment(1), False),
+        (1, 2, "v2", moment(1), moment(1), False),
+        (1, 3, "v3", moment(1), moment(3), False),
+        (1, 4, "v4", moment(3), FAR, True),
+        (2, 1, "x", moment(0), FAR, True),
+        (3, 1, "n", moment(1), moment(2), False),
+        (3, 2, "m", moment(2), FAR, True),
+    ]
+    # The same time with a higher sequence follows; an earlier change comes late and is stored.
+    batch2 = log((1, "v5", moment(3), 2), (2, "old", moment(-1), 1), (3, "m", moment(2), 1))
+    assert refresh_dimension(ORDERED, batch2, root, "r2", at) == 1
+    assert rows(late_rows(spark, root), "k", "v") == [(2, "old")]
+    current = current_rows(spark, ORDERED, root)
+    assert rows(current, "k", "version", "v") == [(1, 5, "v5"), (2, 1, "x"), (3, 2, "m")]
+    with pytest.raises(ValueError, match="lacks"):
+        refresh_dimension(ORDERED, batch2.withColumn("extra", F.lit(1)), root, "r3", at)
+    with pytest.raises(ValueError, match="without a key"):
+        refresh_dimension(ORDERED, log((None, "v", moment(9), 1)), root, "r3", at)
+
+
+def test_batches_in_any_cut_give_the_same_history(spark, tmp_path):
+    rng = random.Random(11)
+    log = [(rng.randint(1, 6), rng.choice("abc"), moment(rng.randint(1, 9)), i) for i in range(60)]
+    log.sort(key=lambda r: (r[2], r[3]))
+    first = {}
+    for r in log:
+        first.setdefault(r[0], r)
+    rest = [r for r in log if first[r[0]] is not r]
+    seen = set()
+    for cuts in ([], [20], [10, 25, 40]):
+        root = str(tmp_path / f"cut{len(cuts)}")
+        start_dimension(ORDERED, spark.createDataFrame(list(first.values()), LOG), root, "r0", T1)
+        for n, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(rest)])):
+            assert refresh_dimension(ORDERED, spark.createDataFrame(rest[lo:hi], LOG), root, f"r{n + 1}", T1) == 0
+        seen.add(tuple(versions(read_dimension(spark, ORDERED, root))))
+    assert len(seen) == 1
+    for k in {r[0] for r in log}:
+        values = [r[1] for r in log if r[0] == k]
+        steps = [v for i, v in enumerate(values) if i == 0 or values[i - 1] != v]
+        assert [r[2] for r in sorted(next(iter(seen))) if r[0] == k] == steps

@@ -6,21 +6,24 @@
     python -m tidemark star --format parquet --tables /data/oltp --target /data/star --release r1
 
 Secrets are named, not given: ``--secret password=DB_PASSWORD`` takes the value from the
-environment variable ``DB_PASSWORD``.
+environment variable ``DB_PASSWORD``. ``--split orders=order_id,1,900000000,256`` reads a
+database table in parallel; for ``load`` the name is that of the source. ``--shuffled-bytes``
+sizes the shuffles. Times are UTC; without ``--as-of`` the run's time is the clock's in UTC.
 """
 
 from __future__ import annotations
 
 import argparse
 import os
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.incremental_job import Landing, run_incremental
 from tidemark.plans.star_load import build_star, publish_star
-from tidemark.session import build_session
+from tidemark.session import build_session, settings_for
 from tidemark.sources.files import FORMATS
+from tidemark.sources.jdbc import Split, read_jdbc
 
 MODEL = ("customers", "categories", "products", "orders", "order_items")
 
@@ -32,6 +35,14 @@ def pair(text: str) -> tuple[str, str]:
     return key, value
 
 
+def split_of(text: str) -> tuple[str, Split]:
+    name, plan = pair(text)
+    parts = plan.split(",")
+    if len(parts) != 4 or not parts[3].isdigit():
+        raise argparse.ArgumentTypeError(f"{text!r} is not of the form table=column,lower,upper,partitions")
+    return name, Split(parts[0], parts[1], parts[2], int(parts[3]))
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tidemark")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -52,6 +63,8 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--option", type=pair, action="append", default=[])
         job.add_argument("--secret", type=pair, action="append", default=[])
         job.add_argument("--as-of", type=datetime.fromisoformat, default=None)
+        job.add_argument("--split", type=split_of, action="append", default=[])
+        job.add_argument("--shuffled-bytes", type=int, default=None)
     return top
 
 
@@ -59,18 +72,25 @@ def source_options(args: argparse.Namespace) -> dict[str, str]:
     return dict(args.option) | {key: os.environ[name] for key, name in args.secret}
 
 
+def read_source(spark: SparkSession, args: argparse.Namespace, name: str) -> DataFrame:
+    """One table of the source; a database table in parallel where a split is given."""
+    options = source_options(args)
+    if args.format != "jdbc":
+        return spark.read.format(args.format).options(**options).load(*([f"{args.tables}/{name}"] if args.job == "star" else []))
+    query = options.pop("query", None)
+    table = None if query else options.pop("dbtable", name)
+    return read_jdbc(spark, options, table=table, query=query, split=dict(args.split).get(name))
+
+
 def read_model(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     """The five normalized tables, from a database or from one folder each."""
-    reader = spark.read.format(args.format).options(**source_options(args))
-    if args.format == "jdbc":
-        return [reader.option("dbtable", name).load() for name in MODEL]
-    return [reader.load(f"{args.tables}/{name}") for name in MODEL]
+    return [read_source(spark, args, name) for name in MODEL]
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> str:
-    as_of = args.as_of or datetime.now()
+    as_of = args.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     if args.job == "load":
-        source = spark.read.format(args.format).options(**source_options(args)).load()
+        source = read_source(spark, args, args.name)
         done = run_incremental(
             spark,
             args.name,
@@ -83,13 +103,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
         )
         return f"{done.source}: {done.rows} rows, bookmark {done.bookmark_after}"
     star = build_star(*read_model(spark, args), iso_weeks=args.iso_weeks)
-    publish_star(star, args.target, args.release, as_of)
-    return f"{args.target}: release {args.release}"
+    report = publish_star(star, args.target, args.release, as_of, declared=True)
+    return f"{args.target}: release {args.release}, rows {report.row_counts}, orphans {report.orphan_rows}"
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    print(run(build_session(f"tidemark-{args.job}"), args))
+    settings = settings_for(args.shuffled_bytes) if args.shuffled_bytes else {}
+    named = {key.replace(".", "__"): value for key, value in settings.items()}
+    print(run(build_session(f"tidemark-{args.job}", **named), args))
 
 
 if __name__ == "__main__":

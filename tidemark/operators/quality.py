@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.union import stack
 
@@ -53,6 +53,30 @@ def referential_integrity(
     ).select("check_name", "orphan_keys", "orphan_rows")
 
 
+def references_between(
+    left: DataFrame, left_key: str, right: DataFrame, right_key: str, left_check: str | None, right_check: str | None
+) -> DataFrame:
+    """Orphans of both sides of a reference from one join; a check without name is left out.
+
+    Each table is read once and reduced to one count per value before the sides meet.
+    """
+    held = left.filter(F.col(left_key).isNotNull()).groupBy(F.col(left_key).alias("l")).agg(F.count("*").alias("l_rows"))
+    known = right.filter(F.col(right_key).isNotNull()).groupBy(F.col(right_key).alias("r")).agg(F.count("*").alias("r_rows"))
+    met = held.join(known, held.l == known.r, "full")
+
+    def found(name: str, key: str, other: str, rows: str) -> Column:
+        orphan = F.col(key).isNotNull() & F.col(other).isNull()
+        return F.struct(
+            F.lit(name).alias("check_name"),
+            F.count_if(orphan).alias("orphan_keys"),
+            F.coalesce(F.sum(F.when(orphan, F.col(rows))), F.lit(0)).alias("orphan_rows"),
+        )
+
+    checks = [found(left_check, "l", "r", "l_rows")] if left_check else []
+    checks += [found(right_check, "r", "l", "r_rows")] if right_check else []
+    return met.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+
+
 def null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: number of NULLs. All columns share one pass over the table."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.dimensions import dim_customer, dim_date, dim_product
 from tidemark.operators.facts import fact_sales
+from tidemark.operators.quality import references_between, row_counts, uniqueness
+from tidemark.plans.star_schema import NATURAL_KEYS, conform, star_schema
 from tidemark.sinks.releases import publish, read_current
 
 # Dimensions come before the fact, for sinks that check the fact's references.
@@ -45,9 +47,58 @@ def build_star(
     )
 
 
-def publish_star(star: Star, root: str, release: str, at: datetime) -> None:
-    """Store all four tables as one release, so that keys always find their dimension."""
-    publish(star.tables(), root, release, at)
+# Hashed keys and references of the star.
+SURROGATE_KEYS = {"dim_customer": "customer_key", "dim_product": "product_key"}
+REFERENCES = [("customer_key", "dim_customer"), ("product_key", "dim_product"), ("date_key", "dim_date")]
+
+
+@dataclass(frozen=True)
+class StarReport:
+    """What the checks of a release found; ``row_counts`` is by table."""
+
+    row_counts: dict[str, int]
+    repeated_grain: dict[str, int]
+    orphan_rows: dict[str, int]
+
+
+def check_star(tables: dict[str, DataFrame]) -> StarReport:
+    """Check written star tables. Missing columns and colliding hashed keys raise.
+
+    Repeated grain and orphans are the source's business and are reported. Every report is a
+    few numbers from an aggregation.
+    """
+    for name, df in tables.items():
+        needed = [*NATURAL_KEYS[name], *([SURROGATE_KEYS[name]] if name in SURROGATE_KEYS else [])]
+        if name == "fact_sales":
+            needed = star_schema(name).names
+        if missing := [c for c in needed if c not in df.columns]:
+            raise ValueError(f"{name} lacks {missing}")
+    keys = uniqueness({n: (tables[n].select(k, *NATURAL_KEYS[n]).distinct(), [k]) for n, k in SURROGATE_KEYS.items()})
+    if shared := [r.check_name for r in keys.filter("repeated_keys > 0").collect()]:
+        raise ValueError(f"hashed keys collide in {shared}")
+    grain = uniqueness({n: (df, NATURAL_KEYS[n]) for n, df in tables.items()}).collect()
+    fact = tables["fact_sales"]
+    found = [references_between(fact, key, tables[dim], key, dim, None).first() for key, dim in REFERENCES]
+    return StarReport(
+        {r.table_name: r.row_count for r in row_counts(tables).collect()},
+        {r.check_name: r.surplus_rows for r in grain},
+        {r.check_name: r.orphan_rows for r in found},
+    )
+
+
+def publish_star(star: Star, root: str, release: str, at: datetime, declared: bool = False) -> StarReport:
+    """Store all four tables as one release, so that keys always find their dimension.
+
+    The tables are checked where they were written, before readers can see them; a failed
+    check leaves readers on the old release. ``declared`` first brings every table into its
+    declared columns and types, where a missing column is an error.
+    """
+    tables = star.tables()
+    if declared:
+        tables = {name: conform(df, name) for name, df in tables.items()}
+    reports: list[StarReport] = []
+    publish(tables, root, release, at, lambda written: reports.append(check_star(written)))
+    return reports[0]
 
 
 def read_star(spark: SparkSession, root: str) -> Star:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import quality
-from tidemark.queries.fixture import table
+from tidemark.operators.union import stack
+from tidemark.queries.fixture import key_sql, table
 from tidemark.queries.registry import query
+from tidemark.queries.revenue import star
 
 
 @query(
@@ -51,14 +53,38 @@ ORPHAN_CHECKS = [
 
 @query("dq_orphans", " UNION ALL ".join(_orphans_sql(*check) for check in ORPHAN_CHECKS))
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.referential_integrity(
-        {
-            name: (table(spark, sf_dir, child), table(spark, sf_dir, parent), fk, pk)
-            for name, child, fk, parent, pk in ORPHAN_CHECKS
-        }
+    """Both directions between orders and lines come from one join."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    part, customer = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
+    return stack(
+        quality.references_between(lines, "l_orderkey", orders, "o_orderkey", "lineitem without order", "order without lines"),
+        quality.references_between(lines, "l_partkey", part, "p_partkey", "lineitem without part", None),
+        quality.references_between(orders, "o_custkey", customer, "c_custkey", "order without customer", None),
     )
 
 
+def _unique_key_sql(name: str, source: str, natural: str) -> str:
+    return f"""
+SELECT '{name}' AS check_name, count(*) FILTER (n > 1) AS repeated_keys,
+       cast(coalesce(sum(n - 1), 0) AS bigint) AS surplus_rows
+FROM (SELECT count(*) AS n FROM {source} GROUP BY {key_sql(natural)})"""
+
+
+@query(
+    "dq_surrogate_unique",
+    _unique_key_sql("dim_customer", "customer", "c_custkey")
+    + " UNION ALL "
+    + _unique_key_sql("dim_product", "part", "p_partkey"),
+)
+def dq_surrogate_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No two dimension rows share a hashed key."""
+    built = star(spark, sf_dir)
+    return quality.uniqueness(
+        {"dim_customer": (built.dim_customer, ["customer_key"]), "dim_product": (built.dim_product, ["product_key"])}
+    )
+
+
+
 NULL_COLUMNS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"]
 
 

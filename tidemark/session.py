@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -54,8 +56,9 @@ def settings_for(shuffled_bytes: int, per_partition: int = 128 * MIB) -> dict[st
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for tables that Spark writes and reads back.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall
-    back to a temporary folder, because there driver and executors share one disk.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
+    temporary folder, which goes when the process ends: there, driver and executors share
+    one disk. Tables are the caller's to remove.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -63,6 +66,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
