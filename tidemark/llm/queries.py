@@ -15,6 +15,7 @@ from tidemark.llm.paths import op7_paths
 from tidemark.llm.pieces import op10_pieces
 from tidemark.llm.quality import op6_quality
 from tidemark.llm.repeats import op5_repeats
+from tidemark.llm.sql import PARITY_SQL, PATHS_SQL, licenses_sql
 from tidemark.llm.warc import OP1_SQL, op1_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,4 +33,9 @@ QUERIES: dict[str, Query] = {
     "op10_pieces": op10_pieces,
 }
 
-ORACLES: dict[str, str] = {"op1_warc": OP1_SQL}
+ORACLES: dict[str, str] = {
+    "op1_warc": OP1_SQL,
+    "op2_licenses": licenses_sql(),
+    "op4_parity": PARITY_SQL,
+    "op7_paths": PATHS_SQL,
+}
