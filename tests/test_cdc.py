@@ -22,7 +22,8 @@ from tidemark.plans.incremental_job import Landing, read_landed, run_incremental
 from tidemark.sinks.files import write_files
 from tidemark.sinks.releases import read_current
 from tidemark.sources.files import read_files, read_or_empty
-from tidemark.streaming.landing_stream import keep_latest, landed_stream, run_available
+from tidemark.sinks.buckets import BucketedTable
+from tidemark.streaming.landing_stream import keep_latest, keep_latest_in_buckets, landed_stream, run_available
 
 SCHEMA = "customer_id string, address string, is_deleted boolean, lastmodified timestamp_ntz"
 NOON = datetime(2026, 1, 3, 12)
@@ -352,3 +353,21 @@ def test_csv_landing_is_idle_when_nothing_changed(spark, tmp_path):
     assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF).rows == 1
     assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF).rows == 0
     assert read_landed(spark, "s", landing, df.schema).first().lastmodified == at(0) + timedelta(microseconds=123456)
+
+
+def test_a_merge_rewrites_the_touched_buckets_only(spark, tmp_path):
+    table = BucketedTable(str(tmp_path), ["customer_id"], buckets=16)
+    handler = keep_latest_in_buckets(table, ["lastmodified"], AS_OF)
+    handler(source(spark, *[(f"C{i:03d}", "x", False, at(0)) for i in range(200)]), 0)
+    before = table.places(spark)
+    assert len(before) == 16
+    handler(source(spark, ("C001", "Goa", False, at(1)), ("C001", "old", False, at(-1))), 1)
+    after = table.places(spark)
+    assert sum(before[b] != after[b] for b in before) == 1
+    handler(source(spark, ("C001", "repeated", False, at(9))), 1)
+    handler(source(spark), 2)
+    rows = {r.customer_id: r.address for r in table.read(spark).collect()}
+    assert len(rows) == 200 and rows["C001"] == "Goa" and rows["C002"] == "x"
+    assert table.expire(spark, AS_OF) == 0
+    assert table.expire(spark, AS_OF + timedelta(days=1)) == 1
+    assert table.read(spark).count() == 200

@@ -20,10 +20,11 @@ from tidemark.plans.incremental_job import Landing, landed_schema, read_landed,
 from tidemark.queries.fixture import AS_OF, table
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path
+from tidemark.sinks.buckets import BucketedTable
 from tidemark.sinks.files import write_files
 from tidemark.sinks.releases import publish, read_current
 from tidemark.sources.files import read_files
-from tidemark.streaming.landing_stream import keep_latest, landed_stream, run_available
+from tidemark.streaming.landing_stream import keep_latest_in_buckets, landed_stream, run_available
 
 LO, HI = datetime(1998, 1, 1), datetime(2000, 1, 1)
 STAMP = "o_orderdate"
@@ -238,9 +239,10 @@ def cdc_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _land_slices(spark, sf_dir, landing)
     schema = landed_schema(orders.schema).add("batch_id", "string")
     stream = landed_stream(spark, landing.batches("orders"), schema).select(*orders.columns)
-    handler = keep_latest(f"{root}/latest", ["o_custkey"], [STAMP, "o_orderkey"], AS_OF)
+    latest = BucketedTable(f"{root}/latest", ["o_custkey"], buckets=8)
+    handler = keep_latest_in_buckets(latest, [STAMP, "o_orderkey"], AS_OF)
     run_available(stream, handler, f"{root}/stream-checkpoint")
-    return read_current(spark, f"{root}/latest", "latest")[0]
+    return latest.read(spark)
 
 
 def _through_csv(df: DataFrame, name: str) -> DataFrame:

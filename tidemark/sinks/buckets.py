@@ -1,0 +1,90 @@
+"""A file table cut into buckets of its key, of which a merge rewrites only those it touches.
+
+Each merge writes one folder with the touched buckets and then appends one row per bucket to
+a log; readers take every bucket from the newest merge that wrote it. The log entry is one
+file, so readers see a merge whole or not at all. Superseded buckets stay readable until
+``expire`` removes them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType
+
+from tidemark.sinks.files import remove_folder, write_files
+from tidemark.sources.files import read_or_empty
+
+BUCKET = "bucket"
+LOG = StructType(
+    [
+        StructField("release", StringType(), False),
+        StructField(BUCKET, IntegerType(), False),
+        StructField("released_at", TimestampNTZType(), False),
+        StructField("number", LongType(), False),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class BucketedTable:
+    """``buckets`` is fixed for the life of the table; size it so that one fits a task."""
+
+    root: str
+    keys: list[str]
+    buckets: int = 256
+
+    def bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        return read_or_empty(spark, f"{self.root}/merges", LOG)
+
+    def is_published(self, spark: SparkSession, release: str) -> bool:
+        return not self.log(spark).filter(F.col("release") == release).isEmpty()
+
+    def places(self, spark: SparkSession) -> dict[int, tuple[str, int]]:
+        """Release and number that hold each bucket: at most ``buckets`` rows."""
+        newest = self.log(spark).groupBy(BUCKET).agg(F.max_by("release", "number").alias("release"), F.max("number").alias("number"))
+        return {r[BUCKET]: (r["release"], r["number"]) for r in newest.collect()}
+
+    def _folder(self, release: str, bucket: int) -> str:
+        return f"{self.root}/data/release={release}/{BUCKET}={bucket}"
+
+    def read(self, spark: SparkSession, only: set[int] | None = None) -> DataFrame | None:
+        """The stored rows, of the given buckets or of all; None where nothing is stored."""
+        paths = [self._folder(r, b) for b, (r, _) in self.places(spark).items() if only is None or b in only]
+        return spark.read.parquet(*paths) if paths else None
+
+    def merge(
+        self, batch: DataFrame, release: str, at: datetime, combine: Callable[[DataFrame | None, DataFrame], DataFrame]
+    ) -> int:
+        """Merge a batch; ``combine`` gets the stored rows of its buckets. Returns their number.
+
+        Nothing is written for an empty batch or a published release.
+        """
+        spark = batch.sparkSession
+        if self.is_published(spark, release):
+            return 0
+        touched = {r[0] for r in batch.select(self.bucket_of()).distinct().collect()}
+        if not touched:
+            return 0
+        places = self.places(spark)
+        merged = combine(self.read(spark, touched), batch).withColumn(BUCKET, self.bucket_of())
+        write_files(merged, f"{self.root}/data/release={release}", mode="overwrite", partition_by=[BUCKET])
+        number = max((n for _, n in places.values()), default=-1) + 1
+        rows = [(release, b, at, number) for b in sorted(touched)]
+        write_files(spark.createDataFrame(rows, LOG).coalesce(1), f"{self.root}/merges")
+        return len(touched)
+
+    def expire(self, spark: SparkSession, before: datetime) -> int:
+        """Remove superseded buckets that were written before a time; returns their number."""
+        held = self.places(spark)
+        old = self.log(spark).filter(F.col("released_at") < F.lit(before.isoformat(sep=" ")).cast("timestamp_ntz"))
+        gone = [(r["release"], r[BUCKET]) for r in old.collect() if held[r[BUCKET]][0] != r["release"]]
+        for release, bucket in gone:
+            remove_folder(spark, self._folder(release, bucket))
+        return len(gone)

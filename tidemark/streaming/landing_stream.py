@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.scd1 import scd1_merge
+from tidemark.sinks.buckets import BucketedTable
 from tidemark.sinks.releases import latest_release, publish, read_current, released
 from tidemark.sources.files import CSV, map_texts, plain_text
 
@@ -77,3 +78,22 @@ def keep_latest(
         publish({"latest": merged}, root, release, at)
 
     return merge_batch
+
+
+def keep_latest_in_buckets(
+    table: BucketedTable, order_cols: list[str], at: datetime
+) -> Callable[[DataFrame, int], None]:
+    """Like ``keep_latest``, for large tables: a batch rewrites only the buckets of its keys."""
+    seen = {"stream": "no-stream"}
+
+    def combine(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
+        if stored is None:
+            return latest_per_key(batch, table.keys, order_cols)
+        return scd1_merge(stored, batch, table.keys, order_cols)
+
+    def merge_batch(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        seen["stream"] = spark.sparkContext.getLocalProperty(STREAM_ID) or seen["stream"]
+        table.merge(batch, f"{seen['stream']}-{number:012d}", at, combine)
+
+    return merge_batch
