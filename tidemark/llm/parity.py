@@ -14,8 +14,9 @@ widespread passage do not form large groups, and texts with few shared keys drop
 
 The pairs that meet under a key are verified on the exact sets. Links are needed up to
 connection only: rounds compare the members of a key with one hub of another component,
-and components are merged after each round; when few are left, all remaining pairs of one
-key in different components are compared. No link between different texts is lost, and
+and components are merged after each round. The last round compares all pairs under one key
+in different components that are left; it comes as soon as those are at most ``FEW`` times
+the keys, or after ``ROUNDS`` rounds. No link between different texts is lost, and
 texts that are linked already are not compared again, so a group of copies costs its size.
 Texts with equal sets are one class from the start.
 
@@ -45,6 +46,7 @@ from tidemark.llm.paths import row_key, windows_of
 WIDTH = 4
 PERCENT = 85
 ROUNDS = 4
+FEW = 8
 U = np.uint64
 BAND_BITS = 6
 
@@ -167,10 +169,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs of prints ``(a, b)`` whose sets reach the threshold."""
+    """The labels ``(a, b)`` of the pairs of prints ``(a, b)`` whose sets reach the threshold."""
     left = sets.select(F.col("print").alias("a"), F.col("members").alias("a_members"))
     right = sets.select(F.col("print").alias("b"), F.col("members").alias("b_members"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_members", "b_members")
+    both = pairs.join(left, "a").join(right, "b").select("label_a", "label_b", "a_members", "b_members")
     return both.mapInArrow(_verified, "a long, b long")
 
 
@@ -200,28 +202,34 @@ def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
     sets = texts.mapInArrow(_sets, "print long, members binary").join(asked, "print", "left_semi")
     sets = scratch.save(sets.dropDuplicates(["print"]), "sets")
 
-    edges = docs.sparkSession.createDataFrame([], "a long, b long")
     labels = scratch.save(asked.select("print", F.col("print").alias("label")), "labels")
+    few, last = FEW * kept.count(), False
     for turn in range(ROUNDS + 1):
         rows = kept.join(labels, "print").select("key", "print", "label")
         hub = F.min_by(F.struct(F.col("print").alias("hub"), F.col("label").alias("of")), F.xxhash64("print", F.lit(turn)))
-        open_keys = rows.groupBy(F.col("key").alias("k")).agg(F.min("label").alias("a"), F.max("label").alias("b"), hub.alias("h"))
-        open_keys = scratch.save(open_keys.filter("a < b").select("k", "h.*"), "open")
-        if open_keys.isEmpty():
+        open_keys = rows.groupBy(F.col("key").alias("k")).agg(
+            F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n"), hub.alias("h")
+        )
+        open_keys = scratch.save(open_keys.filter("a < b").select("k", "n", "h.*"), "open")
+        size = open_keys.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0]
+        if size is None:
             break
+        last = turn == ROUNDS or size <= few
         rows = rows.join(open_keys, rows.key == open_keys.k)
-        if turn < ROUNDS:
-            pairs = rows.filter("label != of").select("print", F.col("hub").alias("other"))
-        else:
+        if last:
             rows = scratch.save(rows.select("key", "print", "label"), "rest")
             others = rows.select(F.col("key").alias("k"), F.col("print").alias("other"), F.col("label").alias("of"))
             pairs = rows.join(others, (F.col("key") == F.col("k")) & (F.col("label") != F.col("of")) & (F.col("print") < F.col("other")))
-        pairs = pairs.select(F.least("print", "other").alias("a"), F.greatest("print", "other").alias("b")).distinct()
-        new = scratch.save(verified(pairs, sets), "links")
-        edges = edges.unionByName(new)
-        found = components(edges, scratch)
-        labels = asked.join(found, asked.print == found.node, "left").select("print", F.coalesce("label", "print").alias("label"))
-        labels = scratch.save(labels, "labels")
+        else:
+            pairs = rows.filter("label != of").select("print", F.col("hub").alias("other"), "label", "of")
+        pairs = pairs.groupBy(F.least("print", "other").alias("a"), F.greatest("print", "other").alias("b")).agg(
+            F.min(F.least("label", "of")).alias("label_a"), F.max(F.greatest("label", "of")).alias("label_b")
+        )
+        found = components(scratch.save(verified(pairs, sets), "links"), scratch)
+        merged = labels.join(found, labels.label == found.node, "left").select("print", F.coalesce(found.label, labels.label).alias("label"))
+        labels = scratch.save(merged, "labels")
+        if last:
+            break
     scratch.drop(kept, sets)
     return labels
 
