@@ -116,6 +116,13 @@ class Rolling:
         return mix((self.sums[ends] - self.sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+    def windows(self, width: int) -> np.ndarray:
+        """``of`` for all windows of one width."""
+        n = max(0, len(self.sums) - width)
+        down = _power("down", _INVERSE, len(self.sums))[:n]
+        return mix((self.sums[width:] - self.sums[:n]) * down + np.uint64(width))
+
+
 def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTES[data]
 

@@ -43,9 +43,12 @@ MOST = 2000
 
 
 def seeds_of(data: np.ndarray, rolling: Rolling) -> np.ndarray:
-    at = np.arange(len(data) - SEED + 1)
-    late = ~(_SPACE[data[at]] & ~_SPACE[data[at + 1]])
-    return (rolling.of(at, at + SEED) >> np.uint64(1)) | (late.astype(np.uint64) << np.uint64(63))
+    seeds = rolling.windows(SEED)
+    seeds >>= np.uint64(1)
+    space = _SPACE[data]
+    early = space[: len(seeds)] & ~space[1 : len(seeds) + 1]
+    seeds[~early] |= np.uint64(1 << 63)
+    return seeds
 
 
 def regions_in(data: np.ndarray, offsets: np.ndarray):
@@ -195,7 +198,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for minimizer, region, owner, content in zip(*(c.to_pylist() for c in batch.columns)):
             at = np.arange(len(content) - WINDOW + 1)
-            edge = Rolling(byte_values(np.frombuffer(content, np.uint8))).of(at, at + WINDOW)
+            edge = Rolling(byte_values(np.frombuffer(content, np.uint8))).windows(WINDOW)
             n = len(at)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([minimizer] * n), pa.array([region] * n), pa.array([owner] * n), pa.array(at.astype(np.int32)), pa.array(signed(edge))],
