@@ -93,7 +93,10 @@ def test_common_strings_beyond_a_block(spark, monkeypatch, frame):
     assert query_rows(spark, monkeypatch, frame, "op5_repeats") == Counter(ref.repeated_bytes(pairs(frame)))
 
 
-def test_a_group_of_near_copies_is_one_component(spark):
+@pytest.mark.parametrize("rounds, block", [(parity.ROUNDS, parity.BLOCK), (0, 7)])
+def test_a_group_of_near_copies_is_one_component(spark, monkeypatch, rounds, block):
+    monkeypatch.setattr(parity, "ROUNDS", rounds)
+    monkeypatch.setattr(parity, "BLOCK", block)
     rng = random.Random(3)
     base = prose(rng, 400).split(" ")
     rows = []
@@ -107,6 +110,17 @@ def test_a_group_of_near_copies_is_one_component(spark):
     assert table(got) == Counter(ref.near_duplicate_groups(rows))
 
 
+def test_bit_sketches_bound_the_symmetric_difference():
+    rng = np.random.default_rng(1)
+    for n in (3, 40, 500, 3000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[n // 10 :], rng.integers(0, 2**63, n, dtype=np.uint64)[: n // 8])))
+        x, y = parity.bit_sketch(a), parity.bit_sketch(b)
+        size = min(len(x), len(y))
+        differing = int(np.bitwise_count(parity.folded(x, size) ^ parity.folded(y, size)).sum())
+        assert differing <= len(np.setxor1d(a, b))
+
+
 def test_bands_never_lose_a_pair():
     bands = parity.bands_for()
     lows = np.array(bands.lows)

@@ -14,9 +14,11 @@ widespread passage do not form large groups, and texts with few shared keys drop
 
 The pairs that meet under a key are verified on the exact sets. Links are needed up to
 connection only: rounds compare the members of a key with one hub of another component,
-and components are merged after each round. The last round compares all pairs under one key
-in different components that are left; it comes as soon as those are at most ``FEW`` times
-the keys, or after ``ROUNDS`` rounds. No link between different texts is lost, and
+and components are merged after each round. Then the pairs under one key that are still in
+different components are compared by bit sketches, in which each shingle flips one bit: the
+bits that differ are at most the symmetric difference, so a pair with too many is no link.
+This happens within blocks of at most ``2 * BLOCK`` texts, and only the pairs that the
+sketches cannot tell apart go on to be verified. No link between different texts is lost, and
 texts that are linked already are not compared again, so a group of copies costs its size.
 Texts with equal sets are one class from the start.
 
@@ -45,8 +47,8 @@ from tidemark.llm.paths import row_key, windows_of
 
 WIDTH = 4
 PERCENT = 85
-ROUNDS = 4
-FEW = 8
+ROUNDS = 2
+BLOCK = 1500
 U = np.uint64
 BAND_BITS = 6
 
@@ -144,6 +146,23 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def bit_sketch(members: np.ndarray) -> bytes:
+    """Parity of the shingles that fall on each bit; the number of bits follows the size."""
+    bits = 64
+    while bits < 3 * len(members):
+        bits *= 2
+    flips = np.bincount((members & U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch as words, folded to ``size`` bytes; that is the sketch with so many bits."""
+    words = np.frombuffer(sketch, np.uint64)
+    while len(words) * 8 > size:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offsets in text_slices(batch):
@@ -151,7 +170,67 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes, prints = fingerprints(found, owner, hi - lo)
             ends = np.concatenate(([0], np.cumsum(sizes)))
             body = [found[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(signed(prints)), pa.array(body, pa.binary())], names=["print", "members"])
+            bits = [bit_sketch(found[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+            columns = [pa.array(signed(prints)), pa.array(sizes.astype(np.int64)), pa.array(body, pa.binary()), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["print", "size", "members", "bits"])
+
+
+def close_pairs(prints: np.ndarray, labels: np.ndarray, sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT):
+    """Pairs of one block in different components that their bit sketches allow to be linked."""
+    width = min(map(len, bits))
+    sketch = np.stack([folded(b, width) for b in bits])
+    step = max(1, (1 << 21) // sketch.size)
+    for lo in range(0, len(prints), step):
+        differing = np.bitwise_count(sketch[lo : lo + step, None, :] ^ sketch[None, :, :]).sum(2, dtype=np.int64)
+        near = (100 + percent) * differing <= (100 - percent) * (sizes[lo : lo + step, None] + sizes[None, :])
+        near &= (labels[lo : lo + step, None] != labels[None, :]) & (prints[lo : lo + step, None] < prints[None, :])
+        a, b = np.nonzero(near)
+        yield a + lo, b
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by block; a block is gathered and compared when the next one begins."""
+    held: list[pa.RecordBatch] = []
+    current = None
+
+    def compared() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        prints, labels, sizes = (rows.column(c).to_numpy() for c in ("print", "label", "size"))
+        found = list(close_pairs(prints, labels, sizes, rows.column("bits").to_pylist()))
+        a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        columns = [prints[a], prints[b], labels[a], labels[b]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["print", "other", "label", "of"])
+
+    for batch in batches:
+        ids = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+        cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1
+        bounds = [0, *cuts.tolist(), len(ids)]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            if a == b:
+                continue
+            block = tuple(ids[a].tolist())
+            if held and block != current:
+                yield compared()
+                held = []
+            current = block
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield compared()
+
+
+def block_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of ``(key, print, label, n)`` under one key whose bit sketches are close enough.
+
+    A key with more than BLOCK texts is cut into parts, and each two parts are one block.
+    """
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")
+    rows = rows.withColumn("parts", parts).withColumn("own", own)
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "print", "label")
+    rows = rows.join(sets.select("print", "size", "bits"), "print").select("key", "i", "j", "print", "label", "size", "bits")
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.mapInArrow(_close, "print long, other long, label long, of long")
 
 
 def linked(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
@@ -199,11 +278,10 @@ def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
     owners = sketches.groupBy("print").agg(F.min("doc_id").alias("owner")).join(asked, "print", "left_semi")
     owners = owners.select("owner").distinct()
     texts = docs.join(owners, docs.doc_id.eqNullSafe(owners.owner)).select(docs.text)
-    sets = texts.mapInArrow(_sets, "print long, members binary").join(asked, "print", "left_semi")
+    sets = texts.mapInArrow(_sets, "print long, size long, members binary, bits binary").join(asked, "print", "left_semi")
     sets = scratch.save(sets.dropDuplicates(["print"]), "sets")
 
     labels = scratch.save(asked.select("print", F.col("print").alias("label")), "labels")
-    few, last = FEW * kept.count(), False
     for turn in range(ROUNDS + 1):
         rows = kept.join(labels, "print").select("key", "print", "label")
         hub = F.min_by(F.struct(F.col("print").alias("hub"), F.col("label").alias("of")), F.xxhash64("print", F.lit(turn)))
@@ -211,25 +289,19 @@ def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
             F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n"), hub.alias("h")
         )
         open_keys = scratch.save(open_keys.filter("a < b").select("k", "n", "h.*"), "open")
-        size = open_keys.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0]
-        if size is None:
+        if open_keys.isEmpty():
             break
-        last = turn == ROUNDS or size <= few
         rows = rows.join(open_keys, rows.key == open_keys.k)
-        if last:
-            rows = scratch.save(rows.select("key", "print", "label"), "rest")
-            others = rows.select(F.col("key").alias("k"), F.col("print").alias("other"), F.col("label").alias("of"))
-            pairs = rows.join(others, (F.col("key") == F.col("k")) & (F.col("label") != F.col("of")) & (F.col("print") < F.col("other")))
-        else:
+        if turn < ROUNDS:
             pairs = rows.filter("label != of").select("print", F.col("hub").alias("other"), "label", "of")
+        else:
+            pairs = scratch.save(block_pairs(rows.select("key", "print", "label", "n"), sets), "close")
         pairs = pairs.groupBy(F.least("print", "other").alias("a"), F.greatest("print", "other").alias("b")).agg(
             F.min(F.least("label", "of")).alias("label_a"), F.max(F.greatest("label", "of")).alias("label_b")
         )
         found = components(scratch.save(verified(pairs, sets), "links"), scratch)
         merged = labels.join(found, labels.label == found.node, "left").select("print", F.coalesce(found.label, labels.label).alias("label"))
         labels = scratch.save(merged, "labels")
-        if last:
-            break
     scratch.drop(kept, sets)
     return labels
 
