@@ -32,13 +32,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import _SPACE, Rolling, Scratch, byte_values, ragged, signed, text_slices
+from tidemark.llm.common import _SPACE, Rolling, Scratch, byte_values, mix, ragged, signed, text_slices
 from tidemark.llm.paths import kept_mask, paths, windows_of
 from tidemark.llm.suffixes import suffix_array
 
 WINDOW = 50
 SEED = 20
 BLOCK = 1 << 15
+GATHERED = 1 << 20
 MOST = 2000
 
 
@@ -164,21 +165,61 @@ def repeated_in_block(contents: list[bytes], owners: list[int]) -> list[tuple[in
     return out
 
 
+def may_repeat(minimizers: np.ndarray, contents: list[bytes]) -> np.ndarray:
+    """Which regions share a half with a different region of their minimizer.
+
+    A half is the minimizer with (WINDOW - SEED) / 2 bytes before or behind it.
+    """
+    half = (WINDOW - SEED + 1) // 2
+    data = np.frombuffer(b"".join(contents), np.uint8)
+    begin = np.concatenate(([0], np.cumsum([len(c) for c in contents])))
+    rolling = Rolling(byte_values(data))
+    seeds = signed(seeds_of(data, rolling))
+    home = np.repeat(np.arange(len(contents)), np.diff(begin))[: len(seeds)]
+    at = np.flatnonzero(seeds == minimizers[home])
+    home = home[at]
+    at, home = (x[at + SEED <= begin[home + 1]] for x in (at, home))
+    keep = np.zeros(len(contents), bool)
+    for lo, hi in ((at - half, at + SEED), (at, at + SEED + half)):
+        inside = (lo >= begin[home]) & (hi <= begin[home + 1])
+        held = home[inside]
+        key = mix(rolling.of(lo[inside], hi[inside]) ^ minimizers[held].astype(np.uint64))
+        pair = np.unique(np.stack([key.view(np.int64), held]), axis=1)
+        _, where, count = np.unique(pair[0], return_inverse=True, return_counts=True)
+        keep[pair[1][count[where] > 1]] = True
+    return keep
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by minimizer; whole minimizers are put together into blocks."""
-    block: list[tuple[int, int, int, bytes]] = []
+    """Rows sorted by minimizer; whole minimizers are sifted and put together into blocks."""
+    gathered: list[tuple[int, int, int, bytes]] = []
     size, current = 0, None
+
+    def solved() -> Iterator[pa.RecordBatch]:
+        keep = may_repeat(np.array([r[0] for r in gathered], np.int64), [r[3] for r in gathered])
+        block: list[tuple[int, int, int, bytes]] = []
+        held = 0
+        for i in np.flatnonzero(keep).tolist():
+            row = gathered[i]
+            if held >= BLOCK and row[0] != block[-1][0]:
+                yield _solved(block)
+                block, held = [], 0
+            block.append(row)
+            held += len(row[3])
+        if block:
+            yield _solved(block)
+
     for batch in batches:
         columns = (c.to_pylist() for c in batch.columns)
         for row in zip(*columns):
-            if row[0] != current and size >= BLOCK:
-                yield _solved(block)
-                block, size = [], 0
+            if row[0] != current and size >= GATHERED:
+                yield from solved()
+                gathered, size = [], 0
             current = row[0]
-            block.append(row)
+            gathered.append(row)
             size += len(row[3])
-    if block:
-        yield _solved(block)
+    if gathered:
+        yield from solved()
 
 
 def _solved(block: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
