@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import langid, mixing, parity, paths, pieces
 from tidemark.llm.common import Scratch
 
+# Near copies share 80 percent of their shingles of five words (op4_parity has values of its own).
+SHINGLE_WORDS = 5
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -21,7 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near copies."""
-    return parity.first_of_each(docs, Scratch(spark, "near-duplicates"))
+    return parity.first_of_each(docs, Scratch(spark, "near-duplicates"), SHINGLE_WORDS, NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

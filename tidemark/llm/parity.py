@@ -1,6 +1,8 @@
 """N-gram Jaccard join by parity sketches.
 
-A text's set is its distinct shingles of ``WIDTH`` words. Its sketch is a row of words; each
+A text's set is its distinct shingles of ``width`` words; two sets are linked when their Jaccard
+similarity reaches ``percent``. ``WIDTH`` and ``PERCENT`` are the values of ``op4_parity``; other
+callers pass their own. A text's sketch is a row of words; each
 shingle falls into one word by its hash and is XORed into it. A word is the parity of the
 shingles that fall there, so it differs between two sketches only if some shingle is in one
 set and not in the other: the number of differing words is at most the symmetric difference.
@@ -27,7 +29,7 @@ tasks; joins leave hot keys to the adaptive skew join. Sets are built for texts
 have keys only. Shingles are compared by 64-bit hashes.
 
 Edge cases: null texts and texts without words have an empty set and no links; fewer words
-than ``WIDTH`` are one shingle; repeated rows are one class; the id of a component is the
+than ``width`` are one shingle; repeated rows are one class; the id of a component is the
 smallest id in it, null only if it has no other; an empty table gives an empty result; extra
 columns are ignored (``first_of_each`` keeps them).
 """
@@ -77,14 +79,14 @@ def bands_for(percent: int = PERCENT) -> Bands:
     return out
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text and the text each belongs to, in order of both."""
     data = lowered(data)
     words = Words(data, offsets)
     count = np.diff(words.first)
-    starts, owner = windows_of(count, words.first[:-1], WIDTH)
-    ends = starts + WIDTH
-    short = np.flatnonzero((count > 0) & (count < WIDTH))
+    starts, owner = windows_of(count, words.first[:-1], width)
+    ends = starts + width
+    short = np.flatnonzero((count > 0) & (count < width))
     starts, ends = np.concatenate((starts, words.first[short])), np.concatenate((ends, words.first[short] + count[short]))
     owner = np.concatenate((owner, short))
     found = Rolling(words.hashes(data)).of(starts, ends)
@@ -131,11 +133,11 @@ def keys_of(found: np.ndarray, owner: np.ndarray, sizes: np.ndarray, bands: Band
     return key[order], text[order]
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bands = bands_for()
+def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    bands = bands_for(percent)
     for batch in batches:
         for lo, hi, data, offsets in text_slices(batch):
-            found, owner = shingles(data, offsets)
+            found, owner = shingles(data, offsets, width)
             sizes, prints = fingerprints(found, owner, hi - lo)
             key, text = keys_of(found, owner, sizes, bands)
             ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=hi - lo)))).astype(np.int32)
@@ -163,10 +165,10 @@ def folded(sketch: bytes, size: int) -> np.ndarray:
     return words
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offsets in text_slices(batch):
-            found, owner = shingles(data, offsets)
+            found, owner = shingles(data, offsets, width)
             sizes, prints = fingerprints(found, owner, hi - lo)
             ends = np.concatenate(([0], np.cumsum(sizes)))
             body = [found[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
@@ -188,7 +190,7 @@ def close_pairs(prints: np.ndarray, labels: np.ndarray, sizes: np.ndarray, bits:
         yield a + lo, b
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by block; a block is gathered and compared when the next one begins."""
     held: list[pa.RecordBatch] = []
     current = None
@@ -196,7 +198,7 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def compared() -> pa.RecordBatch:
         rows = pa.Table.from_batches(held)
         prints, labels, sizes = (rows.column(c).to_numpy() for c in ("print", "label", "size"))
-        found = list(close_pairs(prints, labels, sizes, rows.column("bits").to_pylist()))
+        found = list(close_pairs(prints, labels, sizes, rows.column("bits").to_pylist(), percent))
         a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
         columns = [prints[a], prints[b], labels[a], labels[b]]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["print", "other", "label", "of"])
@@ -218,7 +220,7 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield compared()
 
 
-def block_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+def block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of ``(key, print, label, n)`` under one key whose bit sketches are close enough.
 
     A key with more than BLOCK texts is cut into parts, and each two parts are one block.
@@ -230,7 +232,7 @@ def block_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     rows = rows.select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "print", "label")
     rows = rows.join(sets.select("print", "size", "bits"), "print").select("key", "i", "j", "print", "label", "size", "bits")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(_close, "print long, other long, label long, of long")
+    return rows.mapInArrow(lambda batches: _close(batches, percent), "print long, other long, label long, of long")
 
 
 def linked(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
@@ -241,23 +243,23 @@ def linked(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        same = [linked(a.as_py(), b.as_py()) for a, b in zip(batch.column(2), batch.column(3))]
+        same = [linked(a.as_py(), b.as_py(), percent) for a, b in zip(batch.column(2), batch.column(3))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(same, pa.bool_()))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The labels ``(a, b)`` of the pairs of prints ``(a, b)`` whose sets reach the threshold."""
     left = sets.select(F.col("print").alias("a"), F.col("members").alias("a_members"))
     right = sets.select(F.col("print").alias("b"), F.col("members").alias("b_members"))
     both = pairs.join(left, "a").join(right, "b").select("label_a", "label_b", "a_members", "b_members")
-    return both.mapInArrow(_verified, "a long, b long")
+    return both.mapInArrow(lambda batches: _verified(batches, percent), "a long, b long")
 
 
-def candidate_keys(sketches: DataFrame, scratch: Scratch) -> DataFrame:
+def candidate_keys(sketches: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """(key, print) under which different sets may be linked."""
-    spare = F.array(*[F.lit(e) for e in bands_for().spare])
+    spare = F.array(*[F.lit(e) for e in bands_for(percent).spare])
     rows = sketches.select("print", F.explode("keys").alias("key"))
     counts = rows.groupBy(F.col("key").alias("k")).agg(F.min("print").alias("a"), F.max("print").alias("b"), F.count(F.lit(1)).alias("n"))
     counts = counts.filter("a < b").select("k", "n")
@@ -271,15 +273,15 @@ def candidate_keys(sketches: DataFrame, scratch: Scratch) -> DataFrame:
     return kept
 
 
-def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
+def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch, width: int, percent: int) -> DataFrame:
     """(node, label): components of prints, for prints with a link to another one."""
-    kept = candidate_keys(sketches, scratch)
+    kept = candidate_keys(sketches, scratch, percent)
     asked = kept.select("print").distinct()
     owners = sketches.groupBy("print").agg(F.min("doc_id").alias("owner")).join(asked, "print", "left_semi")
     owners = owners.select("owner").distinct()
     texts = docs.join(owners, docs.doc_id.eqNullSafe(owners.owner)).select(docs.text)
-    sets = texts.mapInArrow(_sets, "print long, size long, members binary, bits binary").join(asked, "print", "left_semi")
-    sets = scratch.save(sets.dropDuplicates(["print"]), "sets")
+    sets = texts.mapInArrow(lambda batches: _sets(batches, width), "print long, size long, members binary, bits binary")
+    sets = scratch.save(sets.join(asked, "print", "left_semi").dropDuplicates(["print"]), "sets")
 
     labels = scratch.save(asked.select("print", F.col("print").alias("label")), "labels")
     for turn in range(ROUNDS + 1):
@@ -295,22 +297,23 @@ def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch) -> DataFrame:
         if turn < ROUNDS:
             pairs = rows.filter("label != of").select("print", F.col("hub").alias("other"), "label", "of")
         else:
-            pairs = scratch.save(block_pairs(rows.select("key", "print", "label", "n"), sets), "close")
+            pairs = scratch.save(block_pairs(rows.select("key", "print", "label", "n"), sets, percent), "close")
         pairs = pairs.groupBy(F.least("print", "other").alias("a"), F.greatest("print", "other").alias("b")).agg(
             F.min(F.least("label", "of")).alias("label_a"), F.max(F.greatest("label", "of")).alias("label_b")
         )
-        found = components(scratch.save(verified(pairs, sets), "links"), scratch)
+        found = components(scratch.save(verified(pairs, sets, percent), "links"), scratch)
         merged = labels.join(found, labels.label == found.node, "left").select("print", F.coalesce(found.label, labels.label).alias("label"))
         labels = scratch.save(merged, "labels")
     scratch.drop(kept, sets)
     return labels
 
 
-def grouped(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def grouped(docs: DataFrame, scratch: Scratch, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, row_key, n_shingles and component_id per row of ``docs``."""
     docs = docs.select("doc_id", "text", row_key().alias("row_key"))
-    sketches = scratch.save(docs.mapInArrow(_sketches, "doc_id long, row_key long, n_shingles long, print long, keys array<long>"), "sketches")
-    labels = links(docs, sketches.filter("print IS NOT NULL"), scratch).select(F.col("print").alias("p"), "label")
+    schema = "doc_id long, row_key long, n_shingles long, print long, keys array<long>"
+    sketches = scratch.save(docs.mapInArrow(lambda batches: _sketches(batches, width, percent), schema), "sketches")
+    labels = links(docs, sketches.filter("print IS NOT NULL"), scratch, width, percent).select(F.col("print").alias("p"), "label")
     classes = sketches.filter("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("first"))
     named = classes.join(labels, classes.print == labels.p, "left").select("print", "first", F.coalesce("label", "print").alias("label"))
     named = scratch.save(named, "named")
@@ -320,13 +323,13 @@ def grouped(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return rows.select("doc_id", "row_key", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def first_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def first_of_each(docs: DataFrame, scratch: Scratch, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The document with the smallest id of each component; all columns stay.
 
     Texts without words are linked to nothing and stay, and so do rows without id. Rows that
     repeat both the id and the text of a kept document stay with it.
     """
-    groups = grouped(docs, scratch).filter("component_id < doc_id")
+    groups = grouped(docs, scratch, width, percent).filter("component_id < doc_id")
     gone = groups.select(F.col("doc_id").alias("__gone"), F.col("row_key").alias("__key")).distinct()
     return docs.join(gone, (docs.doc_id == F.col("__gone")) & (row_key() == F.col("__key")), "left_anti")
 
