@@ -6,11 +6,15 @@ it smallest. Texts are compressed whole, in pieces of ``PIECE`` bytes: each piec
 from the dictionary anew, so that the evidence of a long text adds up instead of fading.
 
 The margin between the best and the second-best language, relative to the second, is the
-confidence. ``rejected`` marks texts whose margin is at most ``NARROW``, null texts and texts
-without a letter (``und``).
-
-Only the fit uses labels. The sample takes, per language, the ``SAMPLE_DOCS`` documents that
-come first by a hash of id and text, and of each at most ``SAMPLE_CHARS`` characters, until
+confidence. ``rejected`` marks texts whose margin is narrow, null texts and texts without a
+letter (``und``). What is narrow is learned with the dictionaries: of up to ``CHECK_ROWS``
+labelled documents that follow the sample in its order, so are not in it, the margins of those
+that get their own language are taken; narrow is half their ``LOW`` quantile, and ``NARROW`` at
+least. Words of random letters have margins of up to 0.02 from about 200 words on. Where
+fewer than ``1 / LOW`` margins are at hand the quantile is not known, and narrow is ``NARROW``.
+
+Only the fit uses labels, and it cuts all texts to ``SAMPLE_CHARS`` characters. The sample takes, per language, the ``SAMPLE_DOCS`` documents that
+come first by a hash of id and text, and of each the beginning, until
 the dictionary holds ``DICT_BYTES``; at most ``MAX_LANGUAGES`` languages are accepted (more
 raise an error), so the broadcast models are bounded. Prediction reads nothing but the text.
 
@@ -35,7 +39,9 @@ PIECE = 4096
 LEVEL = 5
 SHORT = 256
 SHORT_LEVEL = 12
-NARROW = 0.0
+NARROW = 0.025
+LOW = 0.005
+CHECK_ROWS = 2000
 UNKNOWN = "und"
 
 LETTER = regex.compile(r"\p{L}")
@@ -47,22 +53,45 @@ def folded(text: str) -> bytes:
     return NO_LETTERS.sub(" ", text.lower()).encode("utf-8", "surrogatepass")
 
 
-def fit(labelled: DataFrame) -> dict[str, bytes]:
-    """Dictionary content per language, from ``(doc_id, text, lang)``."""
+class Models(dict):
+    """Dictionary content per language, and the largest margin that is too narrow."""
+
+    narrow = NARROW
+
+
+def fit(labelled: DataFrame) -> Models:
+    """The models of ``(doc_id, text, lang)``."""
     usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL AND text != ''")
     languages = [r.lang for r in usable.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    last = SAMPLE_DOCS + CHECK_ROWS // max(1, len(languages))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
     sample = (
         usable.select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
         .withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= SAMPLE_DOCS)
+        .filter(F.col("n") <= last)
     )
     pieces: dict[str, list[bytes]] = {}
+    others = []
     for row in sample.orderBy("lang", "n").toLocalIterator():
-        pieces.setdefault(row.lang, []).append(folded(row.text))
-    return {lang: b"\n".join(dict.fromkeys(texts))[-DICT_BYTES:] for lang, texts in sorted(pieces.items())}
+        if row.n <= SAMPLE_DOCS:
+            pieces.setdefault(row.lang, []).append(folded(row.text))
+        else:
+            others.append((row.lang, row.text))
+    models = Models({lang: b"\n".join(dict.fromkeys(texts))[-DICT_BYTES:] for lang, texts in sorted(pieces.items())})
+    models.narrow = narrow_margin(labelled.sparkSession, others, models)
+    return models
+
+
+def narrow_margin(spark: SparkSession, others: list[tuple[str, str]], models: Models) -> float:
+    """Half the ``LOW`` quantile of the margins of the ``(lang, text)`` that get their language."""
+    if not others:
+        return NARROW
+    found = predict(spark.createDataFrame(others, "lang string, text string"), models)
+    right = found.filter("__language.lang_pred = lang").select("__language.score").collect()
+    margins = sorted(r.score for r in right)
+    return max(NARROW, margins[int(LOW * len(margins))] / 2) if LOW * len(margins) >= 1 else NARROW
 
 
 def coder(content: bytes, level: int) -> zstandard.ZstdCompressor:
@@ -76,6 +105,7 @@ def coder(content: bytes, level: int) -> zstandard.ZstdCompressor:
 class Classifier:
     def __init__(self, models: dict[str, bytes]):
         self.languages = list(models)
+        self.narrow = getattr(models, "narrow", NARROW)
         self.coders = [coder(content, LEVEL) for content in models.values()]
         self.short_coders = [coder(content, SHORT_LEVEL) for content in models.values()]
 
@@ -92,7 +122,7 @@ class Classifier:
             return self.languages[0], 1.0, False
         second = min(s for i, s in enumerate(sizes) if i != best)
         margin = (second - sizes[best]) / second
-        return self.languages[best], margin, margin <= NARROW
+        return self.languages[best], margin, margin <= self.narrow
 
 
 def predict(docs: DataFrame, models: dict[str, bytes], text: str = "text") -> DataFrame:
