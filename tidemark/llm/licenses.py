@@ -13,6 +13,13 @@ least ``SHARE`` of the template's distinct words. The join finds every such bloc
   the template's and on the block's side (positional filter);
 * what is left is verified by counting the shared words.
 
+A notice may also be wrapped over lines. So runs of ``2 * STEP`` words that start every ``STEP``
+words of a paragraph (text between blank lines) are blocks too, whatever lines they cross; with
+``STEP`` twice the longest template, a notice with as many other words in it lies in one of
+them whole. A run is no sentence, and unrelated lines may hold a template's words between them:
+of a run, only template words in the template's order count (their longest common subsequence).
+They go through the same join; the order is verified on what it leaves.
+
 The templates are a fixed, small vocabulary, so their index is broadcast; block words are
 cut to that vocabulary before anything is exploded. Only candidate blocks are shuffled,
 and they are combined per text in the map tasks. All steps are column expressions.
@@ -124,8 +131,42 @@ def vocabulary() -> list[str]:
     return sorted({w for _, _, words in template_words() for w in words})
 
 
+STEP = 2 * max(len(text.split()) for _, text in TEMPLATES)
+
+
+def wrapped_blocks(docs: DataFrame) -> DataFrame:
+    """doc_id, digest, template words and ``run``, all words in order, of runs that may match."""
+    text = F.coalesce("text", F.lit(""))
+    parts = docs.select("doc_id", text.alias("text")).filter(F.contains("text", F.lit("\n")))
+    parts = parts.select("doc_id", "text", F.explode(F.split(lower_ascii(F.col("text")), r"\n[ \t\r]*\n")).alias("part"))
+    parts = parts.filter(F.contains("part", F.lit("\n"))).select("doc_id", "text", F.split(word_line(F.col("part")), " ").alias("all"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all") - STEP - 1, F.lit(0)), F.lit(STEP))
+    runs = parts.select("doc_id", "text", "all", F.explode(starts).alias("start"))
+    runs = runs.select("doc_id", "text", F.slice("all", F.col("start") + 1, 2 * STEP).alias("run"))
+    known = F.array(*[F.lit(w) for w in vocabulary()])
+    runs = runs.select("doc_id", "text", "run", F.array_intersect("run", known).alias("words"))
+    enough = [F.size(F.array_intersect("words", F.array(*map(F.lit, words)))) >= needed(len(words)) for _, _, words in template_words()]
+    runs = runs.filter(reduce(lambda a, b: a | b, enough))
+    return runs.select("doc_id", F.sha2("text", 256).alias("digest"), "words", "run")
+
+
+def in_order() -> Column:
+    """Length of the longest common subsequence of ``run`` and the template.
+
+    Bit i of ``masks[w]`` marks the template's word i; bits of the running value that
+    turn to zero are words found in order (bit-parallel method).
+    """
+
+    def step(v: Column, word: Column) -> Column:
+        m = F.coalesce(F.try_element_at("masks", word), F.lit(0).cast("long"))
+        hit = v.bitwiseAND(m)
+        return (v + hit).bitwiseOR(v - hit).bitwiseAND(F.col("low"))
+
+    return F.col("size") - F.bit_count(F.aggregate("run", F.col("low"), step))
+
+
 def text_blocks(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, block number and template words of each block that may match.
+    """doc_id, digest, template words and ``run`` (null: a line) of each block that may match.
 
     The length filter: fewer template words than the least template needs cannot match.
     """
@@ -133,14 +174,15 @@ def text_blocks(docs: DataFrame) -> DataFrame:
     known = F.array(*[F.lit(w) for w in vocabulary()])
     text = F.coalesce("text", F.lit(""))
     blocks = docs.select("doc_id", text.alias("text")).select(
-        "doc_id", "text", F.posexplode(F.split(lower_ascii(F.col("text")), "\n")).alias("block", "line")
+        "doc_id", "text", F.explode(F.split(lower_ascii(F.col("text")), "\n")).alias("line")
     )
     words = F.array_intersect(F.split(F.regexp_replace("line", GAP, " "), " "), known)
-    return (
-        blocks.select("doc_id", "text", "block", words.alias("words"))
+    lines = (
+        blocks.select("doc_id", "text", words.alias("words"))
         .filter(F.size("words") >= least)
-        .select("doc_id", F.sha2("text", 256).alias("digest"), "block", "words")
+        .select("doc_id", F.sha2("text", 256).alias("digest"), "words", F.lit(None).cast("array<string>").alias("run"))
     )
+    return lines.unionByName(wrapped_blocks(docs))
 
 
 def ordered_templates(blocks: DataFrame) -> list[dict]:
@@ -152,27 +194,28 @@ def ordered_templates(blocks: DataFrame) -> list[dict]:
     seen = {r["word"]: r["count"] for r in counted}
     out = []
     for i, label, words in template_words():
+        masks = {w: 1 << k for k, w in enumerate(words)}
         ranked = sorted(words, key=lambda w: (seen.get(w, 0), w))
-        out.append({"template": i, "label": label, "words": ranked, "size": len(ranked), "needed": needed(len(ranked))})
+        out.append({"template": i, "label": label, "words": ranked, "size": len(ranked), "needed": needed(len(ranked)), "masks": masks})
     rank = {w: i for i, w in enumerate(sorted(vocabulary(), key=lambda w: (seen.get(w, 0), w)))}
     return [t | {"rank": rank} for t in out]
 
 
 def matches(blocks: DataFrame) -> DataFrame:
-    """doc_id, digest, block, label and share of every block that reaches a template."""
+    """doc_id, digest, label and share of every block that reaches a template."""
     spark = blocks.sparkSession
     templates = ordered_templates(blocks)
     ranks = F.create_map(*[F.lit(x) for w, i in templates[0]["rank"].items() for x in (w, i)])
     index = [
-        (w, at, t["template"], t["label"], t["words"], t["size"], t["needed"])
+        (w, at, t["template"], t["label"], t["words"], t["size"], t["needed"], t["masks"], (1 << t["size"]) - 1)
         for t in templates
         for at, w in enumerate(t["words"][: t["size"] - t["needed"] + 1])
     ]
     prefixes = spark.createDataFrame(
-        index, "word string, at int, template int, label string, template_words array<string>, size int, needed int"
+        index, "word string, at int, template int, label string, template_words array<string>, size int, needed int, masks map<string,long>, low long"
     )
     ranked = F.transform(F.array_sort(F.transform("words", lambda w: F.struct(ranks[w].alias("r"), w.alias("w")))), lambda s: s["w"])
-    rows = blocks.select("doc_id", "digest", "block", ranked.alias("words"))
+    rows = blocks.select("doc_id", "digest", "run", ranked.alias("words"))
     rows = rows.select("*", F.posexplode("words").alias("place", "word"))
     left = F.least(F.col("size") - F.col("at"), F.size("words") - F.col("place"))
     # All words before the first shared one are unshared; later prefix words give the same pair again.
@@ -184,7 +227,9 @@ def matches(blocks: DataFrame) -> DataFrame:
         .filter(earlier == 0)
         .withColumn("shared", shared)
         .filter(F.col("shared") >= F.col("needed"))
-        .select("doc_id", "digest", "block", "label", (F.col("shared") / F.col("size")).alias("share"))
+        .withColumn("shared", F.when(F.col("run").isNull(), F.col("shared")).otherwise(in_order()))
+        .filter(F.col("shared") >= F.col("needed"))
+        .select("doc_id", "digest", "label", (F.col("shared") / F.col("size")).alias("share"))
     )
 
 
