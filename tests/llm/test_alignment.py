@@ -133,7 +133,7 @@ def test_units_are_cut_where_no_token_crosses(models, aligner, text):
 
 def test_full_tables_start_anew(models):
     aligner = alignment.Aligner(alignment.public_files())
-    aligner.units.most = aligner.windows.most = 6
+    aligner.units.most = 6
     for texts in (["one two three four five six", "six five four one", None], ["seven eight", "", "one " * 30], ["x▁", "one  two"]):
         want = [groups_and_links(whole(models, t)) for t in texts]
         got = aligner.align(texts)

@@ -7,8 +7,8 @@ tokens.
 
 *Anchors* are shared ends, verified on the byte offsets, before a token that starts with a
 blank on both sides, and the ends of texts. They cut a text into windows, mostly single words.
-How the tokens of a window group depends on its token ids alone, so it is worked out once per
-worker for each pair of id tuples and remembered in a table that starts anew when it is full.
+How the tokens of a window group depends on its token ids alone, so it is worked out once for
+each pair of id tuples in a slice of texts, and looked up for the other windows of that pair.
 
 Tokenising is remembered as well, per unit: the characters from one place that no token of
 either tokenizer crosses to the next. Such places are before a blank or a line feed behind a
@@ -41,6 +41,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.llm.common import Rolling, Scratch, mix, ragged
@@ -50,8 +51,8 @@ MARK = "▁"
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 CLOSING = ".,;:!?|*$%&#()[]\"'"
-REMEMBERED = 600_000
-SLICE = 1 << 21  # characters tokenised and aligned at once, or one longer text
+REMEMBERED = 400_000  # units per worker
+SLICE = 1 << 20  # bytes of text, or links, that are worked on at once, or one longer row
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -224,34 +225,20 @@ class Units:
 
 
 class Windows:
-    """Number by window, given by the ids of both sides, with its groups and links."""
+    """Groups and links of windows, which are given by the ids of their tokens."""
 
-    def __init__(self, a: Tokens, b: Tokens, most: int = REMEMBERED):
-        self.a, self.b, self.most = a.lengths, b.lengths, most
-        n_a, n_b = len(self.a), len(self.b)
+    def __init__(self, a: Tokens, b: Tokens):
+        self.a, self.b = a.lengths, b.lengths
         # How an id is written within a group and at the end of its side, for A and for B.
-        self.written = [f"{i}{end}" for n, ends in ((n_a, ",|"), (n_b, ",;")) for end in ends for i in range(n)]
-        self.forget()
+        self.written = [f"{i}{end}" for n, ends in ((len(self.a), ",|"), (len(self.b), ",;")) for end in ends for i in range(n)]
 
-    def forget(self) -> None:
-        self.known: dict[tuple[bytes, bytes], int] = {}
-        self.texts, self.links = [], Lists()
-
-    def numbers(self, keys: list[tuple[bytes, bytes]]) -> np.ndarray:
-        """``keys`` are the ids of A and of B as bytes of 64-bit numbers."""
-        distinct = dict.fromkeys(keys)
-        new = [k for k in distinct if k not in self.known]
-        if len(self.known) + len(new) > self.most or len(self.links.flat) > 16 * self.most:
-            self.forget()
-            new = list(distinct)
-        if new:
-            self.work_out(new)
-        return looked_up(self.known, new, distinct, keys)
+    def work_out(
+        self, left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray
+    ) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Per window its groups as text and its number of links, and all links.
 
-    def work_out(self, keys: list[tuple[bytes, bytes]]) -> None:
-        """Groups of the tokens of the windows: they end where both sides' bytes end."""
-        left, right = (np.frombuffer(b"".join(side), np.int64) for side in zip(*keys))
-        n_left, n_right = (np.fromiter(map(len, side), np.int64, len(keys)) // 8 for side in zip(*keys))
+        The ids of all windows lie one after the other; a group ends where both sides' bytes end.
+        """
         ends_a, ends_b, shared_a, shared_b = shared_ends(self.a[left], self.b[right])
         last_a, last_b = n_left.cumsum() - 1, n_right.cumsum() - 1
         if not np.array_equal(ends_a[last_a], ends_b[last_b]):
@@ -266,9 +253,9 @@ class Windows:
         order[np.arange(len(right)) + upto_a[group_b]] = right + closes_b * len(self.b) + 2 * len(self.a)
         words = list(map(self.written.__getitem__, order.tolist()))
         stops = (n_left + n_right).cumsum().tolist()
-        self.texts.extend("".join(words[lo:hi])[:-1] for lo, hi in zip([0, *stops], stops))
-        n_links = np.searchsorted(shared_a, last_a, "right")
-        self.links.extend(left[shared_a] * len(self.b) + right[shared_b], np.diff(n_links, prepend=0))
+        texts = ["".join(words[lo:hi])[:-1] for lo, hi in zip([0, *stops], stops)]
+        n_links = np.diff(np.searchsorted(shared_a, last_a, "right"), prepend=0)
+        return texts, n_links, left[shared_a] * len(self.b) + right[shared_b]
 
 
 def shared_ends(sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -298,7 +285,7 @@ def per_text(owners: np.ndarray, amounts: np.ndarray, n: int) -> np.ndarray:
 
 
 class Aligner:
-    """Groups and links of texts; remembers units and windows."""
+    """Groups and links of texts; remembers units."""
 
     def __init__(self, files: Files):
         self.a, self.b = ByteLevel(files.byte_level), Pieces(files.pieces)
@@ -319,14 +306,17 @@ class Aligner:
         left, sizes_a = self.units.left.of(numbers)
         right, sizes_b = self.units.right.of(numbers)
         cuts_a, cuts_b = self.anchors(left, right)
-        windows = self.window_numbers(left, right, cuts_a, cuts_b)
+        which, asked = distinct_windows(left, right, cuts_a, cuts_b)
+        spans = [(ids, cuts[:-1][asked], np.diff(cuts)[asked]) for ids, cuts in ((left, cuts_a), (right, cuts_b))]
+        written, sizes, numbers = self.windows.work_out(*chain.from_iterable((ids[ragged(at, n)], n) for ids, at, n in spans))
         # The text of a window is that of its first token of A.
-        window_owner = np.repeat(owners, sizes_a)[cuts_a[:-1]]
-        links, n_links = self.windows.links.of(windows)
-        bounds = np.searchsorted(window_owner, np.arange(n + 1)).tolist()
-        groups = list(map(self.windows.texts.__getitem__, windows.tolist()))
+        owner = np.repeat(owners, sizes_a)[cuts_a[:-1]]
+        n_links = sizes[which]
+        links = numbers[ragged((sizes.cumsum() - sizes)[which], n_links)]
+        bounds = np.searchsorted(owner, np.arange(n + 1)).tolist()
+        groups = list(map(written.__getitem__, which.tolist()))
         joined = [";".join(groups[lo:hi]) for lo, hi in zip(bounds, bounds[1:])]
-        return Aligned(per_text(owners, sizes_a, n), per_text(owners, sizes_b, n), joined, links, per_text(window_owner, n_links, n))
+        return Aligned(per_text(owners, sizes_a, n), per_text(owners, sizes_b, n), joined, links, per_text(owner, n_links, n))
 
     def anchors(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token numbers on both sides where windows start, and the end."""
@@ -336,22 +326,19 @@ class Aligner:
         anchored = blank_a[shared_a] & blank_b[shared_b]
         return np.append(0, shared_a[anchored] + 1), np.append(0, shared_b[anchored] + 1)
 
-    def window_numbers(self, left: np.ndarray, right: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> np.ndarray:
-        """Each window's number in the table, which is asked once for equal windows.
 
-        Windows are sorted out by hashes and then compared id by id with the first of their
-        hash; one that differs is asked for on its own.
-        """
-        hashes = mix(Rolling(mix(left.view(np.uint64))).of(cuts_a[:-1], cuts_a[1:]) + np.uint64(1))
-        hashes ^= Rolling(mix(right.view(np.uint64))).of(cuts_b[:-1], cuts_b[1:])
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        odd = differing(left, cuts_a, first[which]) | differing(right, cuts_b, first[which])
-        asked = np.concatenate((first, np.flatnonzero(odd)))
-        which[odd] = len(first) + np.arange(int(odd.sum()))
-        a, b = left.tobytes(), right.tobytes()
-        spans = (8 * cuts[asked + end] for cuts in (cuts_a, cuts_b) for end in (0, 1))
-        keys = [(a[i:k], b[j:m]) for i, k, j, m in zip(*(x.tolist() for x in spans))]
-        return self.windows.numbers(keys)[which]
+def distinct_windows(left: np.ndarray, right: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window its number among the different ones, and where those stand first.
+
+    Windows are sorted out by hashes and then compared id by id with the first of their hash;
+    one that differs counts as different from all.
+    """
+    hashes = mix(Rolling(mix(left.view(np.uint64))).of(cuts_a[:-1], cuts_a[1:]) + np.uint64(1))
+    hashes ^= Rolling(mix(right.view(np.uint64))).of(cuts_b[:-1], cuts_b[1:])
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    odd = differing(left, cuts_a, first[which]) | differing(right, cuts_b, first[which])
+    which[odd] = len(first) + np.arange(int(odd.sum()))
+    return which, np.concatenate((first, np.flatnonzero(odd)))
 
 
 def differing(ids: np.ndarray, cuts: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -393,17 +380,16 @@ def aligner_of(files: Files) -> Aligner:
     return _aligners[key]
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``SLICE`` characters, or one longer text."""
-    lo = size = 0
-    for hi in range(len(texts)):
-        here = len(texts[hi].as_py() or "")
-        if hi > lo and size + here > SLICE:
+def runs(sizes) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes sum up to ``SLICE`` at most, or one larger row."""
+    lo = total = 0
+    for hi, size in enumerate(sizes):
+        if hi > lo and total + size > SLICE:
             yield lo, hi
-            lo, size = hi, 0
-        size += here
-    if lo < len(texts):
-        yield lo, len(texts)
+            lo, total = hi, 0
+        total += size
+    if lo < len(sizes):
+        yield lo, len(sizes)
 
 
 def align(docs: DataFrame, files: Files, id_col: str = "doc_id", text_col: str = "text", groups: bool = False) -> DataFrame:
@@ -416,7 +402,7 @@ def align(docs: DataFrame, files: Files, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = aligner_of(shared.value)
         for batch in batches:
-            for lo, hi in slices(batch.column(1)):
+            for lo, hi in runs(pc.binary_length(batch.column(1)).fill_null(0).to_pylist()):
                 part = batch.slice(lo, hi - lo)
                 found = aligner.align(part.column(1).to_pylist())
                 ends = np.append(0, found.n_links.cumsum()).astype(np.int32)
@@ -452,9 +438,10 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            held.append(np.unique(batch.column(0).flatten().to_numpy(), return_counts=True))
-            if sum(len(v) for v, _ in held) > 4 * len(held[0][0]) + (1 << 20):
-                held = [counted(held)]
+            for lo, hi in runs(np.diff(batch.column(0).offsets.to_numpy())):
+                held.append(np.unique(batch.column(0).slice(lo, hi - lo).flatten().to_numpy(), return_counts=True))
+                if sum(len(v) for v, _ in held) > 4 * len(held[0][0]) + SLICE:
+                    held = [counted(held)]
         if held:
             numbers, counts = counted(held)
             yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(counts)], names=["pair", "count"])
@@ -491,17 +478,17 @@ def scored(aligned: DataFrame, table: PairTable) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            links = batch.column(len(kept))
-            sizes = np.diff(links.offsets.to_numpy())
-            numbers = links.flatten().to_numpy()
-            distinct, at = np.unique(numbers, return_inverse=True)
-            place = np.searchsorted(known.pairs, distinct)
-            rows = np.repeat(np.arange(len(sizes)), sizes)
-            best = np.bincount(rows, known.best[place][at], len(sizes)).astype(np.int64)
-            sums = np.zeros(len(sizes), np.int64)
-            np.add.at(sums, rows, known.counts[place][at])
-            added = [pa.array(sizes.astype(np.int64)), pa.array(best), pa.array(sums)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + added, names=[*kept, "n_links", "n_best", "count_sum"])
+            for lo, hi in runs(np.diff(batch.column(len(kept)).offsets.to_numpy())):
+                part = batch.slice(lo, hi - lo)
+                links = part.column(len(kept))
+                sizes = np.diff(links.offsets.to_numpy()).astype(np.int64)
+                distinct, at = np.unique(links.flatten().to_numpy(), return_inverse=True)
+                place = np.searchsorted(known.pairs, distinct)
+                rows = np.repeat(np.arange(len(sizes)), sizes)
+                sums = np.zeros(len(sizes), np.int64)
+                np.add.at(sums, rows, known.counts[place][at])
+                added = [pa.array(sizes), pa.array(per_text(rows, known.best[place][at], len(sizes))), pa.array(sums)]
+                yield pa.RecordBatch.from_arrays(part.columns[: len(kept)] + added, names=[*kept, "n_links", "n_best", "count_sum"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in aligned.schema.fields if f.name != "links"]
     return aligned.select(*kept, "links").mapInArrow(run, ", ".join([*fields, "n_links long, n_best long, count_sum long"]))
