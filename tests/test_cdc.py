@@ -20,10 +20,9 @@ from tidemark.operators.latest import latest_per_key, live_rows
 from tidemark.plans import incremental_job
 from tidemark.plans.incremental_job import Landing, read_landed, run_incremental
 from tidemark.sinks.files import write_files
-from tidemark.sinks.releases import read_current
 from tidemark.sources.files import read_files, read_or_empty
-from tidemark.sinks.buckets import BucketedTable
-from tidemark.streaming.landing_stream import keep_latest, keep_latest_in_buckets, landed_stream, run_available
+from tidemark.plans.dimension_refresh import StoredDimension, Type1, current_rows
+from tidemark.streaming.landing_stream import keep_refreshed, landed_stream, run_available
 
 SCHEMA = "customer_id string, address string, is_deleted boolean, lastmodified timestamp_ntz"
 NOON = datetime(2026, 1, 3, 12)
@@ -254,22 +253,26 @@ def test_formats(spark, tmp_path):
     assert back.exceptAll(df.unionAll(df)).isEmpty()
 
 
+LATEST = Type1(["customer_id"], ["lastmodified"])
+
+
 def test_stream_takes_up_each_file_once(spark, tmp_path):
     landing, target = str(tmp_path / "in"), str(tmp_path / "out")
     df = source(spark, *INSERTS)
     write_files(df, landing)
-    handler = keep_latest(target, ["customer_id"], ["lastmodified"], AS_OF)
+    table = StoredDimension(target, LATEST, 4)
+    handler = keep_refreshed(table, AS_OF)
 
     def run():
         run_available(landed_stream(spark, landing, df.schema), handler, str(tmp_path / "cp"))
-        return {r.customer_id: r.address for r in read_current(spark, target, "latest")[0].collect()}
+        return {r.customer_id: r.address for r in current_rows(spark, table).collect()}
 
     assert run() == {"C001": "Pune", "C002": "Mumbai", "C003": "Nagpur"}
     assert run() == {"C001": "Pune", "C002": "Mumbai", "C003": "Nagpur"}
     write_files(source(spark, ("C001", "Goa", False, at(4)), ("C002", "old", False, at(-9))), landing)
     assert run() == {"C001": "Goa", "C002": "Mumbai", "C003": "Nagpur"}
     handler(source(spark, ("C003", "repeated batch", False, at(99))), 0)
-    assert {r.address for r in read_current(spark, target, "latest")[0].collect()} == {
+    assert {r.address for r in current_rows(spark, table).collect()} == {
         "Goa",
         "Mumbai",
         "Nagpur",
@@ -278,13 +281,14 @@ def test_stream_takes_up_each_file_once(spark, tmp_path):
 
 def test_stream_with_a_new_checkpoint_loses_no_row(spark, tmp_path):
     landing, target = str(tmp_path / "in"), str(tmp_path / "out")
-    handler = keep_latest(target, ["customer_id"], ["lastmodified"], AS_OF)
+    table = StoredDimension(target, LATEST, 4)
+    handler = keep_refreshed(table, AS_OF)
     write_files(source(spark, *INSERTS), landing)
     run_available(landed_stream(spark, landing, source(spark).schema), handler, str(tmp_path / "first"))
     write_files(source(spark, ("C009", "Goa", False, at(4))), landing)
-    again = keep_latest(target, ["customer_id"], ["lastmodified"], AS_OF)
+    again = keep_refreshed(table, AS_OF)
     run_available(landed_stream(spark, landing, source(spark).schema), again, str(tmp_path / "second"))
-    assert read_current(spark, target, "latest")[0].count() == 4
+    assert current_rows(spark, table).count() == 4
 
 
 def test_rows_without_a_change_time_are_never_lost(spark, tmp_path):
@@ -353,21 +357,3 @@ def test_csv_landing_is_idle_when_nothing_changed(spark, tmp_path):
     assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF).rows == 1
     assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF).rows == 0
     assert read_landed(spark, "s", landing, df.schema).first().lastmodified == at(0) + timedelta(microseconds=123456)
-
-
-def test_a_merge_rewrites_the_touched_buckets_only(spark, tmp_path):
-    table = BucketedTable(str(tmp_path), ["customer_id"], buckets=16)
-    handler = keep_latest_in_buckets(table, ["lastmodified"], AS_OF)
-    handler(source(spark, *[(f"C{i:03d}", "x", False, at(0)) for i in range(200)]), 0)
-    before = table.places(spark)
-    assert len(before) == 16
-    handler(source(spark, ("C001", "Goa", False, at(1)), ("C001", "old", False, at(-1))), 1)
-    after = table.places(spark)
-    assert sum(before[b] != after[b] for b in before) == 1
-    handler(source(spark, ("C001", "repeated", False, at(9))), 1)
-    handler(source(spark), 2)
-    rows = {r.customer_id: r.address for r in table.read(spark).collect()}
-    assert len(rows) == 200 and rows["C001"] == "Goa" and rows["C002"] == "x"
-    assert table.expire(spark, AS_OF) == 0
-    assert table.expire(spark, AS_OF + timedelta(days=1)) == 1
-    assert table.read(spark).count() == 200

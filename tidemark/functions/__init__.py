@@ -2,7 +2,7 @@
 
 from tidemark.functions.changes import any_differs, differs
 from tidemark.functions.dates import date_key, day_name, day_of_week, instant
-from tidemark.functions.keys import row_hash, surrogate_key, tie_break
+from tidemark.functions.keys import required, row_hash, surrogate_key, tie_break
 from tidemark.functions.money import line_gross, line_net
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "instant",
     "line_gross",
     "line_net",
+    "required",
     "row_hash",
     "surrogate_key",
     "tie_break",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 
 def surrogate_key(natural: Column, digits: int = 15) -> Column:
@@ -18,6 +19,12 @@ def surrogate_key(natural: Column, digits: int = 15) -> Column:
     return F.conv(prefix, 16, 10).cast("bigint")
 
 
+def required(key: str, kind: DataType | None = None) -> Column:
+    """The key column; a row without a key fails the job instead of merging with others."""
+    checked = F.coalesce(F.col(key), F.raise_error(F.lit(f"a row without a key: {key} is NULL")))
+    return (checked if kind is None else checked.cast(kind)).alias(key)
+
+
 def row_hash(df: DataFrame) -> Column:
     """Hash of a row's values. Maps have no order and are left out."""
     return F.xxhash64(*[f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()])

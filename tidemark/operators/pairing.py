@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions import tie_break
+from tidemark.functions import required, tie_break
 
 
 def _non_keys(df: DataFrame, keys: list[str]) -> list[str]:
@@ -31,16 +31,16 @@ def pair_by_key(
     ``stored_when`` limits which stored rows count as the key's row. ``counter`` names a
     stored integer column whose greatest value over all stored rows becomes ``counted``.
     Two stored rows for one key break the dimension's contract and fail the job, rather
-    than losing one of them.
+    than losing one of them; so does a row without a key.
     """
     row = F.struct(*_non_keys(stored, keys))
     left = stored.select(
-        *keys,
+        *[required(k) for k in keys],
         (F.when(stored_when, row) if stored_when is not None else row).alias("was"),
         (F.col(counter).cast("long") if counter else F.lit(None).cast("long")).alias("counted"),
     )
     right = incoming.select(
-        *[F.col(k).cast(stored.schema[k].dataType).alias(k) for k in keys],
+        *[required(k, stored.schema[k].dataType) for k in keys],
         F.struct(*_non_keys(incoming, keys)).alias("now"),
         tie_break(incoming, order_cols).alias("rank"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions import required
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.union import align, stack
 
@@ -19,9 +20,10 @@ def scd1_merge(
 
     By default the newest row by ``order_cols`` wins, so a late older row changes
     nothing. With ``incoming_wins`` the batch always replaces the stored row, and
-    ``order_cols`` only choose among repeated keys within the batch.
+    ``order_cols`` only choose among repeated keys within the batch. A row without a key fails
+    the job.
     """
-    batch = align(staging, dim)
+    dim, batch = (df.withColumns({k: required(k) for k in keys}) for df in (dim, align(staging, dim)))
     if not incoming_wins:
         return latest_per_key(stack(dim, batch), keys, order_cols)
     ranked = stack(

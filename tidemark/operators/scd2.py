@@ -2,8 +2,9 @@
 
 There are two ways to merge a batch. ``changes`` and what builds on it take the newest row
 of each key and are one shuffle without writes; they suit batches with one change per key.
-``every_change`` makes a version of each change in the batch, in the order of change time and
-``order_cols`` within and across batches; stored dimensions are refreshed that way.
+``spliced`` makes a version of each change, wherever in a key's history its time falls: it
+orders stored and incoming rows together, drops what repeats its predecessor, numbers the
+versions anew and closes each where the next one starts. Stored dimensions are refreshed so.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DataType
 
-from tidemark.functions import any_differs, instant, row_hash, surrogate_key
+from tidemark.functions import any_differs, instant, required, surrogate_key
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.pairing import pair_by_key
 from tidemark.operators.union import stack
@@ -23,13 +24,10 @@ from tidemark.sinks.files import write_files
 OPEN_END = datetime(9999, 12, 31)
 
 
-@dataclass(frozen=True)
-class BatchVersions:
-    """What a batch does to a dimension: rows to store, and incoming rows that came late."""
-
-    current: DataFrame  # the stored current rows, closed where a change of the batch follows
-    opened: DataFrame  # a version for each change, all but the last of a key closed
-    late: DataFrame  # incoming rows that differ from a stored row they do not follow
+# Columns that a stored dimension has besides its own: whether a row opens a version or repeats
+# its predecessor, and on a current row the position of the key's last row.
+OPENS = "_opens"
+REACHED = "_reached"
 
 
 @dataclass(frozen=True)
@@ -175,85 +173,115 @@ class Scd2:
         history = dim.filter(~self.is_current())
         return stack(history, self.rebuilt(dim, self.changes(dim, staging)))
 
-    def _position(self, df: DataFrame) -> list[str]:
+    def versioning(self) -> list[str]:
+        """The columns that the dimension adds to the incoming ones."""
+        return [c for c in (self.valid_from, self.valid_to, self.current, self.version, self.version_key) if c]
+
+    def order(self) -> list[str]:
+        """Columns in whose order the rows of a key follow each other."""
         return [self.ts_col, *[c for c in self.order_cols if c != self.ts_col]]
 
-    def every_change(self, dim: DataFrame, staging: DataFrame, work: str) -> BatchVersions:
-        """Versions of all changes in the batch, over stored tables below the folder ``work``.
+    def position(self, df: DataFrame, own: list[str] | None = None) -> Column:
+        """Place of a row among its key's rows; ties of all order columns go by the row's hash."""
+        own = own or [c for c in df.columns if c not in self.versioning()]
+        hashed = F.xxhash64(*[c for c in sorted(own) if "map<" not in df.schema[c].dataType.simpleString()])
+        return F.struct(*self.order(), hashed.alias("hash"))
 
-        Rows are numbered per key in range partitions, so a key with a third of the batch is
-        many tasks' work, and meet their predecessor by key and number. A row equal to its
-        predecessor in all tracked columns opens nothing. A row that does not come after the
-        stored version is late if it differs from it.
-        """
-        spark, keys = dim.sparkSession, self.keys
-        staging = staging.select(
-            *[F.col(c).cast(dim.schema[c].dataType).alias(c) if c in keys else F.col(c) for c in staging.columns]
-        )
-        if not staging.filter(" OR ".join(f"`{k}` IS NULL" for k in keys)).isEmpty():
-            raise ValueError("the batch holds rows without a key")
-        order = self._position(staging)
-        rows = staging.withColumn("_hash", row_hash(staging))
-        rows = number_rows(rows, [*order, "_hash"], "_n", f"{work}/numbered", by=keys)
-        before = rows.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n") + 1).alias("_next"), F.struct(*order, *self.tracked).alias("_before")
-        )
-        stored = dim.filter(self.is_current())
-        was = stored.select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.struct(*stored.columns).alias("_was"))
-        same = lambda p: [F.col(k) == F.col(f"{p}{k}") for k in keys]
-        met = rows.join(before, [*same("_k_"), F.col("_n") == F.col("_next")], "left").join(was, same("_w_"), "left")
+    def first_rows(self, batch: DataFrame, own: list[str] | None = None) -> DataFrame:
+        """Keys of the batch with the position of their first row, reduced in the map tasks."""
+        return batch.groupBy(*self.keys).agg(F.min(self.position(batch, own)).alias("_first"))
 
-        def reached(row: Column, stored_row: bool = False) -> Column:
-            return F.struct(*[row[self.valid_from if stored_row and c == self.ts_col else c].alias(c) for c in order])
+    def spliced(self, rows: DataFrame, own: list[str], work: str) -> DataFrame:
+        """The histories of all keys in ``rows``, over stored tables below the folder ``work``.
 
-        stamp = dim.schema[self.valid_from].dataType
-        now = F.struct(*[(F.col(c).cast(stamp) if c == self.ts_col else F.col(c)).alias(c) for c in order])
-        stale = F.col("_was").isNotNull() & (now <= reached(F.col("_was"), True))
-        fresh_before = F.col("_before").isNotNull() & (
-            F.col("_was").isNull() | (reached(F.col("_before")) > reached(F.col("_was"), True))
-        )
-        from_was = any_differs((F.col("_was")[c], F.col(c)) for c in self.tracked)
-        from_before = any_differs((F.col("_before")[c], F.col(c)) for c in self.tracked)
-        first = F.col("_was").isNull() & F.col("_before").isNull()
-        opens = ~stale & F.when(fresh_before, from_before).otherwise(first | from_was)
-        judged = met.select(
-            *staging.columns, "_hash", F.when(stale & from_was, "late").when(opens, "opens").otherwise("same").alias("_is")
+        ``rows`` are stored and incoming rows alike: the incoming columns ``own``, ``_stored``
+        (false for incoming ones) and ``_base``, the number of versions that the key had
+        before the rows at hand (null: 0). Other columns are carried. A row equal to its
+        predecessor in all tracked columns opens nothing and is kept as a repeat, since a late
+        row before it may part the two; a row that is there twice is kept once.
+
+        Rows are numbered per key in range partitions, so a key with a third of the rows is
+        many tasks' work, and meet their neighbours by key and number.
+        """
+        if self.expire_at:
+            raise ValueError("spliced versions end where the next one starts")
+        spark, keys = rows.sparkSession, self.keys
+        stamp = rows.schema[self.ts_col].dataType
+        rows = rows.withColumn("_at", self.position(rows, own))
+        stored_first = F.when(F.col("_stored"), 0).otherwise(1)
+        numbered = number_rows(rows, ["_at", stored_first], "_n", f"{work}/numbered", by=keys)
+        before = numbered.select(
+            *[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n") + 1).alias("_next"), F.struct("_at", *self.tracked).alias("_before")
         )
-        write_files(judged.filter("_is <> 'same'"), f"{work}/judged")
+        same = lambda p: [F.col(k) == F.col(f"{p}{k}") for k in keys]
+        met = numbered.join(before, [*same("_k_"), F.col("_n") == F.col("_next")], "left")
+        first = F.col("_before").isNull()
+        moved = any_differs((F.col("_before")[c], F.col(c)) for c in self.tracked)
+        twice = ~first & ~moved & F.col("_at").eqNullSafe(F.col("_before")["_at"])
+        judged = met.filter(~twice).select(*rows.columns, (first | moved).alias(OPENS))
+        write_files(judged, f"{work}/judged")
         judged = spark.read.parquet(f"{work}/judged")
-        late = judged.filter("_is = 'late'").select(*staging.columns)
-        changes = number_rows(judged.filter("_is = 'opens'").drop("_is"), [*order, "_hash"], "_n", f"{work}/changes", by=keys)
 
-        end = dim.schema[self.valid_to].dataType
-        starts = changes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n") - 1).alias("_of"), F.col(self.ts_col).cast(end).alias("_ends"))
-        counted = (dim if self.version else stored).groupBy(*[F.col(k).alias(f"_w_{k}") for k in keys]).agg(
-            (F.max(self.version).cast("long") if self.version else F.lit(0).cast("long")).alias("_counted")
+        opening = number_rows(judged.filter(OPENS), ["_at"], "_n", f"{work}/opening", by=keys)
+        starts = opening.select(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n") - 1).alias("_of"), F.col(self.ts_col).alias("_ends"))
+        bases = judged.groupBy(*[F.col(k).alias(f"_b_{k}") for k in keys]).agg(
+            F.coalesce(F.max("_base"), F.lit(0)).alias("_before_all"), F.max("_at").alias("_last")
         )
-        opened = changes.join(starts, [*same("_k_"), F.col("_n") == F.col("_of")], "left").join(counted, same("_w_"), "left")
-        number = F.coalesce("_counted", F.lit(0)) + F.col("_n")
-        columns = self._opening(F.col(self.ts_col).cast(stamp), number, end)
+        opening = opening.join(starts, [*same("_k_"), F.col("_n") == F.col("_of")], "left").join(bases, same("_b_"))
+        columns = self._opening(F.col(self.ts_col), F.col("_before_all") + F.col("_n"), stamp)
         closed = F.col("_ends").isNotNull()
         columns[self.valid_to] = F.when(closed, F.col("_ends")).otherwise(columns[self.valid_to])
         columns[self.current] = (~closed).cast(self.current_type)
-        opened = opened.select(*[(columns[c] if c in columns else F.col(c)).cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+        columns[REACHED] = F.when(~closed, F.col("_last"))
+        kept = [c for c in rows.columns if c not in ("_at", "_stored", "_base")]
+        opened = opening.withColumns(columns).select(*kept, *self.versioning(), OPENS, REACHED)
+        repeats = judged.filter(~F.col(OPENS)).withColumns(
+            {
+                **{c: F.lit(None).cast(opened.schema[c].dataType) for c in (*self.versioning(), REACHED)},
+                self.valid_from: F.col(self.ts_col),
+                self.current: F.lit(False).cast(self.current_type),
+            }
+        )
+        return stack(opened, repeats.select(*opened.columns))
 
-        follows = starts.filter("_of = 0")
-        current = stored.join(follows, same("_k_"), "left")
-        gone = F.col("_ends").isNotNull()
-        replaced = {
-            self.valid_to: F.when(gone, self._closed_at(F.col("_ends"), end)).otherwise(F.col(self.valid_to)),
-            self.current: (~gone).cast(dim.schema[self.current].dataType),
-        }
-        current = current.select(*[replaced.get(c, F.col(c)).alias(c) for c in dim.columns])
-        return BatchVersions(current, opened, late)
+    def merge_every_change(self, dim: DataFrame, staging: DataFrame, work: str) -> DataFrame:
+        """The whole dimension after the batch, a version for each change in it.
 
-    def _closed_at(self, ends: Column, end: DataType) -> Column:
-        return instant(self.expire_at, end) if self.expire_at else ends
+        Versions of ``dim`` are taken as they are where no incoming row falls before a key's
+        last one; else the key's history is made anew from its versions and the batch.
+        """
+        own = [c for c in dim.columns if c not in self.versioning()]
+        batch = staging.select(*[required(k, dim.schema[k].dataType) if k in self.keys else F.col(k).cast(dim.schema[k].dataType).alias(k) for k in own])
+        write_files(self.first_rows(batch), f"{work}/first")
+        first = dim.sparkSession.read.parquet(f"{work}/first")
+        current = dim.filter(self.is_current()).withColumn("_own", self.position(dim))
+        write_files(current.join(first, self.keys).filter("_first <= _own").select(*self.keys), f"{work}/late")
+        late = dim.sparkSession.read.parquet(f"{work}/late")
+        whole = dim.join(late, self.keys, "left_semi")
+        last = dim.filter(self.is_current()).join(first, self.keys, "left_semi").join(late, self.keys, "left_anti")
+        untouched = stack(
+            dim.filter(self.is_current()).join(first, self.keys, "left_anti"),
+            dim.filter(~self.is_current()).join(late, self.keys, "left_anti"),
+        )
+        if self.version:
+            # A key without a current row goes on with its numbers.
+            counted = dim.groupBy(*self.keys).agg(F.max(self.version).cast("long").alias("_base")).join(late, self.keys, "left_anti")
+            gone = counted.join(dim.filter(self.is_current()).select(*self.keys), self.keys, "left_anti")
+            batch = batch.join(gone, self.keys, "left").select(*own, "_base")
+        else:
+            batch = batch.withColumn("_base", F.lit(None).cast("long"))
+        rows = stack(
+            whole.select(*own, F.lit(True).alias("_stored"), F.lit(None).cast("long").alias("_base")),
+            last.select(*own, F.lit(True).alias("_stored"), self.versions_before().alias("_base")),
+            batch.select(*own, F.lit(False).alias("_stored"), "_base"),
+        )
+        merged = self.spliced(rows, own, work).filter(OPENS)
+        typed = merged.select(*[F.col(c).cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+        return stack(untouched, typed)
 
-    def merge_every_change(self, dim: DataFrame, staging: DataFrame, work: str) -> DataFrame:
-        """The whole dimension after the batch, a version for each change in it."""
-        found = self.every_change(dim, staging, work)
-        return stack(dim.filter(~self.is_current()), found.current, found.opened)
+    def versions_before(self) -> Column:
+        """Number of the key's versions before a current row."""
+        return (F.col(self.version) - 1).cast("long") if self.version else F.lit(None).cast("long")
 
     def current_view(self, dim: DataFrame) -> DataFrame:
         return dim.filter(self.is_current())

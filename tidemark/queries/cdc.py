@@ -16,15 +16,15 @@ from tidemark.operators.incremental import (
 )
 from tidemark.operators.latest import latest_per_key, live_rows
 from tidemark.operators.union import stack
+from tidemark.plans.dimension_refresh import StoredDimension, Type1, current_rows
 from tidemark.plans.incremental_job import Landing, landed_schema, read_landed, run_incremental
 from tidemark.queries.fixture import AS_OF, table
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path
-from tidemark.sinks.buckets import BucketedTable
 from tidemark.sinks.files import write_files
 from tidemark.sinks.releases import publish, read_current
 from tidemark.sources.files import read_files
-from tidemark.streaming.landing_stream import keep_latest_in_buckets, landed_stream, run_available
+from tidemark.streaming.landing_stream import keep_refreshed, landed_stream, run_available
 
 LO, HI = datetime(1998, 1, 1), datetime(2000, 1, 1)
 STAMP = "o_orderdate"
@@ -239,10 +239,9 @@ def cdc_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _land_slices(spark, sf_dir, landing)
     schema = landed_schema(orders.schema).add("batch_id", "string")
     stream = landed_stream(spark, landing.batches("orders"), schema).select(*orders.columns)
-    latest = BucketedTable(f"{root}/latest", ["o_custkey"], buckets=8)
-    handler = keep_latest_in_buckets(latest, [STAMP, "o_orderkey"], AS_OF)
-    run_available(stream, handler, f"{root}/stream-checkpoint")
-    return latest.read(spark)
+    latest = StoredDimension(f"{root}/latest", Type1(["o_custkey"], [STAMP, "o_orderkey"]), buckets=8)
+    run_available(stream, keep_refreshed(latest, AS_OF), f"{root}/stream-checkpoint")
+    return current_rows(spark, latest)
 
 
 def _through_csv(df: DataFrame, name: str) -> DataFrame:

@@ -12,9 +12,9 @@ from tidemark.operators.scd1 import scd1_merge
 from tidemark.operators.scd3 import scd3_initial, scd3_merge
 from tidemark.operators.union import stack
 from tidemark.operators.update import update_where
-from tidemark.plans.dimension_refresh import read_dimension, refresh_dimension, start_dimension
+from tidemark.plans.dimension_refresh import StoredDimension, Type1, Type3, current_rows, read_dimension, refresh_dimension
 from tidemark.queries import fixture as fx
-from tidemark.queries.fixture import AS_OF, BATCH_KEYS, BATCH_ORDER, MOVED_SQL, RUNS_SQL, SCD2
+from tidemark.queries.fixture import AS_OF, BATCH_KEYS, BATCH_ORDER, CHANGES_SQL, MOVED_SQL, RUNS_SQL, SCD2
 from tidemark.queries.registry import query
 from tidemark.session import scratch_path
 
@@ -83,14 +83,25 @@ def scd_change_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LATEST_SQL = f"""WITH newest AS (
+    SELECT * FROM ({CHANGES_SQL})
+    QUALIFY row_number() OVER (
+        PARTITION BY customer_id ORDER BY last_modified_ts DESC, order_id DESC) = 1)"""
+
+
+def _newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.latest_changes(fx.changes(spark, sf_dir))
+
+
 @query(
     "scd2_initial",
-    f"""{RUNS_SQL}
+    f"""{LATEST_SQL}
 SELECT {BASE}, last_modified_ts AS effective_from, '9999-12-31 00:00:00' AS effective_to,
-       true AS is_current, 1 AS version FROM run1""",
+       true AS is_current, 1 AS version FROM newest""",
 )
 def scd2_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(_dim(spark, sf_dir))
+    """First load of the newest change of every customer in the whole log."""
+    return _shown(SCD2.initial(_newest(spark, sf_dir)))
 
 
 @query(
@@ -158,10 +169,7 @@ def scd2_current_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(SCD2.current_view(_merged(spark, sf_dir)))
 
 
-ALL_VERSIONS_SQL = f"""
-log AS (
-    SELECT {BASE}, 0 AS batch FROM run1
-    UNION ALL SELECT {BASE}, 1 FROM changes WHERE last_modified_ts > TIMESTAMP '1998-04-15'),
+VERSIONS_SQL = f"""
 steps AS (
     SELECT *, lag(order_id) OVER w AS before_id, lag(order_status) OVER w AS before_status,
            lag(order_priority) OVER w AS before_priority FROM log
@@ -173,6 +181,11 @@ SELECT {BASE}, last_modified_ts AS effective_from,
        coalesce(cast(lead(last_modified_ts) OVER w AS varchar), '9999-12-31 00:00:00') AS effective_to,
        lead(last_modified_ts) OVER w IS NULL AS is_current, row_number() OVER w AS version
 FROM opened WINDOW w AS (PARTITION BY customer_id ORDER BY last_modified_ts, order_id)"""
+ALL_VERSIONS_SQL = f"""
+log AS (
+    SELECT {BASE} FROM run1
+    UNION ALL SELECT {BASE} FROM changes WHERE last_modified_ts > TIMESTAMP '1998-04-15'),
+{VERSIONS_SQL}"""
 
 
 @query("scd2_merge_all_versions", f"{RUNS_SQL}, {ALL_VERSIONS_SQL}")
@@ -187,27 +200,86 @@ def scd2_history_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(SCD2.history_view(_merged(spark, sf_dir)))
 
 
+BOUNDS = [fx.BOOKMARK, datetime(1999, 6, 1), datetime(2000, 6, 1), None]
+
+
+def _refreshed(spark: SparkSession, sf_dir: str, name: str, kind) -> StoredDimension:
+    """A stored dimension after its first load and three refreshes."""
+    dim = StoredDimension(scratch_path(spark, name), kind, buckets=8)
+    refresh_dimension(dim, fx.run1(spark, sf_dir), "r0", fx.BOOKMARK)
+    for number, (lo, hi) in enumerate(zip(BOUNDS, BOUNDS[1:]), 1):
+        batch = incremental_slice(fx.slice2(spark, sf_dir), SCD2.ts_col, lo, hi)
+        refresh_dimension(dim, batch, f"r{number}", AS_OF)
+    return dim
+
+
 @query("scd2_stored_refresh", f"{RUNS_SQL}, {ALL_VERSIONS_SQL}")
 def scd2_stored_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merge as a stored dimension: first load, three refreshes, read back."""
-    root = scratch_path(spark, "scd2_stored_refresh")
-    start_dimension(SCD2, fx.run1(spark, sf_dir), root, "r0", fx.BOOKMARK)
-    bounds = [fx.BOOKMARK, datetime(1999, 6, 1), datetime(2000, 6, 1), None]
-    for number, (lo, hi) in enumerate(zip(bounds, bounds[1:]), 1):
-        batch = incremental_slice(fx.slice2(spark, sf_dir), SCD2.ts_col, lo, hi)
-        refresh_dimension(SCD2, batch, root, f"r{number}", AS_OF)
-    return _shown(read_dimension(spark, SCD2, root))
+    return _shown(read_dimension(spark, _refreshed(spark, sf_dir, "scd2_stored_refresh", SCD2)))
+
+
+@query("scd2_late_splice", f"WITH log AS ({CHANGES_SQL}), {VERSIONS_SQL}")
+def scd2_late_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All changes in three batches by status, so that two of them fall between stored versions."""
+    dim = StoredDimension(scratch_path(spark, "scd2_late_splice"), SCD2, buckets=8)
+    log, status = fx.changes(spark, sf_dir), F.col("order_status")
+    batches = [status.isNull() | ~status.isin("F", "P"), status == "P", status == "F"]
+    for number, chosen in enumerate(batches):
+        refresh_dimension(dim, log.filter(chosen), f"r{number}", AS_OF)
+    return _shown(read_dimension(spark, dim))
+
+
+@query(
+    "scd1_stored_refresh",
+    f"""{LATEST_SQL}
+SELECT {BASE} FROM newest""",
+)
+def scd1_stored_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = Type1(BATCH_KEYS, BATCH_ORDER)
+    return current_rows(spark, _refreshed(spark, sf_dir, "scd1_stored_refresh", kind))
+
+
+@query(
+    "scd3_stored_refresh",
+    f"""{RUNS_SQL},
+batches AS (
+    SELECT *, CASE WHEN last_modified_ts <= TIMESTAMP '1998-04-15' THEN 0
+                   WHEN last_modified_ts <= TIMESTAMP '1999-06-01' THEN 1
+                   WHEN last_modified_ts <= TIMESTAMP '2000-06-01' THEN 2 ELSE 3 END AS batch
+    FROM changes),
+loaded AS (
+    SELECT * FROM batches
+    QUALIFY row_number() OVER (
+        PARTITION BY customer_id, batch ORDER BY last_modified_ts DESC, order_id DESC) = 1),
+steps AS (
+    SELECT *, lag(order_status) OVER w AS before_status,
+           last_value(order_priority IGNORE NULLS) OVER (
+               PARTITION BY customer_id ORDER BY batch
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS priority
+    FROM loaded WINDOW w AS (PARTITION BY customer_id ORDER BY batch)),
+moves AS (
+    SELECT *, last_value(CASE WHEN before_status <> order_status THEN before_status END IGNORE NULLS) OVER (
+        PARTITION BY customer_id ORDER BY batch
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS previous FROM steps)
+SELECT customer_id, order_id, priority AS order_priority, last_modified_ts,
+       order_status AS order_status_current, previous AS order_status_previous
+FROM moves QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY batch DESC) = 1""",
+)
+def scd3_stored_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = Type3(BATCH_KEYS, "order_status", BATCH_ORDER)
+    return current_rows(spark, _refreshed(spark, sf_dir, "scd3_stored_refresh", kind))
 
 
 @query(
     "scd3_initial",
-    f"""{RUNS_SQL}
+    f"""{LATEST_SQL}
 SELECT customer_id, order_id, order_priority, last_modified_ts,
        order_status AS order_status_current, cast(NULL AS varchar) AS order_status_previous
-FROM run1""",
+FROM newest""",
 )
 def scd3_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd3_initial(fx.run1(spark, sf_dir), "order_status")
+    return scd3_initial(_newest(spark, sf_dir), "order_status")
 
 
 SCD3_SQL = """

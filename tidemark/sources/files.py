@@ -86,6 +86,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the paths that exist."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    places = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return [p for p, place in zip(paths, places) if place.getFileSystem(hadoop).exists(place)]
+
+
 def files_state(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files of a table; it changes when they are written again."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

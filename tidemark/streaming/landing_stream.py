@@ -13,10 +13,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.latest import latest_per_key
-from tidemark.operators.scd1 import scd1_merge
-from tidemark.sinks.buckets import BucketedTable
-from tidemark.sinks.releases import latest_release, publish, read_current, released
+from tidemark.plans.dimension_refresh import StoredDimension, refresh_dimension
+from tidemark.sinks.overwrite import roll_forward
+from tidemark.sinks.releases import released
 from tidemark.sources.files import CSV, map_texts, plain_text
 
 # The property in which Spark names the running stream; it is kept in the checkpoint.
@@ -52,48 +51,22 @@ def run_available(
     query.awaitTermination()
 
 
-def keep_latest(
-    root: str, keys: list[str], order_cols: list[str], at: datetime
-) -> Callable[[DataFrame, int], None]:
-    """A batch handler that keeps the newest row per key as a type-1 table under ``root``.
+def keep_refreshed(dim: StoredDimension, at: datetime) -> Callable[[DataFrame, int], None]:
+    """A batch handler that merges micro-batches into a stored dimension.
 
     The release is named after the stream and its batch number, so a batch that Spark repeats
     after a failure finds its release published and does nothing. A stream with a new
     checkpoint has a new id: its batches are merged, whatever their numbers are, and rows
     that were merged before change nothing.
     """
-
     seen = {"stream": "no-stream"}  # a call outside a stream repeats a batch of the last one
 
     def merge_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         stream = seen["stream"] = spark.sparkContext.getLocalProperty(STREAM_ID) or seen["stream"]
         release = f"{stream}-{number:012d}"
-        if not released(spark, root).filter(F.col("release") == release).isEmpty():
-            return
-        if latest_release(spark, root) is None:
-            merged = latest_per_key(batch, keys, order_cols)
-        else:
-            merged = scd1_merge(*read_current(spark, root, "latest"), batch, keys, order_cols)
-        publish({"latest": merged}, root, release, at)
-
-    return merge_batch
-
-
-def keep_latest_in_buckets(
-    table: BucketedTable, order_cols: list[str], at: datetime
-) -> Callable[[DataFrame, int], None]:
-    """Like ``keep_latest``, for large tables: a batch rewrites only the buckets of its keys."""
-    seen = {"stream": "no-stream"}
-
-    def combine(stored: DataFrame | None, batch: DataFrame) -> DataFrame:
-        if stored is None:
-            return latest_per_key(batch, table.keys, order_cols)
-        return scd1_merge(stored, batch, table.keys, order_cols)
-
-    def merge_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        seen["stream"] = spark.sparkContext.getLocalProperty(STREAM_ID) or seen["stream"]
-        table.merge(batch, f"{seen['stream']}-{number:012d}", at, combine)
+        roll_forward(spark, dim.root)
+        if released(spark, dim.root).filter(F.col("release") == release).isEmpty():
+            refresh_dimension(dim, batch, release, at)
 
     return merge_batch
