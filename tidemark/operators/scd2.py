@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DataType
 
 from tidemark.functions import any_differs, instant, required, surrogate_key
-from tidemark.operators.numbering import number_rows
+from tidemark.operators.carry import carry, laid_out
 from tidemark.operators.pairing import pair_by_key
 from tidemark.operators.union import stack
 from tidemark.sinks.files import write_files
@@ -200,49 +200,49 @@ class Scd2:
         predecessor in all tracked columns opens nothing and is kept as a repeat, since a late
         row before it may part the two; a row that is there twice is kept once.
 
-        Rows are numbered per key in range partitions, so a key with a third of the rows is
-        many tasks' work, and meet their neighbours by key and number.
+        Rows lie in range partitions of key and position, so a key with a third of them is
+        many tasks' work, and take from their neighbours what they need.
         """
         if self.expire_at:
             raise ValueError("spliced versions end where the next one starts")
         spark, keys = rows.sparkSession, self.keys
         stamp = rows.schema[self.ts_col].dataType
-        rows = rows.withColumn("_at", self.position(rows, own))
-        stored_first = F.when(F.col("_stored"), 0).otherwise(1)
-        numbered = number_rows(rows, ["_at", stored_first], "_n", f"{work}/numbered", by=keys)
-        before = numbered.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n") + 1).alias("_next"), F.struct("_at", *self.tracked).alias("_before")
-        )
-        same = lambda p: [F.col(k) == F.col(f"{p}{k}") for k in keys]
-        met = numbered.join(before, [*same("_k_"), F.col("_n") == F.col("_next")], "left")
+        incoming = F.when(F.col("_stored"), 0).otherwise(1)
+        rows = rows.withColumns({"_at": self.position(rows, own), "_in": incoming, "_row": F.monotonically_increasing_id()})
+        order = ["_at", "_in", "_row"]
+        placed = laid_out(rows, keys, order, f"{work}/placed")
+        met = carry(placed, keys, order, previous={"_before": F.struct("_at", *self.tracked)})
         first = F.col("_before").isNull()
         moved = any_differs((F.col("_before")[c], F.col(c)) for c in self.tracked)
         twice = ~first & ~moved & F.col("_at").eqNullSafe(F.col("_before")["_at"])
-        judged = met.filter(~twice).select(*rows.columns, (first | moved).alias(OPENS))
+        judged = met.filter(~twice).select(*placed.columns, (first | moved).alias(OPENS))
         write_files(judged, f"{work}/judged")
-        judged = spark.read.parquet(f"{work}/judged")
+        judged = spark.read.schema(judged.schema).parquet(f"{work}/judged")
 
-        opening = number_rows(judged.filter(OPENS), ["_at"], "_n", f"{work}/opening", by=keys)
-        starts = opening.select(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_n") - 1).alias("_of"), F.col(self.ts_col).alias("_ends"))
-        bases = judged.groupBy(*[F.col(k).alias(f"_b_{k}") for k in keys]).agg(
-            F.coalesce(F.max("_base"), F.lit(0)).alias("_before_all"), F.max("_at").alias("_last")
+        opening = carry(
+            judged.filter(OPENS), keys, order, following={"_ends": F.col(self.ts_col)}, last={"_before_all": F.col("_base")}, count="_n"
         )
-        opening = opening.join(starts, [*same("_k_"), F.col("_n") == F.col("_of")], "left").join(bases, same("_b_"))
-        columns = self._opening(F.col(self.ts_col), F.col("_before_all") + F.col("_n"), stamp)
+        number = F.coalesce("_before_all", F.lit(0)) + F.col("_n")
+        columns = self._opening(F.col(self.ts_col), number, stamp)
         closed = F.col("_ends").isNotNull()
         columns[self.valid_to] = F.when(closed, F.col("_ends")).otherwise(columns[self.valid_to])
         columns[self.current] = (~closed).cast(self.current_type)
-        columns[REACHED] = F.when(~closed, F.col("_last"))
-        kept = [c for c in rows.columns if c not in ("_at", "_stored", "_base")]
-        opened = opening.withColumns(columns).select(*kept, *self.versioning(), OPENS, REACHED)
+        kept = [c for c in rows.columns if c not in (*order, "_stored", "_base")]
+        opened = opening.withColumns(columns).select(*kept, *self.versioning(), OPENS, "_ends")
+        # One current row per key meets the position of the key's last row.
+        reached = judged.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max("_at").alias(REACHED))
+        current = opened.filter("_ends IS NULL").join(reached, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+        shown = [*kept, *self.versioning(), OPENS, REACHED]
+        nothing = F.lit(None)
+        past = opened.filter("_ends IS NOT NULL").withColumn(REACHED, nothing.cast(current.schema[REACHED].dataType))
         repeats = judged.filter(~F.col(OPENS)).withColumns(
             {
-                **{c: F.lit(None).cast(opened.schema[c].dataType) for c in (*self.versioning(), REACHED)},
+                **{c: nothing.cast(current.schema[c].dataType) for c in (*self.versioning(), REACHED)},
                 self.valid_from: F.col(self.ts_col),
                 self.current: F.lit(False).cast(self.current_type),
             }
         )
-        return stack(opened, repeats.select(*opened.columns))
+        return stack(*[part.select(*shown) for part in (current, past, repeats)])
 
     def merge_every_change(self, dim: DataFrame, staging: DataFrame, work: str) -> DataFrame:
         """The whole dimension after the batch, a version for each change in it.
@@ -253,7 +253,7 @@ class Scd2:
         own = [c for c in dim.columns if c not in self.versioning()]
         batch = staging.select(*[required(k, dim.schema[k].dataType) if k in self.keys else F.col(k).cast(dim.schema[k].dataType).alias(k) for k in own])
         write_files(self.first_rows(batch), f"{work}/first")
-        first = dim.sparkSession.read.parquet(f"{work}/first")
+        first = dim.sparkSession.read.schema(self.first_rows(batch).schema).parquet(f"{work}/first")
         current = dim.filter(self.is_current()).withColumn("_own", self.position(dim))
         write_files(current.join(first, self.keys).filter("_first <= _own").select(*self.keys), f"{work}/late")
         late = dim.sparkSession.read.parquet(f"{work}/late")

@@ -126,7 +126,8 @@ def refresh_dimension(dim: StoredDimension, staging: DataFrame, release: str, at
     refuse_release(spark, root, release, at)
     work = f"{root}/work/{release}-{uuid.uuid4().hex}"
     write_files(staging.withColumn(BUCKET, dim.bucket_of(staging.schema)), f"{work}/batch")
-    batch = spark.read.parquet(f"{work}/batch")
+    schema = StructType([*staging.schema.fields, StructField(BUCKET, IntegerType(), True)])
+    batch = spark.read.schema(schema).parquet(f"{work}/batch")
     known = batch.agg(
         F.count_if(F.greatest(*[F.col(k).isNull() for k in kind.keys], F.lit(False))).alias("no_key"),
         F.count_if(F.col(kind.ts_col).isNull() if isinstance(kind, Scd2) else F.lit(False)).alias("no_time"),
@@ -170,10 +171,12 @@ def _versions(
     _refuse_new(sorted(set(batch.columns) - set(own) - {BUCKET}), dim.root)
     batch = batch.select(*[F.col(c).cast(current.schema[c].dataType).alias(c) for c in [*own, BUCKET]])
     write_files(scd.first_rows(batch, own), f"{work}/first")
-    first = spark.read.parquet(f"{work}/first")
+    first = spark.read.schema(scd.first_rows(batch, own).schema).parquet(f"{work}/first")
     touched = current.join(first, scd.keys)
-    write_files(touched.filter(F.col("_first") <= F.col(REACHED)).select(*scd.keys, BUCKET), f"{work}/late")
-    late = spark.read.parquet(f"{work}/late")
+    late = touched.filter(F.col("_first") <= F.col(REACHED)).select(*scd.keys, BUCKET)
+    write_files(late, f"{work}/late")
+    late = spark.read.schema(late.schema).parquet(f"{work}/late")
+    # Late keys are settled, so that all steps below agree on them.
     found = late.agg(F.count("*").alias("keys"), F.collect_set(BUCKET).alias("buckets")).first()
 
     untouched = current.join(first, scd.keys, "left_anti")

@@ -1,11 +1,11 @@
 """Replace some partitions of a Parquet table, from a settled copy.
 
-The new rows of all partitions concerned are first written to a folder of the release. One
-row in the log of prepared releases makes that copy valid; it also names partitions that are
-left without rows. Spark's dynamic partition overwrite then replaces the partitions that the
-copy holds, and the release is announced. A job that dies before the copy is valid leaves the
-table as it was; one that dies later is finished by the next job, since overwriting from the
-copy once more gives the same rows. One job per table may run at a time, and a reader that
+The new rows of all partitions concerned are first written to a folder of the release. A note
+beside it makes that copy valid; it also names partitions that are left without rows. Spark's
+dynamic partition overwrite then replaces the partitions that the copy holds, the release is
+announced, and note and copy go. A job that dies before the note is written leaves the table
+as it was; one that dies later is finished by the next job, since overwriting from the copy
+once more gives the same rows. One job per table may run at a time, and a reader that
 needs all partitions of one release reads while none runs.
 """
 
@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType, TimestampNTZType
 
 from tidemark.sinks.files import remove_folder, write_files
-from tidemark.sinks.releases import announce, newest_release, refuse_published, released
-from tidemark.sources.files import read_or_empty
+from tidemark.sinks.releases import announce, released
+from tidemark.sources.files import existing, folders
 
-PREPARED = StructType(
+NOTE = StructType(
     [
         StructField("release", StringType(), False),
         StructField("prepared_at", TimestampNTZType(), False),
@@ -38,33 +38,42 @@ def _settled(root: str, release: str) -> str:
     return f"{root}/settled/{release}"
 
 
+def _note(root: str, release: str) -> str:
+    return f"{root}/prepared/{release}"
+
+
 def folder_of(by: list[str], values) -> str:
     return "/".join(f"{c}={values[c]}" for c in by)
 
 
-def _apply(spark: SparkSession, root: str, release: str, at: datetime, by: list[str], emptied: list[str]) -> None:
-    rows = spark.read.parquet(_settled(root, release))
+def _apply(rows: DataFrame, root: str, release: str, at: datetime, by: list[str], emptied: list[str]) -> None:
+    spark = rows.sparkSession
     # Rebalancing gives a partition about one file, or several where it is large.
     writer = rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*by).parquet(data_path(root))
     for folder in emptied:
         remove_folder(spark, f"{data_path(root)}/{folder}")
     announce(spark, root, release, at)
+    remove_folder(spark, _note(root, release))
     remove_folder(spark, _settled(root, release))
 
 
 def roll_forward(spark: SparkSession, root: str) -> None:
-    """Finish a release that was prepared but not announced."""
-    prepared = read_or_empty(spark, f"{root}/prepared", PREPARED)
-    for row in prepared.join(released(spark, root), "release", "left_anti").collect():
-        _apply(spark, root, row.release, row.prepared_at, row.partition_by, row.emptied)
+    """Finish a release that was prepared but not completed."""
+    for path in existing(spark, [f"{p}/_SUCCESS" for p in folders(spark, f"{root}/prepared")]):
+        note = spark.read.schema(NOTE).parquet(path.removesuffix("/_SUCCESS")).first()
+        if released(spark, root).filter(F.col("release") == note.release).isEmpty():
+            rows = spark.read.parquet(_settled(root, note.release))
+            _apply(rows, root, note.release, note.prepared_at, note.partition_by, note.emptied)
 
 
 def refuse_release(spark: SparkSession, root: str, release: str, at: datetime) -> None:
     """A release may not be published twice, nor be dated before the newest one."""
-    refuse_published(spark, root, release)
-    _, newest, _ = newest_release(spark, root)
-    if newest is not None and at < newest:
+    newest = F.max_by("released_at", "number").alias("newest")
+    known = released(spark, root).agg(newest, F.count_if(F.col("release") == release).alias("published")).first()
+    if known.published:
+        raise ValueError(f"release {release!r} of {root} is already published")
+    if known.newest is not None and at < known.newest:
         raise ValueError(f"release {release!r} of {root} is dated before the newest one")
 
 
@@ -73,15 +82,15 @@ def replace_partitions(
 ) -> None:
     """Make ``rows`` the whole content of the partitions that they lie in.
 
+    Call ``roll_forward`` and ``refuse_release`` first, before ``rows`` are made.
     ``concerned`` names partitions, as folders, that are removed where no row is left for them.
     """
     spark = rows.sparkSession
-    refuse_release(spark, root, release, at)
     write_files(rows, _settled(root, release), mode="overwrite")
+    settled = spark.read.schema(rows.schema).parquet(_settled(root, release))
     emptied = set(concerned)
     if emptied:
-        held = spark.read.schema(rows.schema).parquet(_settled(root, release)).select(*by).distinct()
-        emptied -= {folder_of(by, r) for r in held.collect()}
-    entry = [(release, at, list(by), sorted(emptied))]
-    write_files(spark.createDataFrame(entry, PREPARED).coalesce(1), f"{root}/prepared")
-    _apply(spark, root, release, at, list(by), sorted(emptied))
+        emptied -= {folder_of(by, r) for r in settled.select(*by).distinct().collect()}
+    note = [(release, at, list(by), sorted(emptied))]
+    write_files(spark.createDataFrame(note, NOTE).coalesce(1), _note(root, release), mode="overwrite")
+    _apply(settled, root, release, at, list(by), sorted(emptied))

@@ -93,6 +93,13 @@ def existing(spark: SparkSession, paths: list[str]) -> list[str]:
     return [p for p, place in zip(paths, places) if place.getFileSystem(hadoop).exists(place)]
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly below a folder; nothing if it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().toString() for f in files.listStatus(place)] if files.exists(place) else []
+
+
 def files_state(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files of a table; it changes when they are written again."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
