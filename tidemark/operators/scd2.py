@@ -228,21 +228,20 @@ class Scd2:
         columns[self.valid_to] = F.when(closed, F.col("_ends")).otherwise(columns[self.valid_to])
         columns[self.current] = (~closed).cast(self.current_type)
         kept = [c for c in rows.columns if c not in (*order, "_stored", "_base")]
-        opened = opening.withColumns(columns).select(*kept, *self.versioning(), OPENS, "_ends")
-        # One current row per key meets the position of the key's last row.
-        reached = judged.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max("_at").alias(REACHED))
-        current = opened.filter("_ends IS NULL").join(reached, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+        opened = opening.withColumns(columns)
+        # The current row of a key meets the position of the key's last row.
+        lasts = judged.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max("_at").alias(REACHED))
+        mine = [F.col(k) == F.col(f"_k_{k}") for k in keys]
         shown = [*kept, *self.versioning(), OPENS, REACHED]
-        nothing = F.lit(None)
-        past = opened.filter("_ends IS NOT NULL").withColumn(REACHED, nothing.cast(current.schema[REACHED].dataType))
+        opened = opened.join(lasts, [*mine, F.col("_ends").isNull()], "left").select(*shown)
         repeats = judged.filter(~F.col(OPENS)).withColumns(
             {
-                **{c: nothing.cast(current.schema[c].dataType) for c in (*self.versioning(), REACHED)},
+                **{c: F.lit(None).cast(opened.schema[c].dataType) for c in (*self.versioning(), REACHED)},
                 self.valid_from: F.col(self.ts_col),
                 self.current: F.lit(False).cast(self.current_type),
             }
         )
-        return stack(*[part.select(*shown) for part in (current, past, repeats)])
+        return stack(opened, repeats.select(*shown))
 
     def merge_every_change(self, dim: DataFrame, staging: DataFrame, work: str) -> DataFrame:
         """The whole dimension after the batch, a version for each change in it.

@@ -30,3 +30,18 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of files that no reader uses."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file as a whole: it appears under its name when it is complete."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    part = hadoop.Path(place.getParent().getParent(), f"_{place.getName()}.part")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(part, True)
+    out.write(text.encode())
+    out.close()
+    files.mkdirs(place.getParent())
+    files.delete(place, False)
+    if not files.rename(part, place):
+        raise OSError(f"cannot write {path}")

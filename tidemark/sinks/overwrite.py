@@ -11,24 +11,14 @@ needs all partitions of one release reads while none runs.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType, TimestampNTZType
 
-from tidemark.sinks.files import remove_folder, write_files
+from tidemark.sinks.files import remove_folder, write_files, write_text
 from tidemark.sinks.releases import announce, released
-from tidemark.sources.files import existing, folders
-
-NOTE = StructType(
-    [
-        StructField("release", StringType(), False),
-        StructField("prepared_at", TimestampNTZType(), False),
-        StructField("partition_by", ArrayType(StringType()), False),
-        StructField("emptied", ArrayType(StringType()), False),
-    ]
-)
-
+from tidemark.sources.files import folders, read_text
 
 def data_path(root: str) -> str:
     return f"{root}/data"
@@ -39,7 +29,7 @@ def _settled(root: str, release: str) -> str:
 
 
 def _note(root: str, release: str) -> str:
-    return f"{root}/prepared/{release}"
+    return f"{root}/prepared/{release}.json"
 
 
 def folder_of(by: list[str], values) -> str:
@@ -60,11 +50,11 @@ def _apply(rows: DataFrame, root: str, release: str, at: datetime, by: list[str]
 
 def roll_forward(spark: SparkSession, root: str) -> None:
     """Finish a release that was prepared but not completed."""
-    for path in existing(spark, [f"{p}/_SUCCESS" for p in folders(spark, f"{root}/prepared")]):
-        note = spark.read.schema(NOTE).parquet(path.removesuffix("/_SUCCESS")).first()
-        if released(spark, root).filter(F.col("release") == note.release).isEmpty():
-            rows = spark.read.parquet(_settled(root, note.release))
-            _apply(rows, root, note.release, note.prepared_at, note.partition_by, note.emptied)
+    for path in folders(spark, f"{root}/prepared"):
+        note = json.loads(read_text(spark, path))
+        if released(spark, root).filter(F.col("release") == note["release"]).isEmpty():
+            rows = spark.read.parquet(_settled(root, note["release"]))
+            _apply(rows, root, note["release"], datetime.fromisoformat(note["at"]), note["by"], note["emptied"])
 
 
 def refuse_release(spark: SparkSession, root: str, release: str, at: datetime) -> None:
@@ -91,6 +81,6 @@ def replace_partitions(
     emptied = set(concerned)
     if emptied:
         emptied -= {folder_of(by, r) for r in settled.select(*by).distinct().collect()}
-    note = [(release, at, list(by), sorted(emptied))]
-    write_files(spark.createDataFrame(note, NOTE).coalesce(1), _note(root, release), mode="overwrite")
+    note = {"release": release, "at": at.isoformat(), "by": list(by), "emptied": sorted(emptied)}
+    write_text(spark, _note(root, release), json.dumps(note))
     _apply(settled, root, release, at, list(by), sorted(emptied))

@@ -100,6 +100,16 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().toString() for f in files.listStatus(place)] if files.exists(place) else []
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    source = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def files_state(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files of a table; it changes when they are written again."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
