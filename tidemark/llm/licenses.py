@@ -134,20 +134,36 @@ def vocabulary() -> list[str]:
 STEP = 2 * max(len(text.split()) for _, text in TEMPLATES)
 
 
+def telling_words() -> list[str]:
+    """Of each template as many of its longest words as leave too few others for a match."""
+    found = set()
+    for _, _, words in template_words():
+        found.update(sorted(words, key=lambda w: (-len(w), w))[: len(words) - needed(len(words)) + 1])
+    return sorted(found)
+
+
 def wrapped_blocks(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, template words and ``run``, all words in order, of runs that may match."""
+    """doc_id, digest, template words and ``run``, all words in order, of runs that may match.
+
+    Runs are made and judged inside one generator, so each is cut and intersected once; the
+    templates are only tried on runs that hold a telling word.
+    """
     text = F.coalesce("text", F.lit(""))
-    parts = docs.select("doc_id", text.alias("text")).filter(F.contains("text", F.lit("\n")))
-    parts = parts.select("doc_id", "text", F.explode(F.split(lower_ascii(F.col("text")), r"\n[ \t\r]*\n")).alias("part"))
-    parts = parts.filter(F.contains("part", F.lit("\n"))).select("doc_id", "text", F.split(word_line(F.col("part")), " ").alias("all"))
+    parts = F.filter(F.split(lower_ascii(text), r"\n[ \t\r]*\n"), lambda p: F.contains(p, F.lit("\n")))
+    rows = docs.filter(F.contains(text, F.lit("\n"))).select("doc_id", F.sha2(text, 256).alias("digest"), F.explode(parts).alias("part"))
+    rows = rows.select("doc_id", "digest", F.split(word_line(F.col("part")), " ").alias("all"))
+    known, telling = (F.array(*map(F.lit, words)) for words in (vocabulary(), telling_words()))
+    least = min(needed(len(words)) for _, _, words in template_words())
+
+    def may_match(words: Column) -> Column:
+        enough = [F.size(F.array_intersect(words, F.array(*map(F.lit, t)))) >= needed(len(t)) for _, _, t in template_words()]
+        return (F.size(words) >= least) & F.arrays_overlap(words, telling) & reduce(lambda a, b: a | b, enough)
+
     starts = F.sequence(F.lit(0), F.greatest(F.size("all") - STEP - 1, F.lit(0)), F.lit(STEP))
-    runs = parts.select("doc_id", "text", "all", F.explode(starts).alias("start"))
-    runs = runs.select("doc_id", "text", F.slice("all", F.col("start") + 1, 2 * STEP).alias("run"))
-    known = F.array(*[F.lit(w) for w in vocabulary()])
-    runs = runs.select("doc_id", "text", "run", F.array_intersect("run", known).alias("words"))
-    enough = [F.size(F.array_intersect("words", F.array(*map(F.lit, words)))) >= needed(len(words)) for _, _, words in template_words()]
-    runs = runs.filter(reduce(lambda a, b: a | b, enough))
-    return runs.select("doc_id", F.sha2("text", 256).alias("digest"), "words", "run")
+    cut = F.transform(starts, lambda at: F.slice("all", at + 1, 2 * STEP))
+    runs = F.transform(cut, lambda run: F.struct(F.array_intersect(run, known).alias("words"), run.alias("run")))
+    runs = F.filter(runs, lambda r: may_match(r["words"]))
+    return rows.select("doc_id", "digest", F.explode(runs).alias("r")).select("doc_id", "digest", "r.words", "r.run")
 
 
 def in_order() -> Column:
