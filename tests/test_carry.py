@@ -6,8 +6,9 @@ import random
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
+from tidemark.operators.as_of import as_of_join
 from tidemark.operators.carry import PART, carry, laid_out
 
 
@@ -33,3 +34,27 @@ def test_carried_values(spark, tmp_path, partitions):
     assert {tuple(r) for r in got.drop(PART).collect()} == want
     if partitions == 40:
         assert placed.filter("k = 1").select(PART).distinct().count() > 5
+
+
+@pytest.mark.parametrize("partitions", ["3", "30"])
+def test_as_of_join(spark, tmp_path, partitions):
+    rng = random.Random(1)
+    versions = [(k, v, v * 10, (v + 1) * 10 if v < 9 else None, f"{k}-{v}") for k in (1, 2) for v in range(1, 10) if (k, v) != (2, 4)]
+    versions += [(1, 8, 70, 70, "empty"), (None, 1, 0, None, "no key")]
+    facts = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice([None, *range(120)]), i) for i in range(300)]
+    facts += facts[:3]
+    v = spark.createDataFrame(versions, "k long, version int, s int, e int, name string")
+    f = spark.createDataFrame(facts, "key int, at int, id int").withColumnRenamed("key", "k")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = as_of_join(f, v, ["k"], "at", "s", "e", ["name"], str(tmp_path / "rows"), seq="version")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    def valid(k, at):
+        known = [x for x in versions if k is not None and at is not None and x[0] == k and x[2] <= at]
+        last = max(known, key=lambda x: (x[2], x[1]), default=None)
+        return last[4] if last and (last[3] is None or at < last[3]) else None
+
+    assert sorted(map(str, got.collect())) == sorted(str(Row(k=k, at=at, id=i, name=valid(k, at))) for k, at, i in facts)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import digests
 from tidemark.operators.bookmarks import (
     BOOKMARK_SCHEMA,
     EPOCH,
@@ -357,3 +359,80 @@ def test_csv_landing_is_idle_when_nothing_changed(spark, tmp_path):
     assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF).rows == 1
     assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF).rows == 0
     assert read_landed(spark, "s", landing, df.schema).first().lastmodified == at(0) + timedelta(microseconds=123456)
+
+
+def test_idle_overlap_reads_the_batches_of_the_overlap_only(spark, tmp_path):
+    landing, rows = Landing(str(tmp_path)), [(f"c{i}", "x", False, at(i)) for i in range(4)]
+    for n in range(1, 5):
+        done = run_incremental(spark, "s", source(spark, *rows[:n]), "lastmodified", landing, AS_OF)
+        assert done.rows == 1
+    df = source(spark, *rows)
+    read = []
+
+    def spy(spark, name, landing, schema, batches):
+        read.extend(batches)
+        return incremental_job_read(spark, name, landing, schema, batches)
+
+    incremental_job_read = incremental_job.read_batches
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(incremental_job, "read_batches", spy)
+        assert run_incremental(spark, "s", df, "lastmodified", landing, AS_OF, overlap=timedelta(seconds=90)).rows == 0
+    assert [b[:8] for b in read] == ["00000002", "00000003"]
+    # Logs without zone maps are read in full.
+    log = landing.log(spark).drop("least", "greatest").collect()
+    schema = incremental_job.LOG_SCHEMA
+    spark.createDataFrame([(*r, None, None) for r in log], schema).write.mode("overwrite").parquet(f"{tmp_path}/old/bookmarks")
+    assert len(incremental_job.batches_since(spark, "s", Landing(f"{tmp_path}/old"), df.schema["lastmodified"].dataType, at(3))) == 4
+
+
+def test_rows_without_a_change_time_are_set_aside_once(spark, tmp_path):
+    landing, twice = Landing(str(tmp_path)), ("C8", "Pune", None, None)
+    first = source(spark, *INSERTS, ("C9", "Goa", False, None), twice, twice)
+    more = source(spark, *INSERTS, ("C9", "Goa", False, None), ("C7", "new", False, None), twice, twice)
+    load = lambda df: run_incremental(spark, "s", df, "lastmodified", landing, AS_OF, quarantine=True)
+    assert [load(df).quarantined for df in (first, first, more, more)] == [3, 0, 1, 0]
+    aside = read_files(spark, landing.quarantine("s"), schema=first.schema)
+    assert sorted(r.customer_id for r in aside.collect()) == ["C7", "C8", "C8", "C9"]
+
+
+def test_a_change_in_a_map_is_news(spark, tmp_path):
+    landing, schema = Landing(str(tmp_path)), "id int, m map<string,int>, ts timestamp_ntz"
+
+    def load(m):
+        df = spark.createDataFrame([(1, m, at(0))], schema)
+        return run_incremental(spark, "s", df, "ts", landing, AS_OF, overlap=timedelta(seconds=1)).rows
+
+    assert [load(m) for m in ({"a": 1, "b": 2}, {"b": 2, "a": 1}, {"a": 1, "b": 3}, None, None)] == [1, 0, 1, 1, 0]
+
+
+@pytest.mark.parametrize(
+    "kind, value, mark, last",
+    [
+        ("bigint", 7, "7", None),
+        ("decimal(10,2)", Decimal("7.50"), "7.50", None),
+        ("date", datetime(2024, 1, 5).date(), "2024-01-05", datetime(2024, 1, 5)),
+        ("timestamp_ntz", datetime(2024, 1, 5, 1, 2, 3), "2024-01-05T01:02:03", datetime(2024, 1, 5, 1, 2, 3)),
+    ],
+)
+def test_bookmarks_can_be_read_for_every_type(spark, tmp_path, kind, value, mark, last):
+    landing = Landing(str(tmp_path))
+    run_incremental(spark, "s", spark.createDataFrame([(1, value)], f"id int, c {kind}"), "c", landing, AS_OF)
+    row = landing.bookmarks(spark).first()
+    assert (row.table_name, row.mark, row.last_value) == ("s", mark, last)
+
+
+SIDE = "k int, v string, m map<string,int>, ts timestamp_ntz"
+
+
+@pytest.mark.parametrize("levels", [1, 3])
+def test_unstamped_changes(spark, levels):
+    same = [(i, f"v{i}", {"a": i}, at(0)) for i in range(300)]
+    source_rows = [*same, (1000, "x", None, at(0)), (1001, "new", None, at(1)), (1002, "x", {"a": 2}, at(0)), (1004, None, None, None)]
+    copy_rows = [*same, (1000, "old", None, at(0)), (1001, "x", None, at(0)), (1002, "x", {"a": 1}, at(0)), (1003, "x", None, at(0)), (1004, "x", None, None)]
+    left, right = (spark.createDataFrame(r, SIDE).repartition(3) for r in (source_rows, copy_rows))
+    found = digests.unstamped_changes(left, right, ["k"], "ts", levels)
+    assert {tuple(r) for r in found.collect()} == {
+        (1000, "unstamped"), (1001, "unloaded"), (1002, "unstamped"), (1003, "gone"), (1004, "unstamped"),
+    }
+    assert digests.differing_ranges(left, left.repartition(7), ["k"], levels) == []
+    assert {r.finding for r in digests.unstamped_changes(left, right.limit(0), ["k"], "ts", levels).collect()} == {"unloaded"}

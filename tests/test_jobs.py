@@ -47,6 +47,16 @@ def test_load_job(spark, oltp, tmp_path):
     assert run(spark, parser().parse_args(words)) == "orders: 0 rows, bookmark 2024-02-04 11:30:00"
 
 
+def test_load_job_by_number_with_rows_set_aside(spark, tmp_path):
+    words = [
+        "load", "--name", "n", "--format", "parquet", "--option", f"path={tmp_path}/rows", "--cdc-column", "seq",
+        "--landing", f"{tmp_path}/landing", "--as-of", "2024-03-01", "--quarantine", "--overlap", "2",
+    ]
+    spark.createDataFrame([(1, 5), (2, 8), (3, None)], "id int, seq long").write.parquet(f"{tmp_path}/rows")
+    told = [run(spark, parser().parse_args([*words, *more])) for more in (["--upper-bound", "5"], [], [])]
+    assert told == ["n: 1 rows, 1 set aside, bookmark 5", "n: 2 rows, bookmark 8", "n: 0 rows, bookmark 8"]
+
+
 def test_star_job(spark, oltp, tmp_path):
     words = [
         "star", "--format", "parquet", "--tables", str(oltp), "--target", str(tmp_path),

@@ -18,8 +18,9 @@ import os
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, DateType
 
-from tidemark.plans.incremental_job import Landing, run_incremental
+from tidemark.plans.incremental_job import Landing, is_stamp, parsed, run_incremental
 from tidemark.plans.star_load import build_star, publish_star
 from tidemark.session import build_session, settings_for
 from tidemark.sources.files import FORMATS
@@ -51,8 +52,9 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--cdc-column", required=True)
     load.add_argument("--landing", required=True)
     load.add_argument("--landing-format", default="parquet", choices=FORMATS)
-    load.add_argument("--upper-bound", type=datetime.fromisoformat)
-    load.add_argument("--overlap-seconds", type=float, default=0)
+    load.add_argument("--upper-bound", help="in the form of the change column: a time, a date or a number")
+    load.add_argument("--overlap", help="seconds for times, days for dates, else a number", default="0")
+    load.add_argument("--quarantine", action="store_true", help="set rows without a change time aside")
     star = jobs.add_parser("star", help="build and publish the star schema")
     star.add_argument("--tables", help="folder of the normalized tables, for file formats")
     star.add_argument("--target", required=True)
@@ -68,6 +70,13 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def overlap_of(text: str, kind: DataType) -> timedelta | int:
+    """An overlap in the unit of the change column."""
+    if is_stamp(kind):
+        return timedelta(seconds=float(text))
+    return timedelta(days=int(text)) if isinstance(kind, DateType) else int(text)
+
+
 def source_options(args: argparse.Namespace) -> dict[str, str]:
     return dict(args.option) | {key: os.environ[name] for key, name in args.secret}
 
@@ -91,6 +100,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
     as_of = args.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     if args.job == "load":
         source = read_source(spark, args, args.name)
+        kind = source.schema[args.cdc_column].dataType
         done = run_incremental(
             spark,
             args.name,
@@ -98,10 +108,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
             args.cdc_column,
             Landing(args.landing, args.landing_format),
             as_of,
-            args.upper_bound,
-            timedelta(seconds=args.overlap_seconds),
+            None if args.upper_bound is None else parsed(args.upper_bound, kind),
+            overlap_of(args.overlap, kind),
+            args.quarantine,
         )
-        return f"{done.source}: {done.rows} rows, bookmark {done.bookmark_after}"
+        aside = f", {done.quarantined} set aside" if done.quarantined else ""
+        return f"{done.source}: {done.rows} rows{aside}, bookmark {done.bookmark_after}"
     star = build_star(*read_model(spark, args), iso_weeks=args.iso_weeks)
     report = publish_star(star, args.target, args.release, as_of, declared=True)
     return f"{args.target}: release {args.release}, rows {report.row_counts}, orphans {report.orphan_rows}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, MapType
 
 
 def surrogate_key(natural: Column, digits: int = 15) -> Column:
@@ -37,3 +37,9 @@ def tie_break(df: DataFrame, order_cols: list[str]) -> Column:
     on the order in which tasks deliver the rows.
     """
     return F.struct(*order_cols, row_hash(df).alias("_row_hash"))
+
+
+def comparable(df: DataFrame, name: str) -> Column:
+    """The column in a form that can be hashed and compared: a map as its sorted entries."""
+    column = F.col(f"`{name}`")
+    return F.array_sort(F.map_entries(column)) if isinstance(df.schema[name].dataType, MapType) else column

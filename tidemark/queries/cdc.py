@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.bookmarks import bookmark_of, seed_bookmarks, upsert_bookmark
+from tidemark.operators.digests import unstamped_changes
 from tidemark.operators.incremental import (
     batch_summary,
     contract_violations,
@@ -145,6 +146,51 @@ def cdc_bookmark_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bookmark_of(_bookmarks(spark, sf_dir, SOURCES), "orders")
 
 
+@query("cdc_bookmark_read_by_key", "SELECT 'orders' AS table_name, cast(max(o_orderkey) AS varchar) AS mark FROM orders")
+def cdc_bookmark_read_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored bookmark of a source that is loaded by a number."""
+    landing = Landing(scratch_path(spark, "cdc_bookmark_read_by_key"))
+    run_incremental(spark, "orders", _orders(spark, sf_dir), "o_orderkey", landing, AS_OF)
+    return landing.bookmarks(spark).select("table_name", "mark")
+
+
+COPY_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
+           CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus = 'P'
+                THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+           CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'P'
+                THEN o_orderdate - INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate, o_orderpriority
+    FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')
+    UNION ALL
+    SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P'"""
+
+
+@query(
+    "cdc_unstamped_changes",
+    f"""WITH held AS ({COPY_SQL})
+SELECT coalesce(s.o_orderkey, c.o_orderkey) AS o_orderkey,
+       CASE WHEN s.o_orderkey IS NULL THEN 'gone'
+            WHEN c.o_orderkey IS NULL OR s.o_orderdate > c.o_orderdate THEN 'unloaded'
+            ELSE 'unstamped' END AS finding
+FROM orders s FULL JOIN held c ON s.o_orderkey = c.o_orderkey
+WHERE s.o_orderkey IS NULL OR c.o_orderkey IS NULL OR s.o_totalprice <> c.o_totalprice
+   OR s.o_orderdate <> c.o_orderdate""",
+)
+def cdc_unstamped_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compare ``orders`` with a copy that missed changes, rows and deletions of pending orders."""
+    orders, pending = _orders(spark, sf_dir), F.col("o_orderstatus") == "P"
+    kind = lambda *p: F.col("o_orderpriority").isin(*p) & pending
+    price, stamp = F.col("o_totalprice"), F.col(STAMP)
+    copy = orders.filter(~kind("5-LOW")).withColumns(
+        {
+            "o_totalprice": F.when(kind("1-URGENT", "2-HIGH"), price + 1).otherwise(price),
+            STAMP: F.when(kind("2-HIGH"), stamp - F.expr("INTERVAL 1 DAY")).otherwise(stamp),
+        }
+    )
+    deleted = orders.filter(kind("3-MEDIUM")).withColumn("o_orderkey", -F.col("o_orderkey"))
+    return unstamped_changes(orders, stack(copy, deleted), ["o_orderkey"], STAMP)
+
+
 @query(
     "cdc_bookmark_upsert",
     f"""{LINES_MARK_SQL} UNION ALL

@@ -7,8 +7,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import any_differs, differs
+from tidemark.operators.as_of import as_of_join
 from tidemark.operators.incremental import incremental_slice
 from tidemark.operators.scd1 import scd1_merge
+from tidemark.operators.scd2 import OPENS
 from tidemark.operators.scd3 import scd3_initial, scd3_merge
 from tidemark.operators.union import stack
 from tidemark.operators.update import update_where
@@ -370,3 +372,36 @@ def joined_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     matched = dim.join(incoming, "customer_id", "left")
     closed = {"closed_at": F.col("new_ts"), "is_current": F.lit(False)}
     return update_where(matched, moved, closed).select(*dim.columns)
+
+
+@query(
+    "fact_as_of_customer",
+    f"""WITH log AS ({CHANGES_SQL}),
+versions AS (SELECT *, row_number() OVER (
+        PARTITION BY customer_id, effective_from ORDER BY version DESC) AS place
+    FROM (WITH {VERSIONS_SQL.strip()})),
+facts AS (
+    SELECT l_orderkey AS order_id, l_linenumber AS line_number, o_custkey AS customer_id, l_shipdate AS shipped_at
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT f.order_id, f.line_number, f.customer_id, f.shipped_at, v.order_status, v.order_priority, v.version
+FROM facts f LEFT JOIN versions v ON v.customer_id = f.customer_id AND v.place = 1
+    AND v.effective_from <= f.shipped_at
+    AND (v.is_current OR f.shipped_at < cast(v.effective_to AS timestamp))""",
+)
+def fact_as_of_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line with the customer's version that was valid when it was shipped."""
+    work = scratch_path(spark, "fact_as_of_customer")
+    log = fx.changes(spark, sf_dir)
+    rows = log.withColumns({"_stored": F.lit(False), "_base": F.lit(None).cast("long")})
+    versions = SCD2.spliced(rows, log.columns, f"{work}/versions").filter(OPENS)
+    lines = fx.table(spark, sf_dir, "lineitem").join(
+        fx.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    facts = lines.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("l_shipdate").alias("shipped_at"),
+    )
+    take = ["order_status", "order_priority", "version"]
+    return as_of_join(facts, versions, BATCH_KEYS, "shipped_at", "effective_from", "effective_to", take, f"{work}/facts", seq="version")

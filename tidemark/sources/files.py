@@ -58,15 +58,17 @@ def check_format(fmt: str) -> str:
 
 
 def read_files(
-    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
+    spark: SparkSession, path: str | list[str], fmt: str = "parquet", schema: StructType | None = None, base: str | None = None
 ) -> DataFrame:
-    """Read landed files. CSV needs the schema, as every column would be a string without."""
+    """Read landed files, of one folder or of several partitions of the table ``base``. CSV needs the schema, as every column would be a string without."""
     fmt = check_format(fmt)
     if fmt == "csv" and schema is None:
         raise ValueError("reading csv needs a schema")
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
     if fmt == "csv":
         return map_texts(reader.options(**CSV).option("mode", "FAILFAST").load(path), plain_text)
     return reader.load(path)
