@@ -19,8 +19,10 @@ connection only: rounds compare the members of a key with one hub of another com
 and components are merged after each round. Then the pairs under one key that are still in
 different components are compared by bit sketches, in which each shingle flips one bit: the
 bits that differ are at most the symmetric difference, so a pair with too many is no link.
-This happens within blocks of at most ``2 * BLOCK`` texts, and only the pairs that the
-sketches cannot tell apart go on to be verified. No link between different texts is lost, and
+This happens within blocks of at most ``2 * BLOCK`` texts. At first a block gives only pairs
+that would join two components, fewer than its texts; most of them are links. Once these
+are merged, all pairs that the sketches cannot tell apart go on to be verified: those that are
+no links and those few that the joining left. No link between different texts is lost, and
 texts that are linked already are not compared again, so a group of copies costs its size.
 Texts with equal sets are one class from the start.
 
@@ -50,6 +52,7 @@ from tidemark.llm.paths import row_key, windows_of
 WIDTH = 4
 PERCENT = 85
 ROUNDS = 2
+JOINING = 2
 BLOCK = 1500
 U = np.uint64
 BAND_BITS = 6
@@ -178,31 +181,51 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 
 
 def close_pairs(prints: np.ndarray, labels: np.ndarray, sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT):
-    """Pairs of one block in different components that their bit sketches allow to be linked."""
+    """Pairs of one block in different components that their bit sketches allow to be linked.
+
+    They come as a row number and the later rows it is close to.
+    """
     width = min(map(len, bits))
     sketch = np.stack([folded(b, width) for b in bits])
     step = max(1, (1 << 21) // sketch.size)
+    order = np.arange(len(prints))
     for lo in range(0, len(prints), step):
         differing = np.bitwise_count(sketch[lo : lo + step, None, :] ^ sketch[None, :, :]).sum(2, dtype=np.int64)
         near = (100 + percent) * differing <= (100 - percent) * (sizes[lo : lo + step, None] + sizes[None, :])
-        near &= (labels[lo : lo + step, None] != labels[None, :]) & (prints[lo : lo + step, None] < prints[None, :])
-        a, b = np.nonzero(near)
-        yield a + lo, b
+        near &= (labels[lo : lo + step, None] != labels[None, :]) & (order[lo : lo + step, None] < order[None, :])
+        for a in np.flatnonzero(near.any(1)):
+            yield int(a) + lo, np.flatnonzero(near[a])
+
 
+def joining(pairs, labels: np.ndarray):
+    """Of the pairs those that join two components when taken in turn: fewer than rows."""
+    labels = labels.copy()
+    for a, others in pairs:
+        others = others[labels[others] != labels[a]]
+        _, first = np.unique(labels[others], return_index=True)
+        if len(first):
+            labels[np.isin(labels, labels[others[first]])] = labels[a]
+            yield a, others[first]
 
-def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+
+def _close(batches: Iterator[pa.RecordBatch], percent: int, whole: bool) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by block; a block is gathered and compared when the next one begins."""
     held: list[pa.RecordBatch] = []
     current = None
 
-    def compared() -> pa.RecordBatch:
+    def compared() -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held)
         prints, labels, sizes = (rows.column(c).to_numpy() for c in ("print", "label", "size"))
-        found = list(close_pairs(prints, labels, sizes, rows.column("bits").to_pylist(), percent))
-        a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-        columns = [prints[a], prints[b], labels[a], labels[b]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["print", "other", "label", "of"])
+        found = close_pairs(prints, labels, sizes, rows.column("bits").to_pylist(), percent)
+        for a, b in found if whole else joining(found, labels):
+            columns = [np.full(len(b), prints[a]), prints[b], np.full(len(b), labels[a]), labels[b]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["print", "other", "label", "of"])
+
+    def gathered() -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(list(compared()), pairs_schema)
+        yield from found.combine_chunks().to_batches()
 
+    pairs_schema = pa.schema([(c, pa.int64()) for c in ("print", "other", "label", "of")])
     for batch in batches:
         ids = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
         cuts = np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1
@@ -212,18 +235,19 @@ def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
                 continue
             block = tuple(ids[a].tolist())
             if held and block != current:
-                yield compared()
+                yield from gathered()
                 held = []
             current = block
             held.append(batch.slice(a, b - a))
     if held:
-        yield compared()
+        yield from gathered()
 
 
-def block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def block_pairs(rows: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
     """Pairs of ``(key, print, label, n)`` under one key whose bit sketches are close enough.
 
-    A key with more than BLOCK texts is cut into parts, and each two parts are one block.
+    A key with more than BLOCK texts is cut into parts, and each two parts are one block. Unless
+    the ``whole`` block is asked for, it gives the pairs that join components only.
     """
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")
@@ -232,7 +256,7 @@ def block_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = rows.select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "print", "label")
     rows = rows.join(sets.select("print", "size", "bits"), "print").select("key", "i", "j", "print", "label", "size", "bits")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(lambda batches: _close(batches, percent), "print long, other long, label long, of long")
+    return rows.mapInArrow(lambda batches: _close(batches, percent, whole), "print long, other long, label long, of long")
 
 
 def linked(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
@@ -284,7 +308,7 @@ def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch, width: int, pe
     sets = scratch.save(sets.join(asked, "print", "left_semi").dropDuplicates(["print"]), "sets")
 
     labels = scratch.save(asked.select("print", F.col("print").alias("label")), "labels")
-    for turn in range(ROUNDS + 1):
+    for turn in range(ROUNDS + JOINING + 1):
         rows = kept.join(labels, "print").select("key", "print", "label")
         hub = F.min_by(F.struct(F.col("print").alias("hub"), F.col("label").alias("of")), F.xxhash64("print", F.lit(turn)))
         open_keys = rows.groupBy(F.col("key").alias("k")).agg(
@@ -297,7 +321,8 @@ def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch, width: int, pe
         if turn < ROUNDS:
             pairs = rows.filter("label != of").select("print", F.col("hub").alias("other"), "label", "of")
         else:
-            pairs = scratch.save(block_pairs(rows.select("key", "print", "label", "n"), sets, percent), "close")
+            last = turn == ROUNDS + JOINING
+            pairs = scratch.save(block_pairs(rows.select("key", "print", "label", "n"), sets, percent, last), "close")
         pairs = pairs.groupBy(F.least("print", "other").alias("a"), F.greatest("print", "other").alias("b")).agg(
             F.min(F.least("label", "of")).alias("label_a"), F.max(F.greatest("label", "of")).alias("label_b")
         )
