@@ -18,6 +18,7 @@ from tidemark.operators.incremental import (
 from tidemark.operators.latest import latest_per_key, live_rows
 from tidemark.operators.union import stack
 from tidemark.plans.dimension_refresh import StoredDimension, Type1, current_rows
+from tidemark.plans.landed_state import current_state
 from tidemark.plans.incremental_job import Landing, landed_schema, read_landed, run_incremental
 from tidemark.queries.fixture import AS_OF, table
 from tidemark.queries.registry import query
@@ -290,6 +291,20 @@ def cdc_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(spark, latest)
 
 
+@query(
+    "cdc_compacted_state",
+    """SELECT * FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+)
+def cdc_compacted_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest order per customer, kept up to date after each of three loads."""
+    landing, orders = Landing(scratch_path(spark, "cdc_compacted_state")), _orders(spark, sf_dir)
+    for hi in SLICES:
+        run_incremental(spark, "orders", orders, STAMP, landing, AS_OF, hi)
+        state = current_state(spark, "orders", landing, orders.schema, ["o_custkey"], [STAMP, "o_orderkey"], AS_OF, 8)
+    return state
+
+
 def _through_csv(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     write_files(df, path, "csv")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.dimensions import dim_customer as customer_dimension
 from tidemark.operators.dimensions import dim_date as calendar
 from tidemark.operators.dimensions import dim_product as product_dimension
 from tidemark.operators.facts import fact_sales as sales
 from tidemark.operators.quality import duplicate_grain, lines_per_order, row_counts
+from tidemark.plans.fact_refresh import MONTH, read_fact, refresh_fact
 from tidemark.plans.star_load import publish_star, read_star
 from tidemark.queries import fixture as fx
 from tidemark.queries.fixture import AS_OF, as_float, key_sql
@@ -58,9 +59,7 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar(fx.orders(spark, sf_dir), "order_ts")
 
 
-@query(
-    "fact_sales",
-    f"""
+FACT_SQL = f"""
 SELECT l_orderkey AS order_id, l_linenumber AS line_number,
        {key_sql("o_custkey")} AS customer_key, {key_sql("l_partkey")} AS product_key,
        cast(strftime(o_orderdate, '%Y%m%d') AS int) AS date_key, o_orderstatus AS order_status,
@@ -71,12 +70,30 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_number,
 FROM (SELECT *, cast(l_extendedprice AS decimal(10,2)) AS price,
              cast(cast(l_extendedprice AS decimal(10,2)) * cast(l_discount AS decimal(4,2))
                   AS decimal(10,2)) AS disc
-      FROM lineitem) JOIN orders ON l_orderkey = o_orderkey""",
-)
+      FROM lineitem) JOIN orders ON l_orderkey = o_orderkey"""
+MEASURES = ["unit_price", "discount_amount", "gross_amount", "net_amount"]
+
+
+@query("fact_sales", FACT_SQL)
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = sales(fx.items(spark, sf_dir), fx.orders(spark, sf_dir))
-    measures = ["unit_price", "discount_amount", "gross_amount", "net_amount"]
-    return fact.withColumns(as_float(*measures))
+    return fact.withColumns(as_float(*MEASURES))
+
+
+@query("star_incremental", FACT_SQL)
+def star_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of an earlier state of the orders, brought up to date by a change slice.
+
+    Before the change, orders after the bookmark are missing and pending ones are dated
+    earlier, so months gain, lose and change orders.
+    """
+    root = scratch_path(spark, "star_incremental")
+    items, orders = fx.items(spark, sf_dir), fx.orders(spark, sf_dir)
+    pending, later = F.col("order_status") == "P", F.col("order_ts") > F.lit(fx.BOOKMARK.isoformat(sep=" ")).cast("timestamp_ntz")
+    earlier = F.when(pending, F.col("order_ts") - F.expr("INTERVAL 400 DAY")).otherwise(F.col("order_ts"))
+    refresh_fact(items, orders.filter(~later).withColumn("order_ts", earlier), root, "r1", fx.BOOKMARK)
+    refresh_fact(items, orders, root, "r2", AS_OF, changed=orders.filter(later | pending))
+    return read_fact(spark, root).drop(MONTH).withColumns(as_float(*MEASURES))
 
 
 @query(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -13,7 +15,8 @@ class Split:
     """Parallel read over a numeric, date or timestamp column.
 
     The bounds only set the stride: rows outside them go to the first or last partition,
-    so none are lost. A column whose values bunch up is better split with ``predicates``.
+    so none are lost. A column whose values bunch up is better split with
+    ``equi_depth_predicates``.
     """
 
     column: str
@@ -30,6 +33,32 @@ class Split:
         }
 
 
+def sql_literal(value) -> str:
+    """A number, date or time as SQL text."""
+    return f"'{value.isoformat(sep=' ') if hasattr(value, 'hour') else value.isoformat()}'" if isinstance(value, date) else str(value)
+
+
+def equi_depth_predicates(keys: DataFrame, column: str, partitions: int, literal=sql_literal, accuracy: int = 10_000) -> list[str]:
+    """Disjoint conditions that cover every row, NULLs too, with about equally many rows each.
+
+    ``keys`` is a frame with the column: the landed rows of an earlier load, or a sample that
+    the database drew. Its quantiles come from a sketch, so the driver gets ``partitions``
+    numbers. A value that fills more than one share gets a condition of its own.
+    """
+    shares = [F.lit(i / partitions) for i in range(1, partitions)]
+    found = keys.agg(F.percentile_approx(column, F.array(*shares), accuracy).alias("cuts")).first().cuts if shares else None
+    times = Counter(found or [])
+    conditions, lower = [], None  # lower: the condition that values beyond the last cut meet
+    for cut in sorted(times):
+        value = literal(cut)
+        below = f"{column} < {value}"
+        conditions.append(f"{lower} AND {below}" if lower else f"({below} OR {column} IS NULL)")
+        if times[cut] > 1:
+            conditions.append(f"{column} = {value}")
+        lower = f"{column} > {value}" if times[cut] > 1 else f"{column} >= {value}"
+    return [*conditions, lower] if lower else [f"({column} IS NULL OR {column} IS NOT NULL)"]
+
+
 def read_jdbc(
     spark: SparkSession,
     options: Mapping[str, str],
