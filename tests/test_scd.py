@@ -278,7 +278,17 @@ def test_type3_modes(spark, run1):
         scd3_merge(dim, gone, KEYS, "city", [TS], mode="other")
 
 
-def random_batches(seed: int, count: int = 5) -> list[list[tuple]]:
+@pytest.fixture
+def interpreted(spark):
+    """Many small refreshes: compiling their plans would take longer than running them."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
+def random_batches(seed: int, count: int = 4) -> list[list[tuple]]:
     rng = random.Random(seed)
     out = []
     for number in range(count):
@@ -321,8 +331,8 @@ def replay(batches: list[list[tuple]]) -> list[tuple]:
     )
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_type2_agrees_with_a_row_by_row_replay(spark, seed, tmp_path):
+@pytest.mark.parametrize("seed", [1])
+def test_type2_agrees_with_a_row_by_row_replay(spark, interpreted, seed, tmp_path):
     batches = random_batches(seed)
     stored = StoredDimension(str(tmp_path), SCD, 4)
     for number, rows_ in enumerate(batches):
@@ -359,21 +369,19 @@ def test_a_refresh_that_dies_early_is_invisible_and_can_be_repeated(spark, run1,
 
 
 @pytest.mark.parametrize("point", ["write", "announce"])
-def test_a_refresh_that_dies_late_is_finished_by_the_next(spark, run1, run2, tmp_path, monkeypatch, point):
+def test_a_refresh_that_dies_late_is_finished_by_the_next(spark, interpreted, run1, run2, tmp_path, monkeypatch, point):
     dim = StoredDimension(str(tmp_path), SCD, 4)
     refresh_dimension(dim, run1, "r0", T1)
     with monkeypatch.context() as broken:
         broken.setattr(overwrite, "remove_folder" if point == "write" else "announce", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             refresh_dimension(dim, run2, "r1", T2)
-    again = run2.withColumn(TS, F.col(TS) + F.expr("interval 1 day"))
     with pytest.raises(ValueError, match="already published"):
         refresh_dimension(dim, run2, "r1", T2)
+    assert read_dimension(spark, dim).count() == 7
+    again = run2.withColumn(TS, F.col(TS) + F.expr("interval 1 day"))
     refresh_dimension(dim, again, "r2", T2 + timedelta(days=1))
-    whole = StoredDimension(str(tmp_path / "whole"), SCD, 4)
-    for number, rows_ in enumerate((run1, run2, again)):
-        refresh_dimension(whole, rows_, f"r{number}", T2)
-    got, want = (read_dimension(spark, d) for d in (dim, whole))
+    got, want = read_dimension(spark, dim), SCD.merge(SCD.merge(SCD.initial(run1), run2), again)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
@@ -447,7 +455,7 @@ def splice(spark, root, batches, buckets=4):
     return dim, versions(read_dimension(spark, dim))
 
 
-def test_late_rows_split_and_join_versions(spark, tmp_path):
+def test_late_rows_split_and_join_versions(spark, interpreted, tmp_path):
     a1, a5, a9 = (1, "a", moment(1), 1), (1, "a", moment(5), 2), (1, "a", moment(9), 3)
     late = [(1, "b", moment(3), 4)], [(1, "c", moment(7), 5)], [(1, "b", moment(6), 6)], [(1, "z", moment(0), 7)]
     batches = [[a1, (2, "q", moment(2), 1)], [a5], [a9], *late]
@@ -462,7 +470,7 @@ def test_late_rows_split_and_join_versions(spark, tmp_path):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_batches_in_any_order_give_the_same_history(spark, tmp_path, seed):
+def test_batches_in_any_order_give_the_same_history(spark, interpreted, tmp_path, seed):
     rng = random.Random(seed)
     rows_ = [(rng.randint(1, 5), rng.choice(["a", "b", None]), moment(rng.randint(1, 9)), i) for i in range(40)]
     want = history(rows_)

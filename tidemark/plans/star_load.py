@@ -5,13 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.dimensions import dim_customer, dim_date, dim_product
 from tidemark.operators.facts import fact_sales
+from tidemark.operators.key_registry import DIGITS, Keys, extended
 from tidemark.operators.quality import references_between, row_counts, uniqueness
 from tidemark.plans.star_schema import NATURAL_KEYS, conform, star_schema
-from tidemark.sinks.releases import publish, read_current
+from tidemark.session import settle
+from tidemark.sinks.releases import latest_release, publish, read_current
 
 # Dimensions come before the fact, for sinks that check the fact's references.
 STAR_TABLES = ("dim_customer", "dim_product", "dim_date", "fact_sales")
@@ -37,18 +39,42 @@ def build_star(
     customer_attributes: list[str] | None = None,
     product_attributes: list[str] | None = None,
     iso_weeks: bool = False,
+    keys: Keys | None = None,
 ) -> Star:
-    """The star schema as lazy frames."""
-    return Star(
-        dim_customer(customers, customer_attributes),
-        dim_product(products, categories, product_attributes),
-        dim_date(orders, "order_ts", iso_weeks),
-        fact_sales(items, orders),
-    )
+    """The star schema as lazy frames; ``keys`` settles keys whose hashes collide."""
+    customer, product = dim_customer(customers, customer_attributes), dim_product(products, categories, product_attributes)
+    if keys:
+        customer = keys.add(customer, "customer_id", "customer_key")
+        product = keys.add(product, "product_id", "product_key")
+    return Star(customer, product, dim_date(orders, "order_ts", iso_weeks), fact_sales(items, orders, keys or Keys()))
+
+
+def registered_keys(spark: SparkSession, root: str, naturals: dict[str, DataFrame], digits: int = DIGITS) -> Keys:
+    """Keys for the next release under ``root``: those of the current one stay as they are.
+
+    ``naturals`` gives the source frame of ``customer_id`` and ``product_id``. The registries
+    are settled, since the dimension, the fact and the next release must agree on them.
+    """
+    found = {}
+    current = latest_release(spark, root) is not None
+    for natural, source in naturals.items():
+        dim, key = KEYED[natural]
+        stored = registry = None
+        if current:
+            stored, registry = read_current(spark, root, dim, _registry(natural))
+            stored = stored.select(F.col(natural).alias("natural"), F.col(key).alias("key"))
+        names = source.select(F.col(natural).alias("natural")).distinct()
+        found[natural] = settle(extended(names, registry, stored, digits), _registry(natural))
+    return Keys(digits, found)
+
+
+def _registry(natural: str) -> str:
+    return f"registry_{natural}"
 
 
 # Hashed keys and references of the star.
 SURROGATE_KEYS = {"dim_customer": "customer_key", "dim_product": "product_key"}
+KEYED = {"customer_id": ("dim_customer", "customer_key"), "product_id": ("dim_product", "product_key")}
 REFERENCES = [("customer_key", "dim_customer"), ("product_key", "dim_product"), ("date_key", "dim_date")]
 
 
@@ -86,18 +112,26 @@ def check_star(tables: dict[str, DataFrame]) -> StarReport:
     )
 
 
-def publish_star(star: Star, root: str, release: str, at: datetime, declared: bool = False) -> StarReport:
+def publish_star(
+    star: Star, root: str, release: str, at: datetime, declared: bool = False, keys: Keys | None = None
+) -> StarReport:
     """Store all four tables as one release, so that keys always find their dimension.
 
     The tables are checked where they were written, before readers can see them; a failed
     check leaves readers on the old release. ``declared`` first brings every table into its
-    declared columns and types, where a missing column is an error.
+    declared columns and types, where a missing column is an error. The registries of ``keys``,
+    with which the star was built, become part of the release.
     """
     tables = star.tables()
     if declared:
         tables = {name: conform(df, name) for name, df in tables.items()}
     reports: list[StarReport] = []
-    publish(tables, root, release, at, lambda written: reports.append(check_star(written)))
+    registries = {_registry(n): df for n, df in keys.registries.items()} if keys else {}
+
+    def check(written: dict[str, DataFrame]) -> None:
+        reports.append(check_star({name: written[name] for name in tables}))
+
+    publish({**tables, **registries}, root, release, at, check)
     return reports[0]
 
 
