@@ -63,6 +63,19 @@ class Scratch:
                     path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """The name, or one made from it that no column has (names differ in more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame, *without: str) -> list[Column]:
+    """The columns of a frame under their own names, which may hold dots."""
+    return [df[f"`{c}`"].alias(c) for c in df.columns if c not in without]
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

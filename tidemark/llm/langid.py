@@ -126,7 +126,9 @@ class Classifier:
 
 
 def predict(docs: DataFrame, models: dict[str, bytes], text: str = "text") -> DataFrame:
-    """Add lang_pred, score and rejected to ``docs``."""
+    """Add ``__language``, a struct of lang_pred, score and rejected, to ``docs``."""
+    if "__language" in {c.lower() for c in docs.columns}:
+        raise ValueError("the documents have a column __language; put theirs into a struct")
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(models)
 

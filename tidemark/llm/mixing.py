@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import Scratch, word_count
+from tidemark.llm.common import Scratch, columns_of, free_name, word_count
 from tidemark.operators.numbering import number_rows
 
 SEEDS = 64
@@ -133,7 +133,8 @@ def mix(docs: DataFrame, scratch: Scratch, seeds: int = SEEDS, most: int = MOST)
     plan = source_plan(sizes_of(docs, scratch), scratch, seeds, most)
     rows = docs.join(plan, docs.source.eqNullSafe(plan.source))
     repeats = F.array_repeat(F.lit(1), copies_of(docs.doc_id, plan).cast("int"))
-    return rows.select(*[docs[c] for c in docs.columns], F.explode(repeats).alias("__copy")).drop("__copy")
+    copy = free_name(docs.columns, "__copy")
+    return rows.select(*columns_of(docs), F.explode(repeats).alias(copy)).drop(copy)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

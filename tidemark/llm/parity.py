@@ -45,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import Rolling, Scratch, Words, lowered, mix, signed, text_slices
+from tidemark.llm.common import Rolling, Scratch, Words, free_name, lowered, mix, signed, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.paths import row_key, windows_of
 
@@ -355,8 +355,9 @@ def first_of_each(docs: DataFrame, scratch: Scratch, width: int = WIDTH, percent
     repeat both the id and the text of a kept document stay with it.
     """
     groups = grouped(docs, scratch, width, percent).filter("component_id < doc_id")
-    gone = groups.select(F.col("doc_id").alias("__gone"), F.col("row_key").alias("__key")).distinct()
-    return docs.join(gone, (docs.doc_id == F.col("__gone")) & (row_key() == F.col("__key")), "left_anti")
+    owner, key = free_name(docs.columns, "__gone"), free_name(docs.columns, "__key")
+    gone = groups.select(F.col("doc_id").alias(owner), F.col("row_key").alias(key)).distinct()
+    return docs.join(gone, (docs.doc_id == F.col(owner)) & (row_key() == F.col(key)), "left_anti")
 
 
 def op4_parity(spark: SparkSession, sf_dir: str) -> DataFrame:

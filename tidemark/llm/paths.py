@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import Rolling, Scratch, Words, ragged, signed, text_slices
+from tidemark.llm.common import Rolling, Scratch, Words, columns_of, ragged, signed, text_slices
 
 WINDOW = 50
 SEED = 8
@@ -216,7 +216,7 @@ def cut(docs: DataFrame, scratch: Scratch) -> DataFrame:
     All rows and columns stay; a text that loses nothing stays as it is.
     """
     spans = removed_spans(docs, scratch)
-    others = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
+    others = F.struct(*columns_of(docs, "text")).alias("row")
     rows = with_spans(docs, spans, [others, F.col("text").isNull().alias("no_text")])
     schema = rows.select("row", "text").schema
     new = rows.filter("NOT no_text").select("row", "text", "spans").mapInArrow(_cut, schema)
