@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import langid, mixing, parity, paths, pieces
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, columns_of
 
 # Near copies share 80 percent of their shingles of five words (op4_parity has values of its own).
 SHINGLE_WORDS = 5
@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fit on the labelled documents at hand; drop those whose language is not certain."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), "text")
     found = langid.predict(rows, langid.fit(docs))
     return found.filter("NOT __language.rejected").select("row.*")
 
