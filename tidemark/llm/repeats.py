@@ -11,9 +11,13 @@ with one minimizer are regions; equal strings have equal minimizers, so:
   (``suffixes.suffix_array``) is built. Neighbours in the array that agree in ``WINDOW``
   bytes are one repeated string, and its least document keeps it.
 
-Suffix arrays are built block by block; a block holds whole minimizers and about ``BLOCK``
-bytes. A minimizer with more than ``MOST`` different regions (a phrase in a large part of
-all documents) would not fit a block, so its strings are joined on their hashes instead.
+Suffix arrays are built block by block; a block holds whole groups and about ``BLOCK`` bytes.
+A group is a minimizer at first. One of more than ``MOST`` bytes (a phrase in a large part of
+all documents) is divided: every string holds half of the other bytes either before or behind
+the minimizer, so pieces of regions meet by that longer core, then by one longer again, until
+a group fits a block or its pieces are one string. Regions are cut at ``LONGEST`` strings.
+Before an array is built, strings whose middle ``WINDOW - STEP + 1`` bytes about the minimizer
+have one owner are left out, and equal runs of strings are one.
 Only (minimizer, id, region hash) of about every 19th string is shuffled, combined in the
 map tasks, and only texts with uncertain regions are read again. Regions are compared by
 64-bit hashes, strings within a block byte by byte.
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +45,11 @@ WINDOW = 50
 SEED = 20
 BLOCK = 1 << 15
 GATHERED = 1 << 20
-MOST = 2000
+MOST = 1 << 17
+STEP = 4
+LONGEST = 2000
+GROUPED = ["group", "minimizer", "region", "owner", "at", "core_lo", "core_hi", "content"]
+GROUP_SCHEMA = "group long, minimizer long, region long, owner long, at int, core_lo int, core_hi int, content binary"
 
 
 def seeds_of(data: np.ndarray, rolling: Rolling) -> np.ndarray:
@@ -59,6 +68,11 @@ def regions_in(data: np.ndarray, offsets: np.ndarray):
         return None
     rolling = Rolling(byte_values(data))
     first, last, least = paths(seeds_of(data, rolling), starts, owner, WINDOW - SEED + 1)
+    # A text of one repeated byte is one run; cut, so that a region is a few kilobytes at most.
+    parts = (last - first) // LONGEST + 1
+    run = np.repeat(np.arange(len(first)), parts)
+    first = first[run] + (np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)) * LONGEST
+    last, least = np.minimum(first + LONGEST - 1, last[run]), least[run]
     begin, end = starts[first], starts[last]
     return owner[first], begin, end, signed(least), signed(rolling.of(begin, end + WINDOW))
 
@@ -125,125 +139,197 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 REGIONS = "doc_id long, row_key int, minimizer long, region long, lo int, hi int, content binary"
 
 
-def repeated_in_block(contents: list[bytes], owners: list[int]) -> list[tuple[int, int]]:
-    """(content, offset) of the strings that also start in a content with a smaller owner.
+def repeated_in_block(contents: list[bytes], owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Content, first and last offset of runs of strings that also start in a content with a smaller owner.
 
     In the suffix array equal strings are neighbours; the values are shifted by one, and a
     zero behind every content keeps strings within it.
     """
-    text: list[int] = []
-    home: list[int] = []
-    valid: list[bool] = []
-    for k, content in enumerate(contents):
-        text.extend(b + 1 for b in content)
-        text.append(0)
-        home.extend([k] * (len(content) + 1))
-        strings = len(content) - WINDOW + 1
-        valid.extend([True] * strings + [False] * WINDOW)
-    data = b"\xff".join(contents) + b"\xff"  # positions as in ``text``; read for whole strings only
-    begin = [0]
-    for content in contents:
-        begin.append(begin[-1] + len(content) + 1)
-    out: list[tuple[int, int]] = []
-
-    def close(group: list[int]) -> None:
-        if len(group) > 1:
-            least = min(owners[home[i]] for i in group)
-            out.extend((home[i], i - begin[home[i]]) for i in group if owners[home[i]] > least)
-
-    group: list[int] = []
-    before = b""
-    for i in suffix_array(text):
-        if not valid[i]:
-            continue
-        string = data[i : i + WINDOW]
-        if string != before:
-            close(group)
-            group, before = [], string
-        group.append(i)
-    close(group)
-    return out
+    size = np.array([len(c) for c in contents])
+    begin = np.concatenate(([0], np.cumsum(size + 1)))
+    data = np.frombuffer(b"\0".join(contents) + b"\0", np.uint8).astype(np.int64) + 1
+    data[begin[1:] - 1] = 0
+    home = np.repeat(np.arange(len(contents)), size + 1)
+    order = np.array(suffix_array(data))
+    order = order[order + WINDOW < begin[home[order] + 1]]
+    strings = np.lib.stride_tricks.sliding_window_view(data.astype(np.int16), WINDOW)
+    new = np.ones(len(order), bool)
+    for lo in range(1, len(order), 1 << 14):
+        at = order[lo - 1 : lo + (1 << 14)]
+        same = strings[at]
+        new[lo : lo + len(at) - 1] = (same[1:] != same[:-1]).any(1)
+    owner = owners[home[order]]
+    least = np.minimum.reduceat(owner, np.flatnonzero(new))[np.cumsum(new) - 1]
+    found = np.sort(order[owner > least])
+    first, last = runs_of(found)
+    row = home[first]
+    return row, first - begin[row], last - begin[row]
+
+
+def runs_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of consecutive numbers in ascending ones."""
+    cut = np.flatnonzero(np.diff(places) != 1)
+    ends = np.append(cut, len(places) - 1) if len(places) else cut
+    begins = np.concatenate(([0], cut + 1)) if len(places) else cut
+    return places[begins], places[ends]
+
+
+def least_of(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest owner among the entries of each entry's key."""
+    if not len(key):
+        return owner, owner
+    order = np.argsort(key, kind="stable")
+    new = np.concatenate(([True], key[order[1:]] != key[order[:-1]]))
+    which = np.cumsum(new) - 1
+    out = []
+    for f in (np.minimum, np.maximum):
+        values = np.empty_like(owner)
+        values[order] = f.reduceat(owner[order], np.flatnonzero(new))[which]
+        out.append(values)
+    return out[0], out[1]
+
+
+def cores_of(batch: pa.RecordBatch | pa.Table, group: np.ndarray, data: np.ndarray, begin: np.ndarray, rolling: Rolling):
+    """Row, begin and end (within the row) of each core: the given one, or every place of the minimizer."""
+    lo, hi = (batch.column(c).to_numpy().astype(np.int64) for c in ("core_lo", "core_hi"))
+    row = np.arange(len(lo))
+    if not len(lo) or lo[0] >= 0:
+        return row, lo, hi
+    seeds = signed(seeds_of(data, rolling))
+    home = np.repeat(row, np.diff(begin))[: len(seeds)]
+    place = np.flatnonzero(seeds == group[home])
+    row = home[place]
+    place, row = (x[place + SEED <= begin[row + 1]] for x in (place, row))
+    return row, place - begin[row], place - begin[row] + SEED
 
 
-def may_repeat(minimizers: np.ndarray, contents: list[bytes]) -> np.ndarray:
-    """Which regions share a half with a different region of their minimizer.
+def may_repeat(cores, group: np.ndarray, owners: np.ndarray, begin: np.ndarray, rolling: Rolling) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place of the runs of strings that may start with another owner too.
 
-    A half is the minimizer with (WINDOW - SEED) / 2 bytes before or behind it.
+    Strings that hold a core within the same STEP places of their begin share all but
+    STEP - 1 bytes; such a class takes part if these bytes are found with several owners.
     """
-    half = (WINDOW - SEED + 1) // 2
-    data = np.frombuffer(b"".join(contents), np.uint8)
-    begin = np.concatenate(([0], np.cumsum([len(c) for c in contents])))
-    rolling = Rolling(byte_values(data))
-    seeds = signed(seeds_of(data, rolling))
-    home = np.repeat(np.arange(len(contents)), np.diff(begin))[: len(seeds)]
-    at = np.flatnonzero(seeds == minimizers[home])
-    home = home[at]
-    at, home = (x[at + SEED <= begin[home + 1]] for x in (at, home))
-    keep = np.zeros(len(contents), bool)
-    for lo, hi in ((at - half, at + SEED), (at, at + SEED + half)):
-        inside = (lo >= begin[home]) & (hi <= begin[home + 1])
-        held = home[inside]
-        key = mix(rolling.of(lo[inside], hi[inside]) ^ minimizers[held].astype(np.uint64))
-        pair = np.unique(np.stack([key.view(np.int64), held]), axis=1)
-        _, where, count = np.unique(pair[0], return_inverse=True, return_counts=True)
-        keep[pair[1][count[where] > 1]] = True
-    return keep
+    row, lo, hi = cores
+    rest = WINDOW - (hi - lo)
+    last = begin[row + 1] - WINDOW
+    keys, spans = [], []
+    for near in range(0, int(rest.max(initial=0)) + 1, STEP):
+        far = np.minimum(near + STEP - 1, rest)
+        core = begin[row] + lo
+        from_, to = np.maximum(core - far, begin[row]), np.minimum(core - near, last)
+        ok = (rest >= near) & (from_ <= to)
+        r, core = row[ok], core[ok]
+        keys.append(mix(rolling.of(core - near, core + WINDOW - far[ok]) ^ mix(group[r].astype(np.uint64) + np.uint64(near))))
+        spans.append((r, from_[ok], to[ok]))
+    if not keys:
+        return np.zeros(0, int), np.zeros(0, int)
+    r, from_, to = (np.concatenate(x) for x in zip(*spans))
+    least, most = least_of(np.concatenate(keys), owners[r])
+    several = least < most
+    change = np.zeros(begin[-1] + 1, np.int64)
+    np.add.at(change, from_[several], 1)
+    np.add.at(change, to[several] + 1, -1)
+    return runs_of(np.flatnonzero(np.cumsum(change) > 0))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by group, as tables of whole groups with about ``GATHERED`` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size < GATHERED:
+            continue
+        rows = pa.Table.from_batches(held)
+        groups = rows.column("group").to_numpy()
+        cut = int(np.searchsorted(groups, groups[-1]))
+        if cut:
+            yield rows.slice(0, cut)
+        held = rows.slice(cut).combine_chunks().to_batches()
+        size = sum(b.nbytes for b in held)
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by minimizer; whole minimizers are sifted and put together into blocks."""
-    gathered: list[tuple[int, int, int, bytes]] = []
-    size, current = 0, None
-
-    def solved() -> Iterator[pa.RecordBatch]:
-        keep = may_repeat(np.array([r[0] for r in gathered], np.int64), [r[3] for r in gathered])
-        block: list[tuple[int, int, int, bytes]] = []
-        held = 0
-        for i in np.flatnonzero(keep).tolist():
-            row = gathered[i]
-            if held >= BLOCK and row[0] != block[-1][0]:
-                yield _solved(block)
-                block, held = [], 0
-            block.append(row)
-            held += len(row[3])
-        if block:
-            yield _solved(block)
-
-    for batch in batches:
-        columns = (c.to_pylist() for c in batch.columns)
-        for row in zip(*columns):
-            if row[0] != current and size >= GATHERED:
-                yield from solved()
-                gathered, size = [], 0
-            current = row[0]
-            gathered.append(row)
-            size += len(row[3])
-    if gathered:
-        yield from solved()
-
-
-def _solved(block: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-    found = repeated_in_block([r[3] for r in block], [r[2] for r in block])
+    """Rows sorted by group; whole groups are sifted and put together into blocks."""
+    for rows in whole_groups(batches):
+        groups, owners = rows.column("group").to_numpy(), rows.column("owner").to_numpy()
+        body = b"".join(contents := rows.column("content").to_pylist())
+        data = np.frombuffer(body, np.uint8)
+        begin = np.concatenate(([0], np.cumsum([len(c) for c in contents])))
+        rolling = Rolling(byte_values(data))
+        first, last = may_repeat(cores_of(rows, groups, data, begin, rolling), groups, owners, begin, rolling)
+        row = np.searchsorted(begin, first, "right") - 1
+        # Of equal runs of one group the least owner's stands for all; the others repeat as a whole.
+        equal = mix(rolling.of(first, last + WINDOW) ^ mix(groups[row].astype(np.uint64)))
+        whole = owners[row] > least_of(equal, owners[row])[0]
+        yield placed(rows, row[whole], first[whole] - begin[row[whole]], last[whole] - begin[row[whole]])
+        left = np.flatnonzero(~whole)
+        least, most = least_of(groups[row[left]], owners[row[left]])
+        left = left[least < most]
+        group = groups[row[left]]
+        sizes = np.cumsum(last[left] - first[left] + WINDOW)
+        a = held = 0
+        for i in np.flatnonzero(np.append(group[1:] != group[:-1], True)) if len(left) else ():
+            if sizes[i] - held >= BLOCK or i == len(left) - 1:
+                part, a, held = left[a : i + 1], int(i) + 1, sizes[i]
+                parts = [body[x : y + WINDOW] for x, y in zip(first[part].tolist(), last[part].tolist())]
+                home, lo, hi = repeated_in_block(parts, owners[row[part]])
+                base = first[part][home] - begin[row[part][home]]
+                yield placed(rows, row[part][home], base + lo, base + hi)
+
+
+def placed(rows: pa.Table, row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
+    at = rows.column("at").to_numpy()[row]
+    columns = [pa.array(rows.column(c).to_numpy()[row]) for c in ("minimizer", "region")]
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([block[k][0] for k, _ in found], pa.int64()),
-            pa.array([block[k][1] for k, _ in found], pa.int64()),
-            pa.array([at for _, at in found], pa.int32()),
-        ],
-        names=["minimizer", "region", "at"],
+        [*columns, pa.array((at + lo).astype(np.int32)), pa.array((at + hi).astype(np.int32))],
+        names=["minimizer", "region", "at", "upto"],
     )
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash of every string of the regions of very common minimizers."""
+def _divided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The two pieces of each row around its core, each with a longer core and a group by it.
+
+    A string holds the core and r bytes more. Those with h of them before the core share these,
+    the others share r - h + 1 behind it; a core of a whole string is left as it is. Rows without
+    a core are whole regions; their cores are the places of the minimizer.
+    """
     for batch in batches:
-        for minimizer, region, owner, content in zip(*(c.to_pylist() for c in batch.columns)):
-            at = np.arange(len(content) - WINDOW + 1)
-            edge = Rolling(byte_values(np.frombuffer(content, np.uint8))).windows(WINDOW)
-            n = len(at)
+        contents = batch.column("content").to_pylist()
+        if not contents:
+            continue
+        data = np.frombuffer(b"".join(contents), np.uint8)
+        begin = np.concatenate(([0], np.cumsum([len(c) for c in contents])))
+        rolling = Rolling(byte_values(data))
+        group = batch.column("group").to_numpy()
+        row, lo, hi = cores_of(batch, group, data, begin, rolling)
+        size = begin[row + 1] - begin[row]
+        rest = WINDOW - (hi - lo)
+        half = (rest + 1) // 2
+        for side, core_lo, core_hi, last in ((1, lo - half, hi, lo - half), (2, lo, hi + rest - half + 1, lo)):
+            first = np.maximum(core_hi - WINDOW, 0)
+            last = np.minimum(last, size - WINDOW)
+            ok = (first <= last) & (core_lo >= 0) & (core_hi <= size)
+            r, a, z = row[ok], first[ok], last[ok] + WINDOW
+            base = begin[r]
+            of = mix(rolling.of(base + core_lo[ok], base + core_hi[ok]) ^ mix(group[r].astype(np.uint64) + np.uint64(side)))
+            bounds = np.concatenate(([0], np.cumsum(z - a))).astype(np.int32)
+            body = data[ragged(base + a, z - a)].tobytes()
+            kept = batch.select(["minimizer", "region", "owner"]).take(pa.array(r))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([minimizer] * n), pa.array([region] * n), pa.array([owner] * n), pa.array(at.astype(np.int32)), pa.array(signed(edge))],
-                names=["minimizer", "region", "owner", "at", "edge"],
+                [
+                    pa.array(signed(of)),
+                    *kept.columns,
+                    pa.array((batch.column("at").to_numpy()[r] + a).astype(np.int32)),
+                    pa.array((core_lo[ok] - a).astype(np.int32)),
+                    pa.array((core_hi[ok] - a).astype(np.int32)),
+                    pa.Array.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(bounds), pa.py_buffer(body)]),
+                    pa.array(signed(rolling.of(base + a, base + z))),
+                ],
+                names=[*GROUPED, "piece"],
             )
 
 
@@ -252,19 +338,32 @@ def row_key(text: str = "text") -> Column:
 
 
 def repeated_strings(distinct: DataFrame, scratch: Scratch) -> DataFrame:
-    """minimizer, region and offset of strings that a region with a smaller owner has too."""
-    counts = distinct.groupBy(F.col("minimizer").alias("of")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sized = distinct.join(counts, distinct.minimizer == counts.of).select("minimizer", "region", "owner", "content", "n")
-    sized = scratch.save(sized, "sized")
-    rows = sized.filter(F.col("n") <= MOST).drop("n").repartition("minimizer").sortWithinPartitions("minimizer")
-    solved = rows.mapInArrow(_blocks, "minimizer long, region long, at int")
-    strings = sized.filter(F.col("n") > MOST).drop("n").mapInArrow(
-        _strings, "minimizer long, region long, owner long, at int, edge long"
-    )
-    strings = scratch.save(strings, "strings")
-    least = strings.groupBy(F.col("edge").alias("e")).agg(F.min("owner").alias("least"), F.max("owner").alias("most"))
-    common = strings.join(least.filter("least < most"), F.col("edge") == F.col("e")).filter("owner > least")
-    return solved.unionByName(common.select("minimizer", "region", "at"))
+    """minimizer, region, first and last offset of strings that a region with a smaller owner has too.
+
+    A group that does not fit a block is divided by longer and longer common cores; of equal
+    pieces only those of the least owner go on, so the last groups, of one string, are settled.
+    """
+    at = [F.lit(0).alias("at"), F.lit(-1).alias("core_lo"), F.lit(-1).alias("core_hi")]
+    rows = distinct.select(F.col("minimizer").alias("group"), "minimizer", "region", "owner", *at, "content")
+    out = []
+    while True:
+        bounds = [F.sum(F.length("content")).alias("size"), F.min("owner").alias("least"), F.max("owner").alias("most")]
+        counts = rows.groupBy(F.col("group").alias("of")).agg(*bounds).filter("least < most").select("of", "size")
+        sized = scratch.save(rows.join(counts, rows.group == counts.of).select(*GROUPED, "size"), "sized")
+        small = sized.filter(F.col("size") <= MOST).drop("size").repartition("group").sortWithinPartitions("group")
+        out.append(scratch.save(small.mapInArrow(_blocks, "minimizer long, region long, at int, upto int"), "solved"))
+        large = sized.filter(F.col("size") > MOST).drop("size")
+        pieces = scratch.save(large.mapInArrow(_divided, f"{GROUP_SCHEMA}, piece long"), "pieces")
+        scratch.drop(sized)
+        if pieces.isEmpty():
+            break
+        least = pieces.groupBy(F.col("group").alias("g"), F.col("piece").alias("p")).agg(F.min("owner").alias("least"))
+        met = pieces.join(least, (F.col("group") == F.col("g")) & (F.col("piece") == F.col("p"))).drop("g", "p", "piece")
+        met = scratch.save(met, "met")
+        upto = (F.col("at") + F.length("content") - WINDOW).alias("upto")
+        out.append(met.filter("owner > least").select("minimizer", "region", "at", upto))
+        rows = met.filter("owner = least").drop("least")
+    return reduce(DataFrame.unionByName, out)
 
 
 def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -289,14 +388,15 @@ def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     regions = scratch.save(texts.mapInArrow(_regions, REGIONS), "regions")
     distinct = regions.groupBy("minimizer", "region").agg(F.min("doc_id").alias("owner"), F.first("content").alias("content"))
     distinct = scratch.save(distinct, "distinct")
-    solved = scratch.save(repeated_strings(distinct, scratch), "solved")
-    runs = solved.groupBy(F.col("minimizer").alias("m"), F.col("region").alias("r")).agg(F.collect_set("at").alias("at"))
+    solved = repeated_strings(distinct, scratch)
+    runs = solved.groupBy(F.col("minimizer").alias("m"), F.col("region").alias("r")).agg(F.collect_set(F.struct("at", "upto")).alias("run"))
     owners = distinct.select(F.col("minimizer").alias("m"), F.col("region").alias("r"), "owner")
     owned = regions.drop("content").join(owners, (F.col("minimizer") == F.col("m")) & (F.col("region") == F.col("r"))).drop("m", "r")
     owned = scratch.save(owned, "owned")
     copies = owned.filter("doc_id > owner").select(*keep)
     first = owned.filter("doc_id = owner").join(runs, (F.col("minimizer") == F.col("m")) & (F.col("region") == F.col("r")))
-    first = first.withColumn("at", F.explode("at")).select("doc_id", "row_key", (F.col("lo") + F.col("at")).alias("lo"), (F.col("lo") + F.col("at")).alias("hi"))
+    first = first.withColumn("run", F.explode("run"))
+    first = first.select("doc_id", "row_key", (F.col("lo") + F.col("run.at")).alias("lo"), (F.col("lo") + F.col("run.upto")).alias("hi"))
     spans = whole.unionByName(copies).unionByName(first).groupBy("doc_id", "row_key")
     spans = scratch.save(spans.agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans")
     scratch.drop(met, regions, distinct, owned)

@@ -15,25 +15,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+
 
 def suffix_array(text: Sequence[int]) -> list[int]:
     """Starts of all suffixes of ``text`` (non-negative numbers) in ascending order."""
     n = len(text)
     if n == 0:
         return []
-    order = sorted(range(n), key=text.__getitem__)
-    place = [0] * n
-    head = [0] * n  # of a suffix: where its group begins
-    last = [0] * (n + 1)  # of a group, by its begin: where it ends
-    begin = 0
-    for at, i in enumerate(order):
-        if text[i] != text[order[begin]]:
-            begin = at
-        place[i] = at
-        head[i] = begin
-        last[begin] = at
-    smaller = group_by_lyndon_prefix(order, place, head, last)
-    return emit(n, head, smaller)
+    values = np.asarray(text)
+    sorted_ = np.argsort(values, kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = values[sorted_[1:]] != values[sorted_[:-1]]
+    begins = np.flatnonzero(new)
+    place, head, last = np.zeros(n, int), np.zeros(n, int), np.zeros(n + 1, int)
+    place[sorted_] = np.arange(n)
+    head[sorted_] = begins[np.cumsum(new) - 1]  # of a suffix: where its group begins
+    last[begins] = np.append(begins[1:], n) - 1  # of a group, by its begin: where it ends
+    groups = head.tolist()
+    smaller = group_by_lyndon_prefix(sorted_.tolist(), place.tolist(), groups, last.tolist())
+    return emit(n, groups, smaller)
 
 
 def group_by_lyndon_prefix(order: list[int], place: list[int], head: list[int], last: list[int]) -> list[int]:
