@@ -2,20 +2,19 @@
 
 Fit: a bounded sample (the ``SAMPLE`` vectors that come first by a hash of their values) is
 split again and again into balanced halves until a part holds at most ``list_size`` vectors'
-share of the whole table; the means of the parts are the centroids, at most ``MAX_LISTS``.
+share of the whole table; the means of the parts, settled by a few rounds of k-means on the
+sample, are the centroids, at most ``MAX_LISTS``.
 A neighbour graph over the centroids is searched best-first in memory; centroids and graph
 are broadcast and their size is bounded by ``MAX_LISTS`` whatever the table's size.
 
 Index: every vector goes to its nearest list and, near a boundary, to up to ``REPLICAS``
-lists whose distance is within ``CLOSURE`` of the nearest (a list is passed over if it is
-nearer to a list already taken than to the vector). Lists that come out longer than
+lists whose distance is within ``CLOSURE`` of the nearest. Lists that come out longer than
 ``BLOCK`` are split into blocks, so no task holds a longer piece.
 
-Search: a query goes to every list whose centroid distance is within a ratio of that of its
-nearest one. The ratio is measured on the sample: ``TESTS`` of its vectors look for their
-true neighbours in it, and the ratio is taken that reaches the share ``AIM`` of them (a sample
-is sparser than the table, so this errs on the safe side). Each block answers with its k
-nearest by exact distance, and the answers are merged by one aggregation.
+Search: a query goes to its nearest list and every list whose centroid distance is within a ratio
+of the mean over the ``REPLICAS`` nearest. The ratio is measured: ``TESTS`` sampled vectors look for their true neighbours
+in the whole table, and the ratio is taken that reaches the share ``AIM`` of them. Each block
+answers with its k nearest by exact distance, and the answers are merged by one aggregation.
 
 Equal vectors are one vector with the k + 1 smallest of their ids: no answer needs more of
 them, since they are equally far from every query. So a vector with a third of all rows is
@@ -29,7 +28,6 @@ ignored.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -43,13 +41,16 @@ SAMPLE = 20_000
 MAX_LISTS = 4096
 LIST_SIZE = 100
 BLOCK = 1000
-REPLICAS = 4
+REPLICAS = 8
 CLOSURE = 1.15
 GROUP = 32
 TESTS = 128
-AIM = 0.97
+AIM = 0.95
 GRAPH_DEGREE = 24
 BEAM = 32
+STEP = 4
+WALK = 256
+SETTLE = 6
 
 
 @dataclass(frozen=True)
@@ -85,85 +86,131 @@ def balanced_parts(points: np.ndarray, size: int) -> list[np.ndarray]:
     return done
 
 
-def fit(sample: np.ndarray, rows: int, k: int, list_size: int = LIST_SIZE) -> Lists:
+def fit(sample: np.ndarray, rows: int, list_size: int = LIST_SIZE) -> Lists:
     """Centroids and their graph, from the sampled vectors of a table of ``rows`` vectors."""
     wanted = int(min(MAX_LISTS, max(1, -(-rows // list_size))))
-    part = max(1, len(sample) // wanted)
+    part = len(sample) // wanted + 1
     centroids = np.stack([sample[p].mean(0) for p in balanced_parts(sample, part)]) if len(sample) else np.zeros((0, 1))
+    for _ in range(SETTLE):  # each centroid moves to the mean of the vectors nearest to it
+        own = np.concatenate([distances(sample[i : i + WALK], centroids).argmin(1) for i in range(0, len(sample), WALK)] or [[]])
+        sums, counts = np.zeros_like(centroids), np.bincount(own.astype(int), minlength=len(centroids))
+        np.add.at(sums, own.astype(int), sample)
+        centroids = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centroids)
     d = distances(centroids, centroids)
     np.fill_diagonal(d, np.inf)
     degree = min(GRAPH_DEGREE, max(0, len(centroids) - 1))
     graph = np.argsort(d, axis=1, kind="stable")[:, :degree] if degree else np.zeros((len(centroids), 0), int)
     step = max(1, len(centroids) // 16)
-    lists = Lists(centroids, graph, np.arange(0, len(centroids), step))
-    return replace(lists, reach=measured_reach(lists, sample, k)) if len(sample) else lists
-
-
-def measured_reach(lists: Lists, sample: np.ndarray, k: int) -> float:
-    """The ratio within which the share ``AIM`` of true neighbours in the sample is reached."""
-    asking = np.arange(0, len(sample), max(1, len(sample) // TESTS))
-    d = distances(sample[asking], sample)
-    d[np.arange(len(asking)), asking] = np.inf
-    to_centroids = np.sqrt(distances(sample[asking], lists.centroids))
-    ratios = [1.0]
-    for row, own in zip(d, to_centroids):
-        for i in np.argsort(row, kind="stable")[: min(k, len(sample) - 1)]:
-            ratios.append(own[lists_of(lists, sample[i])].min() / max(own.min(), 1e-12))
+    return Lists(centroids, graph, np.arange(0, len(centroids), step))
+
+
+def measured_reach(lists: Lists, tests: np.ndarray, neighbours: list[np.ndarray]) -> float:
+    """The ratio within which the share ``AIM`` of the tests' true neighbours is reached."""
+    ratios = [0.0]
+    for point, near in zip(tests, neighbours):
+        own = np.sqrt(distances(point[None, :], lists.centroids)[0])
+        base = base_of(np.sort(own)[None, :])[0]
+        ratios += [own[held].min() / base for held in lists_of(lists, near)] if len(near) else []
     return float(np.quantile(ratios, AIM)) * (1 + 1e-9)
 
 
-def walk(lists: Lists, point: np.ndarray, beam: int, reach: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest centroids by a best-first walk over the graph: indices and distances.
+def walk(lists: Lists, points: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``beam`` nearest centroids of each point by a best-first walk over the graph.
 
-    At most ``beam`` of them; the walk does not go on beyond ``reach`` times the nearest.
+    Indices and distances, nearest first; places that are not filled are at infinity. A block of
+    points walks in step: each opens its ``STEP`` nearest unopened centroids at a time.
     """
-    limit = reach * reach
-    seen = np.zeros(len(lists.centroids), bool)
-
-    def measure(found: np.ndarray) -> list[tuple[float, int]]:
-        seen[found] = True
-        return list(zip(((lists.centroids[found] - point) ** 2).sum(1).tolist(), found.tolist()))
-
-    front = measure(lists.entries)
-    heapq.heapify(front)
-    best = [(-d, i) for d, i in front]
-    heapq.heapify(best)
-    while len(best) > beam:
-        heapq.heappop(best)
-    nearest_yet = min(front)[0]
-    while front:
-        d, i = heapq.heappop(front)
-        if (len(best) == beam and d > -best[0][0]) or d > limit * nearest_yet:
-            break
-        near = lists.graph[i]
-        for e, j in measure(near[~seen[near]]):
-            nearest_yet = min(nearest_yet, e)
-            if len(best) < beam or e < -best[0][0]:
-                heapq.heappush(front, (e, j))
-                heapq.heappush(best, (-e, j))
-                if len(best) > beam:
-                    heapq.heappop(best)
-    order = sorted((-d, i) for d, i in best)
-    return np.array([i for _, i in order]), np.sqrt(np.maximum([d for d, _ in order], 0))
-
-
-def lists_of(lists: Lists, point: np.ndarray) -> list[int]:
-    """The lists that take a vector: the nearest, and others where it lies on a boundary."""
-    near, d = walk(lists, point, BEAM)
-    taken = [int(near[0])]
-    for i, e in zip(near[1:].tolist(), d[1:]):
-        if len(taken) == REPLICAS or e > CLOSURE * d[0]:
+    rows = np.arange(len(points))[:, None]
+    squares = (lists.centroids**2).sum(1)
+    own = (points**2).sum(1)[:, None]
+    seen = np.zeros((len(points), len(lists.centroids)), bool)
+
+    def measure(found: np.ndarray) -> np.ndarray:
+        return np.maximum(own - 2 * np.einsum("bnd,bd->bn", lists.centroids[found], points) + squares[found], 0)
+
+    ids = np.tile(lists.entries, (len(points), 1))
+    d = measure(ids)
+    seen[:, lists.entries] = True
+    closed = np.zeros(ids.shape, bool)
+    while True:
+        next_ = np.argsort(np.where(closed, np.inf, d), axis=1, kind="stable")[:, :STEP]
+        live = ~closed[rows, next_] & np.isfinite(d[rows, next_])
+        if not live.any() or not lists.graph.shape[1]:
             break
-        gap = ((lists.centroids[taken] - lists.centroids[i]) ** 2).sum(1).min() ** 0.5
-        if gap >= e:
-            taken.append(i)
-    return taken
-
-
-def probes_of(lists: Lists, point: np.ndarray) -> list[int]:
-    """Every list within reach; distances are pruned by ratio, never by number."""
-    near, d = walk(lists, point, len(lists.centroids), lists.reach)
-    return near[d <= lists.reach * max(d[0], 1e-12)].tolist()
+        closed[rows, next_] = True
+        near = lists.graph[ids[rows, next_]]
+        near = np.sort(np.where(live[:, :, None], near, -1).reshape(len(points), -1), axis=1)
+        new = (near >= 0) & ~seen[rows, near]
+        new[:, 1:] &= near[:, 1:] != near[:, :-1]
+        at, column = np.nonzero(new)
+        seen[at, near[at, column]] = True
+        e = np.full(near.shape, np.inf)
+        wide = new.any(0)
+        e[:, wide] = np.where(new[:, wide], measure(near[:, wide]), np.inf)
+        ids, d, closed = np.hstack((ids, near)), np.hstack((d, e)), np.hstack((closed, ~new))
+        keep = np.argsort(d, axis=1, kind="stable")[:, :beam]
+        ids, d, closed = ids[rows, keep], d[rows, keep], closed[rows, keep]
+    keep = np.argsort(d, axis=1, kind="stable")[:, :beam]
+    return ids[rows, keep], np.sqrt(d[rows, keep])
+
+
+def base_of(d: np.ndarray) -> np.ndarray:
+    """What ratios refer to: the mean distance of the nearest centroids, steadier than that of one."""
+    return np.maximum(d[:, :REPLICAS].mean(1), 1e-12)
+
+
+def lists_of(lists: Lists, points: np.ndarray) -> list[list[int]]:
+    """The lists that take each vector: the nearest, and others where it lies on a boundary."""
+    near, d = walk(lists, points, BEAM)
+    taken = d[:, :REPLICAS] <= CLOSURE * d[:, :1]
+    return [i[t].tolist() for i, t in zip(near[:, :REPLICAS], taken)]
+
+
+def probes_of(lists: Lists, points: np.ndarray) -> list[list[int]]:
+    """Every list within reach of each point; distances are pruned by ratio, never by number."""
+    out: list[list[int]] = [[] for _ in points]
+    left, beam = np.arange(len(points)), BEAM
+    while len(left):
+        near, d = walk(lists, points[left], beam)
+        limit = np.maximum(lists.reach * base_of(d), d[:, 0])
+        # The last place of a full beam beyond reach: nothing within reach was pushed out.
+        ready = (d[:, -1] > limit) | (beam >= len(lists.centroids))
+        for at in np.flatnonzero(ready):
+            out[left[at]] = near[at][(d[at] <= limit[at]) & np.isfinite(d[at])].tolist()
+        left, beam = left[~ready], beam * 2
+    return out
+
+
+def true_neighbours(vectors: DataFrame, tests: np.ndarray, k: int) -> list[np.ndarray]:
+    """The k nearest other vectors of each test vector, by one pass over all vectors.
+
+    A task keeps k + 1 vectors for each of the few tests, whatever the table's size.
+    """
+    shared = vectors.sparkSession.sparkContext.broadcast(tests)
+
+    def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tests = shared.value
+        best = np.full((len(tests), k + 1), np.inf)
+        points = np.zeros((len(tests), k + 1, tests.shape[1]))
+        for batch in batches:
+            for lo in range(0, len(batch), WALK):
+                own = np.stack([np.asarray(v, float) for v in batch["vector"].iloc[lo : lo + WALK]])
+                d = np.hstack((best, distances(tests, own)))
+                first = np.argsort(d, axis=1, kind="stable")[:, : k + 1]
+                both = np.concatenate((points, np.broadcast_to(own, (len(tests), *own.shape))), axis=1)
+                best, points = np.take_along_axis(d, first, 1), np.take_along_axis(both, first[:, :, None], 1)
+        test, place = np.nonzero(np.isfinite(best))
+        yield pd.DataFrame({"test": test.astype(np.int32), "d": best[test, place], "vector": list(points[test, place])})
+
+    near = vectors.select("vector").mapInPandas(kept, "test int, d double, vector array<double>")
+    first = Window.partitionBy("test").orderBy("d", "vector")
+    near = near.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= k + 1)
+    out: list[list[np.ndarray]] = [[] for _ in tests]
+    for row in near.orderBy("test", "n").toLocalIterator():
+        vector = np.asarray(row.vector)
+        if len(out[row.test]) < k and not np.array_equal(vector, tests[row.test]):
+            out[row.test].append(vector)
+    return [np.array(x) for x in out]
 
 
 def usable(column: str) -> Column:
@@ -200,7 +247,10 @@ def spread(rows: DataFrame, lists: Lists, choose, name: str) -> DataFrame:
     @F.pandas_udf("array<int>")
     def chosen(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for vectors in batches:
-            yield pd.Series([choose(shared.value, np.asarray(v, float)) for v in vectors])
+            out: list[list[int]] = []
+            for lo in range(0, len(vectors), WALK):
+                out += choose(shared.value, np.stack([np.asarray(v, float) for v in vectors.iloc[lo : lo + WALK]]))
+            yield pd.Series(out)
 
     return rows.withColumn(name, F.explode(chosen("vector")))
 
@@ -215,7 +265,10 @@ def search(table: DataFrame, scratch: Scratch, k: int = 10, every: int = 100, co
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     vectors = vectors.filter(F.size("vector") == widths.width)
     sample = vectors.orderBy(F.xxhash64("vector"), "rep").limit(SAMPLE).select("vector").toPandas()["vector"]
-    lists = fit(np.stack([np.asarray(v, float) for v in sample]), widths["count"], k, list_size)
+    sample = np.stack([np.asarray(v, float) for v in sample])
+    lists = fit(sample, widths["count"], list_size)
+    tests = sample[:: max(1, len(sample) // TESTS)][:TESTS]
+    lists = replace(lists, reach=measured_reach(lists, tests, true_neighbours(vectors, tests, k)))
 
     postings = scratch.save(spread(vectors, lists, lists_of, "list"), "postings")
     # Blocks bound what a task holds; queries meet every block of their lists.
@@ -231,7 +284,8 @@ def search(table: DataFrame, scratch: Scratch, k: int = 10, every: int = 100, co
     owners = owners.select("id", F.transform("v", lambda x: x.cast("double") + F.lit(0.0)).alias("vector"))
     owners = scratch.save(owners.groupBy("id").agg(F.min("vector").alias("vector")), "owners")
     queries = owners.groupBy("vector").agg(F.min("id").alias("query"))
-    probes = spread(queries, lists, probes_of, "list")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # few rows, but each walks far
+    probes = spread(queries.repartition(tasks, "query"), lists, probes_of, "list")
     probes = scratch.save(probes, "probes").join(blocks, "list")
     probes = probes.select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "query", "vector")
 
