@@ -31,6 +31,8 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tidemark.llm.common import give_back
+
 SAMPLE_DOCS = 100
 SAMPLE_CHARS = 1500
 DICT_BYTES = 112 << 10
@@ -137,6 +139,8 @@ def predict(docs: DataFrame, models: dict[str, bytes], text: str = "text") -> Da
         model = Classifier(shared.value)
         for texts in batches:
             yield pd.DataFrame([model(t) for t in texts], columns=["lang_pred", "score", "rejected"])
+        del model
+        give_back()
 
     return docs.withColumn("__language", classify(F.col(text)))
 

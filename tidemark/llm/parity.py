@@ -45,7 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import Rolling, Scratch, Words, free_name, lowered, mix, signed, text_slices
+from tidemark.llm.common import Rolling, Scratch, Words, free_name, frugal, lowered, mix, signed, text_slices
 from tidemark.llm.components import components
 from tidemark.llm.paths import row_key, windows_of
 
@@ -54,6 +54,7 @@ PERCENT = 85
 ROUNDS = 2
 JOINING = 2
 BLOCK = 1500
+SLICE = 1 << 18
 U = np.uint64
 BAND_BITS = 6
 
@@ -139,7 +140,7 @@ def keys_of(found: np.ndarray, owner: np.ndarray, sizes: np.ndarray, bands: Band
 def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     bands = bands_for(percent)
     for batch in batches:
-        for lo, hi, data, offsets in text_slices(batch):
+        for lo, hi, data, offsets in text_slices(batch, size=SLICE):
             found, owner = shingles(data, offsets, width)
             sizes, prints = fingerprints(found, owner, hi - lo)
             key, text = keys_of(found, owner, sizes, bands)
@@ -170,7 +171,7 @@ def folded(sketch: bytes, size: int) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo, hi, data, offsets in text_slices(batch):
+        for lo, hi, data, offsets in text_slices(batch, size=SLICE):
             found, owner = shingles(data, offsets, width)
             sizes, prints = fingerprints(found, owner, hi - lo)
             ends = np.concatenate(([0], np.cumsum(sizes)))
@@ -256,7 +257,7 @@ def block_pairs(rows: DataFrame, sets: DataFrame, percent: int, whole: bool) ->
     rows = rows.select("key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "print", "label")
     rows = rows.join(sets.select("print", "size", "bits"), "print").select("key", "i", "j", "print", "label", "size", "bits")
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(lambda batches: _close(batches, percent, whole), "print long, other long, label long, of long")
+    return rows.mapInArrow(frugal(lambda batches: _close(batches, percent, whole)), "print long, other long, label long, of long")
 
 
 def linked(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
@@ -278,7 +279,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("print").alias("a"), F.col("members").alias("a_members"))
     right = sets.select(F.col("print").alias("b"), F.col("members").alias("b_members"))
     both = pairs.join(left, "a").join(right, "b").select("label_a", "label_b", "a_members", "b_members")
-    return both.mapInArrow(lambda batches: _verified(batches, percent), "a long, b long")
+    return both.mapInArrow(frugal(lambda batches: _verified(batches, percent)), "a long, b long")
 
 
 def candidate_keys(sketches: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
@@ -304,7 +305,7 @@ def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch, width: int, pe
     owners = sketches.groupBy("print").agg(F.min("doc_id").alias("owner")).join(asked, "print", "left_semi")
     owners = owners.select("owner").distinct()
     texts = docs.join(owners, docs.doc_id.eqNullSafe(owners.owner)).select(docs.text)
-    sets = texts.mapInArrow(lambda batches: _sets(batches, width), "print long, size long, members binary, bits binary")
+    sets = texts.mapInArrow(frugal(lambda batches: _sets(batches, width)), "print long, size long, members binary, bits binary")
     sets = scratch.save(sets.join(asked, "print", "left_semi").dropDuplicates(["print"]), "sets")
 
     labels = scratch.save(asked.select("print", F.col("print").alias("label")), "labels")
@@ -337,7 +338,7 @@ def grouped(docs: DataFrame, scratch: Scratch, width: int = WIDTH, percent: int
     """doc_id, row_key, n_shingles and component_id per row of ``docs``."""
     docs = docs.select("doc_id", "text", row_key().alias("row_key"))
     schema = "doc_id long, row_key long, n_shingles long, print long, keys array<long>"
-    sketches = scratch.save(docs.mapInArrow(lambda batches: _sketches(batches, width, percent), schema), "sketches")
+    sketches = scratch.save(docs.mapInArrow(frugal(lambda batches: _sketches(batches, width, percent)), schema), "sketches")
     labels = links(docs, sketches.filter("print IS NOT NULL"), scratch, width, percent).select(F.col("print").alias("p"), "label")
     classes = sketches.filter("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("first"))
     named = classes.join(labels, classes.print == labels.p, "left").select("print", "first", F.coalesce("label", "print").alias("label"))
