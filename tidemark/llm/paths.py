@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import Rolling, Scratch, Words, columns_of, ragged, signed, text_slices
+from tidemark.llm.common import Rolling, Scratch, Words, columns_of, frugal, ragged, signed, text_slices
 
 WINDOW = 50
 SEED = 8
@@ -125,7 +125,7 @@ def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     A span covers the words lo .. hi + WINDOW - 1. Rows without such a span are left out.
     """
     rows = docs.select("doc_id", row_key().alias("row_key"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = scratch.save(rows.mapInArrow(_paths, PATHS), "paths")
+    found = scratch.save(rows.mapInArrow(frugal(_paths), PATHS), "paths")
     shared = (
         found.groupBy("minimizer")
         .agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.min("path").alias("a"), F.max("path").alias("b"))
@@ -139,7 +139,7 @@ def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     unsure = met.filter("branching").groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     texts = rows.join(unsure, ["doc_id", "row_key"]).select("doc_id", "row_key", "text", "spans")
-    edges = scratch.save(texts.mapInArrow(_windows, "doc_id long, row_key long, edge long, lo int"), "edges")
+    edges = scratch.save(texts.mapInArrow(frugal(_windows), "doc_id long, row_key long, edge long, lo int"), "edges")
     sources = edges.groupBy(F.col("edge").alias("of")).agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
     sources = sources.filter("source < last")
     single = edges.join(sources, edges.edge == sources.of).filter("doc_id > source").select("doc_id", "row_key", "lo", F.col("lo").alias("hi"))
@@ -219,7 +219,7 @@ def cut(docs: DataFrame, scratch: Scratch) -> DataFrame:
     others = F.struct(*columns_of(docs, "text")).alias("row")
     rows = with_spans(docs, spans, [others, F.col("text").isNull().alias("no_text")])
     schema = rows.select("row", "text").schema
-    new = rows.filter("NOT no_text").select("row", "text", "spans").mapInArrow(_cut, schema)
+    new = rows.filter("NOT no_text").select("row", "text", "spans").mapInArrow(frugal(_cut), schema)
     new = new.unionByName(rows.filter("no_text").select("row", F.lit(None).cast("string").alias("text")))
     return new.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
@@ -228,5 +228,5 @@ def op7_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = with_spans(docs, removed_spans(docs, Scratch(spark, "op7")))
     return rows.select("__id", "text", "spans").mapInArrow(
-        _digests, "doc_id long, n_words long, n_removed long, kept_sha256 string"
+        frugal(_digests), "doc_id long, n_words long, n_removed long, kept_sha256 string"
     )
