@@ -16,6 +16,7 @@ A group is a minimizer at first. One of more than ``MOST`` bytes (a phrase in a
 all documents) is divided: every string holds half of the other bytes either before or behind
 the minimizer, so pieces of regions meet by that longer core, then by one longer again, until
 a group fits a block or its pieces are one string. Regions are cut at ``LONGEST`` strings.
+A region may hold its minimizer, and so a piece, many times: that is one row with all its places.
 Before an array is built, strings whose middle ``WINDOW - STEP + 1`` bytes about the minimizer
 have one owner are left out, and equal runs of strings are one.
 Only (minimizer, id, region hash) of about every 19th string is shuffled, combined in the
@@ -35,6 +36,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import _SPACE, Rolling, Scratch, byte_values, mix, ragged, signed, text_slices
@@ -49,7 +51,8 @@ MOST = 1 << 17
 STEP = 4
 LONGEST = 2000
 GROUPED = ["group", "minimizer", "region", "owner", "at", "core_lo", "core_hi", "content"]
-GROUP_SCHEMA = "group long, minimizer long, region long, owner long, at int, core_lo int, core_hi int, content binary"
+RUNS_SCHEMA = "minimizer long, region long, run array<struct<at: int, upto: int>>"
+GROUP_SCHEMA = "group long, minimizer long, region long, owner long, at array<int>, core_lo int, core_hi int, content binary"
 
 
 def seeds_of(data: np.ndarray, rolling: Rolling) -> np.ndarray:
@@ -281,13 +284,22 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield placed(rows, row[part][home], base + lo, base + hi)
 
 
+def places_of(rows: pa.RecordBatch | pa.Table, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many places the content of each given row has, and these places one after the other."""
+    at = rows.column("at")
+    n = pc.list_value_length(at).to_numpy().astype(np.int64)
+    places = pc.list_flatten(at).to_numpy()
+    first = np.cumsum(n) - n
+    return n[row], places[ragged(first[row], n[row])]
+
+
 def placed(rows: pa.Table, row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
-    at = rows.column("at").to_numpy()[row]
+    n, at = places_of(rows, row)
+    run = [pa.array((at + np.repeat(x, n)).astype(np.int32)) for x in (lo, hi)]
+    ends = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
     columns = [pa.array(rows.column(c).to_numpy()[row]) for c in ("minimizer", "region")]
-    return pa.RecordBatch.from_arrays(
-        [*columns, pa.array((at + lo).astype(np.int32)), pa.array((at + hi).astype(np.int32))],
-        names=["minimizer", "region", "at", "upto"],
-    )
+    runs = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(run, ["at", "upto"]))
+    return pa.RecordBatch.from_arrays([*columns, runs], names=["minimizer", "region", "run"])
 
 
 def _divided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +307,8 @@ def _divided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     A string holds the core and r bytes more. Those with h of them before the core share these,
     the others share r - h + 1 behind it; a core of a whole string is left as it is. Rows without
-    a core are whole regions; their cores are the places of the minimizer.
+    a core are whole regions; their cores are the places of the minimizer. Equal pieces of a row
+    are given once, with all their places.
     """
     for batch in batches:
         contents = batch.column("content").to_pylist()
@@ -313,37 +326,53 @@ def _divided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.maximum(core_hi - WINDOW, 0)
             last = np.minimum(last, size - WINDOW)
             ok = (first <= last) & (core_lo >= 0) & (core_hi <= size)
-            r, a, z = row[ok], first[ok], last[ok] + WINDOW
+            r, a, z, core_lo, core_hi = row[ok], first[ok], last[ok] + WINDOW, core_lo[ok], core_hi[ok]
             base = begin[r]
-            of = mix(rolling.of(base + core_lo[ok], base + core_hi[ok]) ^ mix(group[r].astype(np.uint64) + np.uint64(side)))
+            of = mix(rolling.of(base + core_lo, base + core_hi) ^ mix(group[r].astype(np.uint64) + np.uint64(side)))
+            piece = rolling.of(base + a, base + z)
+            order, which = alike(r, of, core_lo - a, piece)
+            n, at = places_of(batch, r[order])
+            ends = np.bincount(which, n, which[-1] + 1 if len(which) else 0).astype(np.int64)
+            at = pa.array((at + np.repeat(a[order], n)).astype(np.int32))
+            one = order[np.flatnonzero(np.diff(which, prepend=-1))]
+            r, a, z, base = r[one], a[one], z[one], base[one]
             bounds = np.concatenate(([0], np.cumsum(z - a))).astype(np.int32)
             body = data[ragged(base + a, z - a)].tobytes()
             kept = batch.select(["minimizer", "region", "owner"]).take(pa.array(r))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(signed(of)),
+                    pa.array(signed(of[one])),
                     *kept.columns,
-                    pa.array((batch.column("at").to_numpy()[r] + a).astype(np.int32)),
-                    pa.array((core_lo[ok] - a).astype(np.int32)),
-                    pa.array((core_hi[ok] - a).astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(ends))).astype(np.int32)), at),
+                    pa.array((core_lo[one] - a).astype(np.int32)),
+                    pa.array((core_hi[one] - a).astype(np.int32)),
                     pa.Array.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(bounds), pa.py_buffer(body)]),
-                    pa.array(signed(rolling.of(base + a, base + z))),
+                    pa.array(signed(piece[one])),
                 ],
                 names=[*GROUPED, "piece"],
             )
 
 
+def alike(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal rows together, and the number of each row's kind in that order."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    for column in columns:
+        new[1:] |= column[order[1:]] != column[order[:-1]]
+    return order, np.cumsum(new)
+
+
 def row_key(text: str = "text") -> Column:
     return F.hash(F.coalesce(F.col(text), F.lit("")))
 
 
 def repeated_strings(distinct: DataFrame, scratch: Scratch) -> DataFrame:
-    """minimizer, region, first and last offset of strings that a region with a smaller owner has too.
+    """minimizer, region and runs (first and last offset) of strings that a region with a smaller owner has too.
 
     A group that does not fit a block is divided by longer and longer common cores; of equal
     pieces only those of the least owner go on, so the last groups, of one string, are settled.
     """
-    at = [F.lit(0).alias("at"), F.lit(-1).alias("core_lo"), F.lit(-1).alias("core_hi")]
+    at = [F.array(F.lit(0)).alias("at"), F.lit(-1).alias("core_lo"), F.lit(-1).alias("core_hi")]
     rows = distinct.select(F.col("minimizer").alias("group"), "minimizer", "region", "owner", *at, "content")
     out = []
     while True:
@@ -351,7 +380,7 @@ def repeated_strings(distinct: DataFrame, scratch: Scratch) -> DataFrame:
         counts = rows.groupBy(F.col("group").alias("of")).agg(*bounds).filter("least < most").select("of", "size")
         sized = scratch.save(rows.join(counts, rows.group == counts.of).select(*GROUPED, "size"), "sized")
         small = sized.filter(F.col("size") <= MOST).drop("size").repartition("group").sortWithinPartitions("group")
-        out.append(scratch.save(small.mapInArrow(_blocks, "minimizer long, region long, at int, upto int"), "solved"))
+        out.append(scratch.save(small.mapInArrow(_blocks, RUNS_SCHEMA), "solved"))
         large = sized.filter(F.col("size") > MOST).drop("size")
         pieces = scratch.save(large.mapInArrow(_divided, f"{GROUP_SCHEMA}, piece long"), "pieces")
         scratch.drop(sized)
@@ -360,8 +389,8 @@ def repeated_strings(distinct: DataFrame, scratch: Scratch) -> DataFrame:
         least = pieces.groupBy(F.col("group").alias("g"), F.col("piece").alias("p")).agg(F.min("owner").alias("least"))
         met = pieces.join(least, (F.col("group") == F.col("g")) & (F.col("piece") == F.col("p"))).drop("g", "p", "piece")
         met = scratch.save(met, "met")
-        upto = (F.col("at") + F.length("content") - WINDOW).alias("upto")
-        out.append(met.filter("owner > least").select("minimizer", "region", "at", upto))
+        run = F.transform("at", lambda at: F.struct(at.alias("at"), (at + F.length("content") - WINDOW).alias("upto")))
+        out.append(met.filter("owner > least").select("minimizer", "region", run.alias("run")))
         rows = met.filter("owner = least").drop("least")
     return reduce(DataFrame.unionByName, out)
 
@@ -389,7 +418,7 @@ def removed_spans(docs: DataFrame, scratch: Scratch) -> DataFrame:
     distinct = regions.groupBy("minimizer", "region").agg(F.min("doc_id").alias("owner"), F.first("content").alias("content"))
     distinct = scratch.save(distinct, "distinct")
     solved = repeated_strings(distinct, scratch)
-    runs = solved.groupBy(F.col("minimizer").alias("m"), F.col("region").alias("r")).agg(F.collect_set(F.struct("at", "upto")).alias("run"))
+    runs = solved.groupBy(F.col("minimizer").alias("m"), F.col("region").alias("r")).agg(F.array_distinct(F.flatten(F.collect_list("run"))).alias("run"))
     owners = distinct.select(F.col("minimizer").alias("m"), F.col("region").alias("r"), "owner")
     owned = regions.drop("content").join(owners, (F.col("minimizer") == F.col("m")) & (F.col("region") == F.col("r"))).drop("m", "r")
     owned = scratch.save(owned, "owned")
