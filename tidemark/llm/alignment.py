@@ -44,7 +44,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import Rolling, Scratch, mix, ragged
+from tidemark.llm.common import Rolling, Scratch, mix, ragged, remembered
 
 MARK = "▁"
 # Unicode's white space, and letters and marks between which texts may be cut.
@@ -368,16 +368,10 @@ def _endings(tokens: list[bytes], others: list[bytes], own: bool) -> int:
 
 ALIGNED = "n_a long, n_b long, n_groups long, groups_sha256 string, links array<long>"
 
-# One aligner per worker process and pair of files, so that tasks share what is remembered.
-_aligners: dict[int, Aligner] = {}
-
-
 def aligner_of(files: Files) -> Aligner:
+    """One aligner per worker process and pair of files, so that tasks share what is remembered."""
     key = hash((files.byte_level, files.pieces))
-    if key not in _aligners:
-        _aligners.clear()
-        _aligners[key] = Aligner(files)
-    return _aligners[key]
+    return remembered(("alignment", key), lambda: Aligner(files))
 
 
 def runs(sizes) -> Iterator[tuple[int, int]]:

@@ -31,7 +31,7 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import give_back
+from tidemark.llm.common import forget, give_back
 
 SAMPLE_DOCS = 100
 SAMPLE_CHARS = 1500
@@ -136,6 +136,7 @@ def predict(docs: DataFrame, models: dict[str, bytes], text: str = "text") -> Da
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget()
         model = Classifier(shared.value)
         for texts in batches:
             yield pd.DataFrame([model(t) for t in texts], columns=["lang_pred", "score", "rejected"])

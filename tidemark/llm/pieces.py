@@ -33,6 +33,8 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.common import remembered
+
 MARK = "▁"
 PUNCTUATION = ".,;:!?|*$%&#()[]\"'"
 LETTER = r"[^\W\d_]"
@@ -199,10 +201,6 @@ class Encoder(dict):
 ENCODED = "doc_id long, n_pieces long, pieces array<int>, round_trip boolean"
 
 
-# One encoder per worker process and vocabulary, so that tasks share what is remembered.
-_encoders: dict[int, Encoder] = {}
-
-
 def encode(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_pieces, pieces and round_trip (decoding gives the text again) per row."""
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model_file))
@@ -232,11 +230,9 @@ def encode(docs: DataFrame, model_file: str) -> DataFrame:
 
 
 def encoder_of(vocabulary: Vocabulary) -> Encoder:
+    """One encoder per worker process and vocabulary, so that tasks share what is remembered."""
     key = hash((len(vocabulary.pieces), tuple(vocabulary.as_bytes)))
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary)
-    return _encoders[key]
+    return remembered(("pieces", key), lambda: Encoder(vocabulary))
 
 
 def record_batch(doc_ids: pa.Array, counts: list[int | None], values: array, exact: list[bool | None]) -> pa.RecordBatch:
