@@ -11,6 +11,7 @@ import pytest
 import corpus_pipeline
 from tests.llm import reference as ref
 from tidemark.llm import parity
+from tidemark.llm.common import Scratch
 
 WORDS, PERCENT = 5, 80
 
@@ -91,3 +92,30 @@ def test_bands_hold_at_the_stage_threshold():
         assert int(np.searchsorted(lows, b, "right")) - 1 - g in (0, 1)
         most = (100 - PERCENT) * a // PERCENT
         assert most == 0 or bands.words[g] - bands.spare[g] > most
+
+
+def test_keys_are_joined_in_slices_and_go_on_once_a_group(spark):
+    """No step shuffles all keys at once, and texts that meet under many keys are compared under one."""
+    seen: dict[str, list] = {}
+
+    class Recording(Scratch):
+        def save(self, df, name):
+            saved = super().save(df, name)
+            if name in ("shared", "kept"):
+                seen.setdefault(name, []).append([(r.key, r["print"]) for r in saved.collect()])
+            return saved
+
+    rng = random.Random(3)
+    rows = []
+    for n in range(0, 24, 2):
+        base = [f"w{rng.randint(0, 9999)}" for _ in range(200)]
+        rows += [(n, " ".join(base)), (n + 1, edited(rng, base, 2, f"e{n}"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = parity.first_of_each(docs, Recording(spark, "slices"), WORDS, PERCENT)
+    assert Counter(r.doc_id for r in found.collect()) == kept(rows)
+    sizes = [len(part) for part in seen["shared"]]
+    assert len(sizes) > 1 and max(sizes) < sum(sizes) / 2
+    groups: dict[int, set] = {}
+    for key, found_print in seen["kept"][0]:
+        groups.setdefault(key, set()).add(found_print)
+    assert sorted(len(g) for g in groups.values()) == [2] * 12

@@ -26,9 +26,12 @@ no links and those few that the joining left. No link between different texts is
 texts that are linked already are not compared again, so a group of copies costs its size.
 Texts with equal sets are one class from the start.
 
-Sketches are computed where the text is read. Keys are counted with combining in the map
-tasks; joins leave hot keys to the adaptive skew join. Sets are built for texts that still
-have keys only. Shingles are compared by 64-bit hashes.
+Sketches are computed where the text is read. Their keys lie in ``SLICES`` columns by hash,
+and one slice after the other is joined, so that the shuffle files on disk are those of one
+slice. Keys are counted with combining in the map tasks; joins leave hot keys to the adaptive
+skew join. Of keys with the same texts (compared by 128 bits of hashes) one goes on: the
+others name the same pairs. Sets are built for texts that still have keys only. Shingles are
+compared by 64-bit hashes.
 
 Edge cases: null texts and texts without words have an empty set and no links; fewer words
 than ``width`` are one shingle; repeated rows are one class; the id of a component is the
@@ -40,6 +43,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +59,10 @@ ROUNDS = 2
 JOINING = 2
 BLOCK = 1500
 SLICE = 1 << 18
+SLICES = 4
 U = np.uint64
 BAND_BITS = 6
+KEYS = [f"keys_{place}" for place in range(SLICES)]
 
 
 @dataclass(frozen=True)
@@ -144,14 +150,24 @@ def _sketches(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> It
             found, owner = shingles(data, offsets, width)
             sizes, prints = fingerprints(found, owner, hi - lo)
             key, text = keys_of(found, owner, sizes, bands)
-            ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=hi - lo)))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(key)))
+            lists = [_listed(key[at], text[at], hi - lo) for at in _slices(key)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), pa.array(signed(prints), mask=sizes == 0), lists],
-                names=["doc_id", "row_key", "n_shingles", "print", "keys"],
+                [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(sizes.astype(np.int64)), pa.array(signed(prints), mask=sizes == 0), *lists],
+                names=["doc_id", "row_key", "n_shingles", "print", *KEYS],
             )
 
 
+def _slices(key: np.ndarray) -> list[np.ndarray]:
+    """Which keys lie in each slice; the bits below ``BAND_BITS`` are the band's."""
+    own = (key >> U(BAND_BITS)) % U(SLICES)
+    return [own == U(place) for place in range(SLICES)]
+
+
+def _listed(key: np.ndarray, text: np.ndarray, n: int) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=n)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(key)))
+
+
 def bit_sketch(members: np.ndarray) -> bytes:
     """Parity of the shingles that fall on each bit; the number of bits follows the size."""
     bits = 64
@@ -285,22 +301,34 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def candidate_keys(sketches: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """(key, print) under which different sets may be linked."""
     spare = F.array(*[F.lit(e) for e in bands_for(percent).spare])
-    rows = sketches.select("print", F.explode("keys").alias("key"))
-    counts = rows.groupBy(F.col("key").alias("k")).agg(F.min("print").alias("a"), F.max("print").alias("b"), F.count(F.lit(1)).alias("n"))
-    counts = counts.filter("a < b").select("k", "n")
-    shared = scratch.save(rows.join(counts, rows.key == counts.k).select("key", "print", "n").distinct(), "shared")
+    slices = []
+    for keys in KEYS:
+        rows = sketches.select("print", F.explode(keys).alias("key"))
+        counts = rows.groupBy(F.col("key").alias("k")).agg(F.min("print").alias("a"), F.max("print").alias("b"), F.count(F.lit(1)).alias("n"))
+        counts = counts.filter("a < b").select("k", "n")
+        slices.append(scratch.save(rows.join(counts, rows.key == counts.k).select("key", "print", "n").distinct(), "shared"))
+    shared = reduce(DataFrame.union, slices)
     band = F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int")
     # A print has at most the keys of its own sketch, so a group is bounded by one text.
     ranked = shared.groupBy("print", band.alias("band")).agg(F.sort_array(F.collect_list(F.struct("n", "key")), asc=False).alias("ranked"))
     left = F.slice("ranked", F.element_at(spare, F.col("band") + 1) + 1, F.greatest(F.size("ranked"), F.lit(1)))
-    kept = scratch.save(ranked.select("print", F.explode(left["key"]).alias("key")), "kept")
-    scratch.drop(shared)
+    ranked = scratch.save(ranked.select("print", F.explode(left["key"]).alias("key")), "ranked")
+    scratch.drop(*slices)
+    kept = scratch.save(of_each_group(ranked), "kept")
+    scratch.drop(ranked)
     return kept
 
 
-def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch, width: int, percent: int) -> DataFrame:
-    """(node, label): components of prints, for prints with a link to another one."""
-    kept = candidate_keys(sketches, scratch, percent)
+def of_each_group(rows: DataFrame) -> DataFrame:
+    """The rows ``(print, key)`` of one key of each group of two or more prints."""
+    hashes = [F.bit_xor(F.xxhash64("print", F.lit(seed))).alias(f"h{seed}") for seed in (0, 1)]
+    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *hashes).filter("n > 1")
+    chosen = groups.groupBy("n", "h0", "h1").agg(F.min("key").alias("k"))
+    return rows.join(chosen, rows.key == chosen.k).select("print", "key")
+
+
+def links(docs: DataFrame, sketches: DataFrame, kept: DataFrame, scratch: Scratch, width: int, percent: int) -> DataFrame:
+    """(node, label): components of prints, for prints with a key in ``kept``."""
     asked = kept.select("print").distinct()
     owners = sketches.groupBy("print").agg(F.min("doc_id").alias("owner")).join(asked, "print", "left_semi")
     owners = owners.select("owner").distinct()
@@ -337,15 +365,18 @@ def links(docs: DataFrame, sketches: DataFrame, scratch: Scratch, width: int, pe
 def grouped(docs: DataFrame, scratch: Scratch, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, row_key, n_shingles and component_id per row of ``docs``."""
     docs = docs.select("doc_id", "text", row_key().alias("row_key"))
-    schema = "doc_id long, row_key long, n_shingles long, print long, keys array<long>"
-    sketches = scratch.save(docs.mapInArrow(frugal(lambda batches: _sketches(batches, width, percent)), schema), "sketches")
-    labels = links(docs, sketches.filter("print IS NOT NULL"), scratch, width, percent).select(F.col("print").alias("p"), "label")
+    schema = "doc_id long, row_key long, n_shingles long, print long, " + ", ".join(f"{keys} array<long>" for keys in KEYS)
+    wide = scratch.save(docs.mapInArrow(frugal(lambda batches: _sketches(batches, width, percent)), schema), "sketches")
+    kept = candidate_keys(wide.filter("print IS NOT NULL"), scratch, percent)
+    sketches = scratch.save(wide.drop(*KEYS), "texts")
+    scratch.drop(wide)
+    labels = links(docs, sketches.filter("print IS NOT NULL"), kept, scratch, width, percent).select(F.col("print").alias("p"), "label")
     classes = sketches.filter("print IS NOT NULL").groupBy("print").agg(F.min("doc_id").alias("first"))
     named = classes.join(labels, classes.print == labels.p, "left").select("print", "first", F.coalesce("label", "print").alias("label"))
     named = scratch.save(named, "named")
     least = named.groupBy(F.col("label").alias("l")).agg(F.min("first").alias("component"))
     of = scratch.save(named.join(least, named.label == least.l).select(F.col("print").alias("p"), "component"), "components")
-    rows = sketches.drop("keys").join(of, F.col("print") == F.col("p"), "left")
+    rows = sketches.join(of, F.col("print") == F.col("p"), "left")
     return rows.select("doc_id", "row_key", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
