@@ -16,6 +16,7 @@ from tidemark.operators.scd1 import scd1_merge
 from tidemark.operators.scd2 import Scd2
 from tidemark.operators.scd3 import scd3_initial, scd3_merge
 from tidemark.sinks import overwrite
+from tidemark.plans import dimension_refresh
 from tidemark.plans.dimension_refresh import (
     CURRENT,
     StoredDimension,
@@ -532,3 +533,20 @@ def test_merges_refuse_rows_without_a_key(spark):
         for pair in ((good, bad), (bad, good)):
             with pytest.raises(PySparkException, match="row without a key"):
                 merged(*pair).collect()
+
+
+def test_a_refresh_meets_the_stored_rows_once(spark, tmp_path, monkeypatch):
+    """What is stored comes from the settled outcome of one join: without late rows no step reads the table again."""
+    dim, replace, read = StoredDimension(str(tmp_path), ORDERED, 2), dimension_refresh.replace_partitions, []
+
+    def replaced(rows_, *args):
+        read.append([f for f in rows_.inputFiles() if "/data/" in f])
+        replace(rows_, *args)
+
+    monkeypatch.setattr(dimension_refresh, "replace_partitions", replaced)
+    first = [(k, "v", moment(0), 1) for k in range(8)]
+    later = [(k, "w", moment(1), 1) for k in range(4)] + [(9, "x", moment(1), 1)]
+    refresh_dimension(dim, log(spark, *first), "r0", T1)
+    assert refresh_dimension(dim, log(spark, *later), "r1", T1).late_keys == 0
+    assert read == [[], []]
+    assert versions(read_dimension(spark, dim)) == history([*first, *later])
